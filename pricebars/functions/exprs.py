@@ -63,15 +63,16 @@ def pct_change(c: ColumnOrName, w: WindowSpec, periods: int = 1) -> Column:
     return safe_div(col(c), F.lag(col(c), periods).over(w)) - F.lit(1.0)
 
 
-def rsi(c: ColumnOrName, w: WindowSpec, n: int = 14) -> Column:
-    """Simple-mean RSI.  The first difference of a series counts as 0 (it is
-    missing, and missing is not a gain), so the first value appears on row ``n``.
-    Loss 0 with a gain gives 100; a flat window gives NULL."""
-    delta = F.coalesce(col(c) - F.lag(col(c), 1).over(w), F.lit(0.0))
+def rsi(delta: ColumnOrName, w: WindowSpec, n: int = 14) -> Column:
+    """Simple-mean RSI from a precomputed first-difference column (a window
+    function cannot nest inside a window aggregate, so the difference is its own
+    pass).  A missing difference (the first row) counts as 0, so the first value
+    appears on row ``n``.  Loss 0 with a gain gives 100; a flat window gives NULL."""
+    d = F.coalesce(col(delta), F.lit(0.0))
     frame = trailing(w, n)
     full = F.count(F.lit(1)).over(frame) == n
-    gain = F.avg(F.when(delta > 0, delta).otherwise(F.lit(0.0))).over(frame)
-    loss = F.avg(F.when(delta < 0, -delta).otherwise(F.lit(0.0))).over(frame)
+    gain = F.avg(F.when(d > 0, d).otherwise(F.lit(0.0))).over(frame)
+    loss = F.avg(F.when(d < 0, -d).otherwise(F.lit(0.0))).over(frame)
     value = (F.when(loss == 0, F.when(gain > 0, F.lit(100.0)))
              .otherwise(F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + gain / loss)))
     return F.when(full, value)

@@ -68,3 +68,232 @@ def daily_market_cap(spark, sf_dir):
 @query
 def daily_metrics(spark, sf_dir):
     return B.daily_metrics(_payloads(spark, sf_dir), processed_at=False)
+
+
+# ---------------------------------------------------------------- stage 2: tables
+
+from pricebars.operators import serving as S  # noqa: E402
+from pricebars.operators.upsert import first_per_key, upsert  # noqa: E402
+from pricebars.sources import tables as TB  # noqa: E402
+
+COIN = TD.PRIORITIES[0]          # the coin the single-coin reads filter on
+RANGE = ("1996-01-01", "1996-12-31")
+SERIES_OUT = [c for c in S.SERIES_COLUMNS if c != "processed_at"]
+
+
+def _metrics(spark, sf_dir):
+    return TD.order_metrics(spark, sf_dir)
+
+
+def _symbols(spark):
+    return [r[1] for r in [(p, p[0]) for p in TD.PRIORITIES]]
+
+
+@query
+def enrich_dim(spark, sf_dir):
+    return _metrics(spark, sf_dir)
+
+
+@query
+def scan_parquet(spark, sf_dir):
+    path = TB.staging_path(spark, "daily-metrics")
+    TB.write_metrics(_metrics(spark, sf_dir), path)
+    return TB.read_metrics(spark, path).drop("processed_at")
+
+
+@query
+def fallback_source(spark, sf_dir):
+    m = _metrics(spark, sf_dir)
+    primary = S.series(m, "bitcoin").drop("processed_at")
+    legacy = (S.series(m, COIN)
+              .select(F.lit("bitcoin").alias("coin_id"), F.lit("BTC").alias("coin_symbol"),
+                      F.lit("Bitcoin").alias("coin_name"), "event_date", "open_price_usd", "close_price_usd",
+                      "avg_price_usd", "max_price_usd", "min_price_usd", F.lit(0.0).alias("volume_usd"),
+                      F.lit(0.0).alias("market_cap_usd"), "samples_per_day"))
+    return TB.first_non_empty(primary, legacy)
+
+
+def _sentiment_points(spark, sf_dir):
+    from pricebars.sources.sentiment import sentiment_points
+
+    points, _ = sentiment_points(TD.event_sentiment_records(_events(spark, sf_dir)))
+    return points
+
+
+@query
+def sentiment_points(spark, sf_dir):
+    return _sentiment_points(spark, sf_dir).select("event_date", "value", "value_classification")
+
+
+def _sentiment(spark, sf_dir):
+    return S.sentiment_table(_sentiment_points(spark, sf_dir))
+
+
+@query
+def upsert_sentiment(spark, sf_dir):
+    """Stored: the first record of each day up to day 20.  Incoming: every record
+    from day 15 on; the last of each day wins."""
+    pts = _sentiment_points(spark, sf_dir)
+    day = F.dayofmonth("event_date")
+    stored = (first_per_key(pts.where(day <= 20).select("event_date", "value", "value_classification", "part", "pos"),
+                            ["event_date"], ["part", "pos"])
+              .select("event_date", "value", "value_classification",
+                      F.lit(None).cast("timestamp").alias("inserted_at")))
+    merged = TB.upsert_sentiment(stored, pts.where(day >= 15))
+    return merged.select("event_date", "value", "value_classification")
+
+
+@query
+def raw_latest(spark, sf_dir):
+    """Raw log: one entry per event, keyed by (coin, day); newest by time then id."""
+    e = _events(spark, sf_dir)
+    log = e.select(F.col("event_type").alias("coin_id"), F.to_date("ts").alias("logical_date"),
+                   F.col("props").alias("payload"), F.col("ts").cast("timestamp").alias("inserted_at"),
+                   F.col("event_id").alias("seq"))
+    return TB.latest_raw(log, tie_breaker="seq").select("coin_id", "logical_date", "payload")
+
+
+@query
+def upsert_daily(spark, sf_dir):
+    """Stored: a legacy load of days 1-20 (bars only, volume and cap 0, symbol =
+    upper-cased id).  Incoming: a full refresh of days 15-30 (symbol = id).
+    Overlap days take the new metrics but keep the stored symbol and name."""
+    payloads = _payloads(spark, sf_dir)
+    full = B.daily_metrics(payloads, processed_at=False)
+    day = F.dayofmonth("event_date")
+    stored = (B.daily_bars(TK.price_ticks(payloads)).where(day <= 20)
+              .select("coin_id", F.upper("coin_id").alias("coin_symbol"), F.upper("coin_id").alias("coin_name"),
+                      "event_date", *B.BAR_COLUMNS, F.lit(0.0).alias("volume_usd"),
+                      F.lit(0.0).alias("market_cap_usd")))
+    incoming = (full.where(day >= 15)
+                .select("coin_id", F.col("coin_id").alias("coin_symbol"), F.col("coin_id").alias("coin_name"),
+                        "event_date", *B.BAR_COLUMNS, "volume_usd", "market_cap_usd"))
+    return upsert(stored, incoming, TB.METRICS_KEY, TB.METRICS_KEEP)
+
+
+# ---------------------------------------------------------------- stage 3: serving
+
+
+@query
+def series_for_coin(spark, sf_dir):
+    return S.series(_metrics(spark, sf_dir), COIN).select(*SERIES_OUT)
+
+
+@query
+def date_range(spark, sf_dir):
+    return S.series(_metrics(spark, sf_dir), COIN, *RANGE).select(*SERIES_OUT)
+
+
+@query
+def price_series(spark, sf_dir):
+    return S.price_series(_metrics(spark, sf_dir), COIN)
+
+
+@query
+def volume_series(spark, sf_dir):
+    return S.volume_series(_metrics(spark, sf_dir), COIN)
+
+
+@query
+def intraday_volatility(spark, sf_dir):
+    return S.intraday_volatility(_metrics(spark, sf_dir), COIN)
+
+
+@query
+def all_series(spark, sf_dir):
+    return S.all_series(_metrics(spark, sf_dir))
+
+
+@query
+def compare_series(spark, sf_dir):
+    return S.compare_series(_metrics(spark, sf_dir))
+
+
+@query
+def candles(spark, sf_dir):
+    return S.candles(_metrics(spark, sf_dir), COIN)
+
+
+@query
+def band(spark, sf_dir):
+    return S.band(_metrics(spark, sf_dir), COIN)
+
+
+@query
+def close_vs_avg(spark, sf_dir):
+    return S.close_vs_avg(_metrics(spark, sf_dir), COIN)
+
+
+@query
+def display_table(spark, sf_dir):
+    return S.display_table(S.series(_metrics(spark, sf_dir), COIN))
+
+
+@query
+def current_prices(spark, sf_dir):
+    return S.current_prices(_metrics(spark, sf_dir))
+
+
+@query
+def coverage(spark, sf_dir):
+    return S.coverage(_metrics(spark, sf_dir))
+
+
+@query
+def coin_count(spark, sf_dir):
+    return S.coin_count(_metrics(spark, sf_dir))
+
+
+@query
+def selection_bounds(spark, sf_dir):
+    return S.selection_bounds(S.series(_metrics(spark, sf_dir), COIN, *RANGE))
+
+
+@query
+def series_reducers(spark, sf_dir):
+    return S.series_reducers(_metrics(spark, sf_dir))
+
+
+@query
+def kpi(spark, sf_dir):
+    return S.kpi(_metrics(spark, sf_dir))
+
+
+@query
+def latest_row(spark, sf_dir):
+    return S.latest_row(_metrics(spark, sf_dir)).select(*SERIES_OUT)
+
+
+@query
+def sentiment_latest(spark, sf_dir):
+    return S.sentiment_latest(_sentiment(spark, sf_dir))
+
+
+@query
+def sentiment_last30(spark, sf_dir):
+    return S.sentiment_last(_sentiment(spark, sf_dir), 30)
+
+
+@query
+def sentiment_band(spark, sf_dir):
+    return S.sentiment_bands(_sentiment(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- stage 4: compare
+
+from pricebars.operators import compare as C  # noqa: E402
+
+
+@query
+def pivot_close(spark, sf_dir):
+    return C.pivot_close(_metrics(spark, sf_dir), _symbols(spark))
+
+
+@query
+def corr_matrix(spark, sf_dir):
+    return C.correlation(_metrics(spark, sf_dir), _symbols(spark))
+
+
+@query
+def normalized(spark, sf_dir):
+    return C.normalized(_metrics(spark, sf_dir), _symbols(spark))

@@ -58,3 +58,232 @@ SELECT coin_id, event_date, round(avg(market_cap), 6) AS market_cap_usd FROM e_t
 ORACLE["daily_metrics"] = with_(E_TICKS, E_BARS, E_METRICS) + f"""
 SELECT coin_id, event_date, {BAR_COLS}, round(volume_usd, 6) AS volume_usd,
   round(market_cap_usd, 6) AS market_cap_usd FROM e_metrics"""
+
+
+# ---------------------------------------------------------------- stage 2: tables (D base)
+
+D_TICKS = """d_ticks AS (
+  SELECT o_orderpriority AS coin_id, CAST(o_orderdate AS DATE) AS event_date,
+         epoch_us(o_orderdate) // 1000 AS event_ms, o_orderkey, o_totalprice AS price_usd
+  FROM orders WHERE o_totalprice IS NOT NULL)"""
+
+D_BARS = """d_bars AS (
+  SELECT coin_id, event_date,
+         arg_min(price_usd, (event_ms, o_orderkey)) AS open_price_usd,
+         arg_max(price_usd, (event_ms, o_orderkey)) AS close_price_usd,
+         avg(price_usd) AS avg_price_usd, max(price_usd) AS max_price_usd,
+         min(price_usd) AS min_price_usd, count(*) AS samples_per_day
+  FROM d_ticks GROUP BY coin_id, event_date)"""
+
+D_MEAS = """d_meas AS (
+  SELECT o.o_orderpriority AS coin_id, CAST(l.l_shipdate AS DATE) AS event_date,
+         avg(l.l_extendedprice) AS volume_usd,
+         avg(l.l_extendedprice * (1.0::DOUBLE - l.l_discount)) AS market_cap_usd
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2)"""
+
+D = """d AS (
+  SELECT b.coin_id, substr(b.coin_id, 1, 1) AS coin_symbol,
+         substr(b.coin_id, strpos(b.coin_id, '-') + 1) AS coin_name, b.event_date,
+         b.open_price_usd, b.close_price_usd, b.avg_price_usd, b.max_price_usd, b.min_price_usd,
+         coalesce(m.volume_usd, 0.0::DOUBLE) AS volume_usd,
+         coalesce(m.market_cap_usd, 0.0::DOUBLE) AS market_cap_usd, b.samples_per_day
+  FROM d_bars b LEFT JOIN d_meas m ON b.coin_id = m.coin_id AND b.event_date = m.event_date)"""
+
+D_ALL = (D_TICKS, D_BARS, D_MEAS, D)
+
+SERIES_SEL = """coin_id, coin_symbol, coin_name, event_date,
+  round(open_price_usd, 6) AS open_price_usd, round(close_price_usd, 6) AS close_price_usd,
+  round(avg_price_usd, 6) AS avg_price_usd, round(max_price_usd, 6) AS max_price_usd,
+  round(min_price_usd, 6) AS min_price_usd, round(volume_usd, 6) AS volume_usd,
+  round(market_cap_usd, 6) AS market_cap_usd, samples_per_day"""
+
+COIN = "1-URGENT"
+SYMBOLS = ["1", "2", "3", "4", "5"]
+
+ORACLE["enrich_dim"] = with_(*D_ALL) + f"SELECT {SERIES_SEL} FROM d"
+ORACLE["scan_parquet"] = ORACLE["enrich_dim"]
+
+ORACLE["fallback_source"] = with_(*D_ALL) + f"""
+SELECT {SERIES_SEL} FROM d WHERE coin_id = 'bitcoin'
+UNION ALL
+SELECT 'bitcoin' AS coin_id, 'BTC' AS coin_symbol, 'Bitcoin' AS coin_name, event_date,
+  round(open_price_usd, 6) AS open_price_usd, round(close_price_usd, 6) AS close_price_usd,
+  round(avg_price_usd, 6) AS avg_price_usd, round(max_price_usd, 6) AS max_price_usd,
+  round(min_price_usd, 6) AS min_price_usd, 0.0::DOUBLE AS volume_usd, 0.0::DOUBLE AS market_cap_usd,
+  samples_per_day
+FROM d WHERE coin_id = '{COIN}' AND NOT EXISTS (SELECT 1 FROM d WHERE coin_id = 'bitcoin')"""
+
+S_POINTS = """s_points AS (
+  SELECT CAST(ts AS DATE) AS event_date, CAST(json_extract_string(props, '$.k') AS INTEGER) AS value,
+         event_type AS value_classification, event_id
+  FROM events)"""
+
+S_TABLE = """s_table AS (
+  SELECT event_date, arg_max(value, event_id) AS value,
+         arg_max(value_classification, event_id) AS value_classification
+  FROM s_points GROUP BY event_date)"""
+
+ORACLE["sentiment_points"] = with_(S_POINTS) + "SELECT event_date, value, value_classification FROM s_points"
+
+ORACLE["upsert_sentiment"] = with_(S_POINTS) + """,
+stored AS (SELECT event_date, arg_min(value, event_id) AS value,
+                  arg_min(value_classification, event_id) AS value_classification
+           FROM s_points WHERE day(event_date) <= 20 GROUP BY event_date),
+incoming AS (SELECT event_date, arg_max(value, event_id) AS value,
+                    arg_max(value_classification, event_id) AS value_classification
+             FROM s_points WHERE day(event_date) >= 15 GROUP BY event_date)
+SELECT coalesce(i.event_date, s.event_date) AS event_date,
+       CASE WHEN i.event_date IS NOT NULL THEN i.value ELSE s.value END AS value,
+       CASE WHEN i.event_date IS NOT NULL THEN i.value_classification ELSE s.value_classification END
+         AS value_classification
+FROM stored s FULL OUTER JOIN incoming i ON s.event_date = i.event_date"""
+
+ORACLE["raw_latest"] = """
+SELECT event_type AS coin_id, CAST(ts AS DATE) AS logical_date, arg_max(props, (ts, event_id)) AS payload
+FROM events GROUP BY 1, 2"""
+
+ORACLE["upsert_daily"] = with_(E_TICKS, E_BARS, E_METRICS) + """,
+stored AS (SELECT coin_id, upper(coin_id) AS coin_symbol, upper(coin_id) AS coin_name, event_date,
+                  open_price_usd, close_price_usd, avg_price_usd, max_price_usd, min_price_usd,
+                  samples_per_day, 0.0::DOUBLE AS volume_usd, 0.0::DOUBLE AS market_cap_usd
+           FROM e_bars WHERE day(event_date) <= 20),
+incoming AS (SELECT coin_id, coin_id AS coin_symbol, coin_id AS coin_name, event_date,
+                    open_price_usd, close_price_usd, avg_price_usd, max_price_usd, min_price_usd,
+                    samples_per_day, volume_usd, market_cap_usd
+             FROM e_metrics WHERE day(event_date) >= 15),
+merged AS (
+  SELECT coalesce(i.coin_id, s.coin_id) AS coin_id,
+         CASE WHEN s.coin_id IS NOT NULL THEN s.coin_symbol ELSE i.coin_symbol END AS coin_symbol,
+         CASE WHEN s.coin_id IS NOT NULL THEN s.coin_name ELSE i.coin_name END AS coin_name,
+         coalesce(i.event_date, s.event_date) AS event_date,
+         CASE WHEN i.coin_id IS NOT NULL THEN i.open_price_usd ELSE s.open_price_usd END AS open_price_usd,
+         CASE WHEN i.coin_id IS NOT NULL THEN i.close_price_usd ELSE s.close_price_usd END AS close_price_usd,
+         CASE WHEN i.coin_id IS NOT NULL THEN i.avg_price_usd ELSE s.avg_price_usd END AS avg_price_usd,
+         CASE WHEN i.coin_id IS NOT NULL THEN i.max_price_usd ELSE s.max_price_usd END AS max_price_usd,
+         CASE WHEN i.coin_id IS NOT NULL THEN i.min_price_usd ELSE s.min_price_usd END AS min_price_usd,
+         CASE WHEN i.coin_id IS NOT NULL THEN i.volume_usd ELSE s.volume_usd END AS volume_usd,
+         CASE WHEN i.coin_id IS NOT NULL THEN i.market_cap_usd ELSE s.market_cap_usd END AS market_cap_usd,
+         CASE WHEN i.coin_id IS NOT NULL THEN i.samples_per_day ELSE s.samples_per_day END AS samples_per_day
+  FROM stored s FULL OUTER JOIN incoming i ON s.coin_id = i.coin_id AND s.event_date = i.event_date)
+SELECT """ + SERIES_SEL + " FROM merged"
+
+# ---------------------------------------------------------------- stage 3: serving
+
+ORACLE["series_for_coin"] = with_(*D_ALL) + f"SELECT {SERIES_SEL} FROM d WHERE coin_id = '{COIN}'"
+
+ORACLE["date_range"] = with_(*D_ALL) + f"""SELECT {SERIES_SEL} FROM d
+WHERE coin_id = '{COIN}' AND event_date BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'"""
+
+ORACLE["price_series"] = with_(*D_ALL) + f"""
+SELECT event_date AS time, round(close_price_usd, 6) AS value, coin_symbol AS metric
+FROM d WHERE coin_id = '{COIN}'"""
+
+ORACLE["volume_series"] = with_(*D_ALL) + f"""
+SELECT event_date AS time, round(volume_usd, 6) AS value FROM d WHERE coin_id = '{COIN}' AND volume_usd > 0"""
+
+ORACLE["intraday_volatility"] = with_(*D_ALL) + f"""
+SELECT event_date AS time, round((max_price_usd - min_price_usd) / avg_price_usd * 100.0::DOUBLE, 6) AS value
+FROM d WHERE coin_id = '{COIN}'"""
+
+ORACLE["all_series"] = with_(*D_ALL) + """
+SELECT coin_id, coin_symbol, event_date, round(close_price_usd, 6) AS close_price_usd FROM d"""
+
+ORACLE["compare_series"] = with_(*D_ALL) + """
+SELECT event_date AS time, round(close_price_usd, 6) AS value, coin_symbol AS metric FROM d"""
+
+ORACLE["candles"] = with_(*D_ALL) + f"""
+SELECT event_date, round(open_price_usd, 6) AS open, round(max_price_usd, 6) AS high,
+       round(min_price_usd, 6) AS low, round(close_price_usd, 6) AS close
+FROM d WHERE coin_id = '{COIN}'"""
+
+ORACLE["band"] = with_(*D_ALL) + f"""
+SELECT event_date, round(max_price_usd, 6) AS max_price_usd, round(min_price_usd, 6) AS min_price_usd,
+       round(avg_price_usd, 6) AS avg_price_usd
+FROM d WHERE coin_id = '{COIN}'"""
+
+ORACLE["close_vs_avg"] = with_(*D_ALL) + f"""
+SELECT event_date, round(close_price_usd, 6) AS close_price_usd, round(avg_price_usd, 6) AS avg_price_usd
+FROM d WHERE coin_id = '{COIN}'"""
+
+ORACLE["display_table"] = with_(*D_ALL) + f"""
+SELECT strftime(event_date, '%Y-%m-%d') AS event_date, round(open_price_usd, 6) AS open_price_usd,
+       round(close_price_usd, 6) AS close_price_usd, round(avg_price_usd, 6) AS avg_price_usd,
+       round(max_price_usd, 6) AS max_price_usd, round(min_price_usd, 6) AS min_price_usd,
+       round(volume_usd, 6) AS volume_usd
+FROM d WHERE coin_id = '{COIN}'"""
+
+ORACLE["current_prices"] = with_(*D_ALL) + """
+SELECT coin_symbol AS metric, round(close_price_usd, 6) AS value FROM d
+WHERE event_date = (SELECT max(event_date) FROM d)"""
+
+ORACLE["coverage"] = with_(*D_ALL) + """
+SELECT coin_id, count(*) AS n_rows, min(event_date) AS first_date, max(event_date) AS last_date
+FROM d GROUP BY coin_id"""
+
+ORACLE["coin_count"] = with_(*D_ALL) + """
+SELECT count(DISTINCT coin_id) AS n_coins, count(DISTINCT coin_id) >= 2 AS enough FROM d"""
+
+ORACLE["selection_bounds"] = with_(*D_ALL) + f"""
+SELECT min(event_date) AS min_date, max(event_date) AS max_date, count(*) AS n_days FROM d
+WHERE coin_id = '{COIN}' AND event_date BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'"""
+
+ORACLE["series_reducers"] = with_(*D_ALL) + """
+SELECT coin_symbol, round(arg_max(close_price_usd, event_date), 6) AS last_close,
+       round(avg(close_price_usd), 6) AS mean_close,
+       round(arg_max(volume_usd, event_date) FILTER (WHERE volume_usd IS NOT NULL), 6) AS last_volume
+FROM d GROUP BY coin_symbol"""
+
+ORACLE["kpi"] = with_(*D_ALL) + """,
+k AS (SELECT *, coalesce(lag(close_price_usd) OVER w, close_price_usd) AS prev_close,
+             lead(event_date) OVER w IS NULL AS is_last
+      FROM d WINDOW w AS (PARTITION BY coin_id ORDER BY event_date))
+SELECT coin_id, event_date, round(close_price_usd, 6) AS price,
+       round(close_price_usd - prev_close, 6) AS price_delta,
+       round(CASE WHEN prev_close > 0 THEN (close_price_usd - prev_close) / prev_close * 100.0::DOUBLE
+                  ELSE 0.0::DOUBLE END, 6) AS price_pct,
+       round(max_price_usd, 6) AS high, round(min_price_usd, 6) AS low,
+       round((max_price_usd - min_price_usd) / avg_price_usd * 100.0::DOUBLE, 6) AS volatility_pct,
+       round(CASE WHEN volume_usd > 0 THEN volume_usd END, 6) AS volume_shown,
+       round(CASE WHEN volume_usd > 0 AND market_cap_usd > 0 THEN market_cap_usd END, 6) AS market_cap_shown
+FROM k WHERE is_last"""
+
+ORACLE["latest_row"] = with_(*D_ALL) + f"""
+SELECT {SERIES_SEL} FROM d QUALIFY row_number() OVER (PARTITION BY coin_id ORDER BY event_date DESC) = 1"""
+
+ORACLE["sentiment_latest"] = with_(S_POINTS, S_TABLE) + """
+SELECT value FROM s_table ORDER BY event_date DESC LIMIT 1"""
+
+ORACLE["sentiment_last30"] = with_(S_POINTS, S_TABLE) + """
+SELECT event_date, value, value_classification FROM s_table ORDER BY event_date DESC LIMIT 30"""
+
+ORACLE["sentiment_band"] = with_(S_POINTS, S_TABLE) + """
+SELECT event_date, value, CAST(CASE WHEN value < 25 THEN 0 WHEN value < 50 THEN 1 WHEN value < 75 THEN 2
+                                    ELSE 3 END AS INTEGER) AS band
+FROM s_table"""
+
+# ---------------------------------------------------------------- stage 4: compare
+
+_PIVOT_COLS = ",\n  ".join(
+    f"round(max(CASE WHEN coin_symbol = '{s}' THEN close_price_usd END), 6) AS \"{s}\"" for s in SYMBOLS)
+
+ORACLE["pivot_close"] = with_(*D_ALL) + f"SELECT event_date,\n  {_PIVOT_COLS}\nFROM d GROUP BY event_date"
+
+_SYMS = "syms AS (SELECT * FROM (VALUES " + ", ".join(f"('{s}')" for s in SYMBOLS) + ") t(coin_symbol))"
+
+ORACLE["corr_matrix"] = with_(*D_ALL, _SYMS) + """,
+stats AS (
+  SELECT a.coin_symbol AS symbol_a, b.coin_symbol AS symbol_b,
+         covar_pop(a.close_price_usd, b.close_price_usd)
+           / nullif(stddev_pop(a.close_price_usd) * stddev_pop(b.close_price_usd), 0) AS corr
+  FROM d a JOIN d b ON a.event_date = b.event_date GROUP BY 1, 2)
+SELECT x.coin_symbol AS symbol_a, y.coin_symbol AS symbol_b, round(s.corr, 6) AS corr
+FROM syms x CROSS JOIN syms y
+LEFT JOIN stats s ON s.symbol_a = x.coin_symbol AND s.symbol_b = y.coin_symbol"""
+
+ORACLE["normalized"] = with_(*D_ALL, _SYMS) + """,
+grid AS (SELECT DISTINCT d.event_date, syms.coin_symbol FROM d CROSS JOIN syms),
+base AS (SELECT coin_symbol, close_price_usd AS base FROM d WHERE event_date = (SELECT min(event_date) FROM d))
+SELECT g.event_date, g.coin_symbol, round((x.close_price_usd - b.base) / b.base * 100.0::DOUBLE, 6) AS value
+FROM grid g
+LEFT JOIN d x ON x.event_date = g.event_date AND x.coin_symbol = g.coin_symbol
+LEFT JOIN base b ON b.coin_symbol = g.coin_symbol"""
