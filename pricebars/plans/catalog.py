@@ -297,3 +297,97 @@ def corr_matrix(spark, sf_dir):
 @query
 def normalized(spark, sf_dir):
     return C.normalized(_metrics(spark, sf_dir), _symbols(spark))
+
+
+# ---------------------------------------------------------------- stage 5: features
+
+from pricebars.operators import features as FT  # noqa: E402
+
+KEYS = ["coin_id", "event_date"]
+
+
+def _pf(spark, sf_dir):
+    return FT.price_features(_metrics(spark, sf_dir))
+
+
+def _tf(spark, sf_dir):
+    return FT.trend_features(_metrics(spark, sf_dir), horizon_days=7, threshold_pct=2.0)
+
+
+@query
+def feat_lags(spark, sf_dir):
+    return _metrics(spark, sf_dir).select(*KEYS, *FT.lag_features())
+
+
+@query
+def feat_ma(spark, sf_dir):
+    return _metrics(spark, sf_dir).select(*KEYS, *FT.ma_features())
+
+
+@query
+def feat_volatility(spark, sf_dir):
+    return _metrics(spark, sf_dir).select(*KEYS, *FT.volatility_features(pct=True))
+
+
+@query
+def feat_returns(spark, sf_dir):
+    return _metrics(spark, sf_dir).select(*KEYS, *FT.return_features())
+
+
+@query
+def feat_range(spark, sf_dir):
+    return _metrics(spark, sf_dir).select(*KEYS, *FT.range_features())
+
+
+@query
+def feat_rsi(spark, sf_dir):
+    return FT.with_rsi(_metrics(spark, sf_dir)).select(*KEYS, "rsi_14")
+
+
+@query
+def feat_momentum(spark, sf_dir):
+    return _metrics(spark, sf_dir).select(*KEYS, *FT.momentum_features())
+
+
+@query
+def feat_bollinger(spark, sf_dir):
+    return _metrics(spark, sf_dir).select(*KEYS, *FT.bollinger_features())
+
+
+@query
+def feat_trend(spark, sf_dir):
+    p = _pf(spark, sf_dir).select(*KEYS, "trend", F.col("trend_strength").alias("trend_strength_frac"))
+    t = _tf(spark, sf_dir).select(*KEYS, "trend_7_21", "trend_7_30", F.col("trend_strength").alias("trend_strength_pct"))
+    return p.join(t, KEYS)
+
+
+@query
+def feat_volume(spark, sf_dir):
+    p = _pf(spark, sf_dir).select(*KEYS, "volume_ma_7", "volume_ratio", "mcap_change")
+    t = _tf(spark, sf_dir).select(*KEYS, "volume_change")
+    return p.join(t, KEYS)
+
+
+@query
+def feat_calendar(spark, sf_dir):
+    return _metrics(spark, sf_dir).select(*KEYS, *FT.calendar_features())
+
+
+@query
+def targets(spark, sf_dir):
+    return _metrics(spark, sf_dir).select(*KEYS, *FT.target_features())
+
+
+@query
+def trend_labels(spark, sf_dir):
+    return FT.trend_labels(_metrics(spark, sf_dir), 7, 2.0)
+
+
+@query
+def features_price(spark, sf_dir):
+    return _pf(spark, sf_dir)
+
+
+@query
+def features_trend(spark, sf_dir):
+    return _tf(spark, sf_dir)

@@ -287,3 +287,173 @@ SELECT g.event_date, g.coin_symbol, round((x.close_price_usd - b.base) / b.base
 FROM grid g
 LEFT JOIN d x ON x.event_date = g.event_date AND x.coin_symbol = g.coin_symbol
 LEFT JOIN base b ON b.coin_symbol = g.coin_symbol"""
+
+
+# ---------------------------------------------------------------- stage 5: features
+
+_W = "PARTITION BY coin_id ORDER BY event_date"
+_C = "close_price_usd"
+DBL = "::DOUBLE"
+
+
+def _frame(n):
+    return f"({_W} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+
+
+def _roll(fn, c, n):
+    return f"(CASE WHEN count({c}) OVER {_frame(n)} = {n} THEN {fn}({c}) OVER {_frame(n)} END)"
+
+
+def _lag(c, n):
+    return f"lag({c}, {n}) OVER ({_W})"
+
+
+def _lead(c, n):
+    return f"lead({c}, {n}) OVER ({_W})"
+
+
+def _div(a, b):
+    return f"(({a}) / nullif({b}, 0))"
+
+
+def _pct(c, n):
+    return f"({_div(c, _lag(c, n))} - 1.0{DBL})"
+
+
+def _r(expr, name):
+    return f"round({expr}, 6) AS {name}"
+
+
+LAGS = [1, 2, 3, 5, 7, 14, 21, 30]
+MAS = [3, 7, 14, 21, 30]
+VOLS = [7, 14, 30]
+
+
+def _ret_name(p):
+    return "daily_return" if p == 1 else f"return_{p}d"
+
+
+def lag_sql():
+    return [_r(_lag(_C, n), f"price_lag_{n}") for n in LAGS]
+
+
+def ma_sql():
+    out = []
+    for n in MAS:
+        out += [_r(_roll("avg", _C, n), f"ma_{n}"), _r(_div(_C, _roll("avg", _C, n)), f"ma_{n}_ratio")]
+    return out
+
+
+def vol_sql(pct=False):
+    out = []
+    for n in VOLS:
+        out.append(_r(_roll("stddev_samp", _C, n), f"volatility_{n}"))
+        if pct:
+            out.append(_r(f"{_div(_roll('stddev_samp', _C, n), _C)} * 100.0{DBL}", f"volatility_{n}_pct"))
+    return out
+
+
+def ret_sql(periods=(1, 3, 7, 14, 30), scale=None):
+    return [_r(_pct(_C, p) + (f" * {scale}{DBL}" if scale else ""), _ret_name(p)) for p in periods]
+
+
+def range_sql():
+    lo, hi = _roll("min", _C, 7), _roll("max", _C, 7)
+    return [_r(lo, "min_7d"), _r(hi, "max_7d"), _r(f"{hi} - {lo}", "range_7d"),
+            _r(_div(f"{hi} - {lo}", _C), "range_7d_pct")]
+
+
+def momentum_sql():
+    return [_r(f"{_C} - {_lag(_C, p)}", f"momentum_{p}d") for p in (7, 14)]
+
+
+def bb_sql():
+    mid, sd = _roll("avg", _C, 20), _roll("stddev_samp", _C, 20)
+    up, lo = f"({mid} + 2.0{DBL} * {sd})", f"({mid} - 2.0{DBL} * {sd})"
+    return [_r(mid, "bb_middle"), _r(sd, "bb_std"), _r(up, "bb_upper"), _r(lo, "bb_lower"),
+            _r(_div(f"{_C} - {lo}", f"{up} - {lo}"), "bb_position")]
+
+
+def cal_sql(dom=True):
+    out = ["CAST(isodow(event_date) - 1 AS INTEGER) AS day_of_week", "CAST(month(event_date) AS INTEGER) AS month"]
+    if dom:
+        out.append("CAST(day(event_date) AS INTEGER) AS day_of_month")
+    return out
+
+
+def target_sql():
+    return [_r(_lead(_C, h), f"target_{h}d") for h in (1, 7, 30)]
+
+
+def _rsi_expr():
+    f = _frame(14)
+    gain = f"avg(CASE WHEN _d > 0 THEN _d ELSE 0.0{DBL} END) OVER {f}"
+    loss = f"avg(CASE WHEN _d < 0 THEN -_d ELSE 0.0{DBL} END) OVER {f}"
+    return (f"(CASE WHEN count(*) OVER {f} = 14 THEN CASE WHEN {loss} = 0 THEN CASE WHEN {gain} > 0 THEN 100.0{DBL} END "
+            f"ELSE 100.0{DBL} - 100.0{DBL} / (1.0{DBL} + ({gain}) / ({loss})) END END)")
+
+
+DR = f"dr AS (SELECT *, coalesce({_C} - {_lag(_C, 1)}, 0.0{DBL}) AS _d FROM d)"
+
+
+def label_sql(c, fut, t=2.0):
+    ch = f"(({fut} - {c}) / {c} * 100.0{DBL})"
+    return (f"CASE WHEN {fut} IS NULL OR {c} IS NULL THEN NULL "
+            f"WHEN {c} = 0 THEN CASE WHEN {fut} > 0 THEN 'UP' WHEN {fut} < 0 THEN 'DOWN' ELSE 'FLAT' END "
+            f"WHEN {ch} > {t}{DBL} THEN 'UP' WHEN {ch} < -{t}{DBL} THEN 'DOWN' ELSE 'FLAT' END")
+
+
+def _feat(cols, src="d", ctes=()):
+    return with_(*D_ALL, *ctes) + "SELECT coin_id, event_date,\n  " + ",\n  ".join(cols) + f"\nFROM {src}"
+
+
+ORACLE["feat_lags"] = _feat(lag_sql())
+ORACLE["feat_ma"] = _feat(ma_sql())
+ORACLE["feat_volatility"] = _feat(vol_sql(pct=True))
+ORACLE["feat_returns"] = _feat(ret_sql())
+ORACLE["feat_range"] = _feat(range_sql())
+ORACLE["feat_rsi"] = _feat([_r(_rsi_expr(), "rsi_14")], "dr", (DR,))
+ORACLE["feat_momentum"] = _feat(momentum_sql())
+ORACLE["feat_bollinger"] = _feat(bb_sql())
+_MA7, _MA21, _MA30 = _roll("avg", _C, 7), _roll("avg", _C, 21), _roll("avg", _C, 30)
+ORACLE["feat_trend"] = _feat([
+    _r(f"{_MA7} - {_MA30}", "trend"), _r(_div(f"{_MA7} - {_MA30}", _MA30), "trend_strength_frac"),
+    _r(f"{_MA7} - {_MA21}", "trend_7_21"), _r(f"{_MA7} - {_MA30}", "trend_7_30"),
+    _r(f"{_div(f'{_MA7} - {_MA30}', _MA30)} * 100.0{DBL}", "trend_strength_pct")])
+_VMA = _roll("avg", "volume_usd", 7)
+VOLUME_SQL_PRICE = [_r(_VMA, "volume_ma_7"), _r(_div("volume_usd", _VMA), "volume_ratio")]
+ORACLE["feat_volume"] = _feat(VOLUME_SQL_PRICE + [
+    _r(_pct("market_cap_usd", 1), "mcap_change"),
+    _r(f"{_pct('volume_usd', 1)} * 100.0{DBL}", "volume_change")])
+ORACLE["feat_calendar"] = _feat(cal_sql())
+ORACLE["targets"] = _feat(target_sql())
+ORACLE["trend_labels"] = with_(*D_ALL) + f"""
+SELECT coin_id, event_date, round({_C}, 6) AS {_C}, round(fut, 6) AS future_price,
+       {label_sql(_C, 'fut')} AS trend_label
+FROM (SELECT *, {_lead(_C, 7)} AS fut FROM d)"""
+
+BASE_SEL = """coin_id, coin_symbol, coin_name, event_date,
+  round(open_price_usd, 6) AS open_price_usd, round(close_price_usd, 6) AS close_price_usd,
+  round(avg_price_usd, 6) AS avg_price_usd, round(max_price_usd, 6) AS max_price_usd,
+  round(min_price_usd, 6) AS min_price_usd, round(volume_usd, 6) AS volume_usd,
+  round(market_cap_usd, 6) AS market_cap_usd, samples_per_day"""
+
+PRICE_FEATURES_SQL = [
+    *lag_sql(), *ma_sql(), *vol_sql(), *ret_sql(), *range_sql(), _r(_rsi_expr(), "rsi_14"), *cal_sql(),
+    _r(f"{_MA7} - {_MA30}", "trend"), _r(_div(f"{_MA7} - {_MA30}", _MA30), "trend_strength"),
+    *VOLUME_SQL_PRICE, _r(_pct("market_cap_usd", 1), "mcap_change"), *target_sql()]
+
+TREND_FEATURES_SQL = [
+    *lag_sql(), *ma_sql(), *vol_sql(pct=True), *ret_sql((1, 3, 7, 14), scale="100.0"), *momentum_sql(),
+    _r(_rsi_expr(), "rsi_14"), *bb_sql(),
+    _r(f"{_MA7} - {_MA21}", "trend_7_21"), _r(f"{_MA7} - {_MA30}", "trend_7_30"),
+    _r(f"{_div(f'{_MA7} - {_MA30}', _MA30)} * 100.0{DBL}", "trend_strength"),
+    *VOLUME_SQL_PRICE, _r(f"{_pct('volume_usd', 1)} * 100.0{DBL}", "volume_change"), *cal_sql(dom=False),
+    _r("_fut", "future_price"), f"{label_sql(_C, '_fut')} AS trend_label"]
+
+PRICE_FRAME = f"pf AS (SELECT {BASE_SEL},\n  " + ",\n  ".join(PRICE_FEATURES_SQL) + "\nFROM dr)"
+TREND_FRAME = (f"tf AS (SELECT {BASE_SEL},\n  " + ",\n  ".join(TREND_FEATURES_SQL)
+               + f"\nFROM (SELECT *, {_lead(_C, 7)} AS _fut FROM dr))")
+
+ORACLE["features_price"] = with_(*D_ALL, DR, PRICE_FRAME) + "SELECT * FROM pf"
+ORACLE["features_trend"] = with_(*D_ALL, DR, TREND_FRAME) + "SELECT * FROM tf"
