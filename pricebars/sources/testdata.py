@@ -8,8 +8,9 @@
   ``value * 100``.  ``props.k`` is the sentiment value.
 * **D** (``orders`` + ``lineitem``): ``o_orderpriority`` is the coin; each order is
   a tick at its order date (all midnight, ties broken by ``o_orderkey``); volume and
-  market cap are the mean ``l_extendedprice`` and ``l_extendedprice * (1 -
-  l_discount)`` per priority and ship date.  This gives a long daily series
+  market cap are the mean ``l_extendedprice`` and ``l_extendedprice * l_quantity``
+  per priority and ship date (cent-valued inputs, so 6-decimal means never sit on
+  an engine-dependent rounding tie).  This gives a long daily series
   with gaps for the window features.
 """
 
@@ -87,12 +88,12 @@ def order_ticks(orders: DataFrame) -> DataFrame:
 
 def order_measures(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Line items as volume / cap points per priority and ship date."""
-    li = lineitem.select("l_orderkey", "l_shipdate", "l_extendedprice", "l_discount")
+    li = lineitem.select("l_orderkey", "l_shipdate", "l_extendedprice", "l_quantity")
     o = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority")
     return (li.join(o, "l_orderkey")
             .select(F.col("o_orderpriority").alias("coin_id"), F.to_date("l_shipdate").alias("event_date"),
                     F.col("l_extendedprice").alias("volume_usd"),
-                    (F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))).alias("market_cap_usd")))
+                    (F.col("l_extendedprice") * F.col("l_quantity")).alias("market_cap_usd")))
 
 
 def priority_dimension(spark: SparkSession) -> DataFrame:
