@@ -391,3 +391,100 @@ def features_price(spark, sf_dir):
 @query
 def features_trend(spark, sf_dir):
     return _tf(spark, sf_dir)
+
+
+# ---------------------------------------------------------------- stage 6: modeling
+
+from pricebars.operators import modeling as M  # noqa: E402
+
+MAX_ITER_PRICE = 5    # boosting rounds in the registered smoke queries (the
+MAX_ITER_TREND = 3    # reference uses 200 / 150; these are parameters)
+
+
+def _price_split(spark, sf_dir, horizon=1):
+    frame = _pf(spark, sf_dir)
+    cols = FT.feature_columns(frame, "price")
+    clean = M.clean_rows(frame, cols, f"target_{horizon}d")
+    return frame, cols, clean, M.chrono_split(clean, 0.2)
+
+
+def _trend_split(spark, sf_dir):
+    frame = _tf(spark, sf_dir)
+    cols = FT.feature_columns(frame, "trend")
+    clean = M.clean_rows(frame, cols, "trend_label")
+    return frame, cols, clean, M.chrono_split(clean, 0.2)
+
+
+@query
+def clean_rows(spark, sf_dir):
+    _, _, clean, _ = _price_split(spark, sf_dir)
+    return M.clean_counts(clean)
+
+
+@query
+def chrono_split(spark, sf_dir):
+    _, _, _, split = _price_split(spark, sf_dir)
+    return split.select("coin_id", "event_date", "split")
+
+
+@query
+def scaled_features(spark, sf_dir):
+    _, cols, _, split = _price_split(spark, sf_dir)
+    out = M.standardize(split, M.scaler_stats(split, cols), cols)
+    return out.select("coin_id", "event_date", "split", *cols)
+
+
+@query
+def score_row(spark, sf_dir):
+    frame = _pf(spark, sf_dir)
+    cols = FT.feature_columns(frame, "price")
+    return M.impute_latest(frame, cols).select("coin_id", "event_date", *cols)
+
+
+@query
+def metrics_regression(spark, sf_dir):
+    """Metric formulas on the naive forecast "tomorrow's close = today's close"."""
+    _, _, _, split = _price_split(spark, sf_dir)
+    pred = split.select("coin_id", "split", F.col("target_1d").alias("label"),
+                        F.col("close_price_usd").alias("prediction"))
+    return M.regression_metrics(pred)
+
+
+def _flat_forecast(spark, sf_dir):
+    _, _, _, split = _trend_split(spark, sf_dir)
+    return split.withColumn("predicted", F.lit("FLAT"))
+
+
+@query
+def metrics_trend(spark, sf_dir):
+    return M.accuracy(_flat_forecast(spark, sf_dir))
+
+
+@query
+def confusion(spark, sf_dir):
+    return M.confusion(_flat_forecast(spark, sf_dir).where(F.col("split") == "test"))
+
+
+@query
+def class_distribution(spark, sf_dir):
+    _, _, _, split = _trend_split(spark, sf_dir)
+    return M.class_distribution(split)
+
+
+@query
+def forecast_price(spark, sf_dir):
+    out, _ = M.forecast_price(_metrics(spark, sf_dir), horizons=(1, 7, 30), max_iter=MAX_ITER_PRICE)
+    return out
+
+
+@query
+def forecast_trend(spark, sf_dir):
+    fc, _, _ = M.forecast_trend(_metrics(spark, sf_dir), 7, 2.0, max_iter=MAX_ITER_TREND)
+    return fc
+
+
+@query
+def feature_importance(spark, sf_dir):
+    _, models = M.forecast_price(_metrics(spark, sf_dir), horizons=(1,), max_iter=MAX_ITER_PRICE)
+    model, cols = models[1]
+    return M.feature_importance(model, cols, spark)

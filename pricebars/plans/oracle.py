@@ -438,22 +438,124 @@ BASE_SEL = """coin_id, coin_symbol, coin_name, event_date,
   round(min_price_usd, 6) AS min_price_usd, round(volume_usd, 6) AS volume_usd,
   round(market_cap_usd, 6) AS market_cap_usd, samples_per_day"""
 
-PRICE_FEATURES_SQL = [
-    *lag_sql(), *ma_sql(), *vol_sql(), *ret_sql(), *range_sql(), _r(_rsi_expr(), "rsi_14"), *cal_sql(),
-    _r(f"{_MA7} - {_MA30}", "trend"), _r(_div(f"{_MA7} - {_MA30}", _MA30), "trend_strength"),
-    *VOLUME_SQL_PRICE, _r(_pct("market_cap_usd", 1), "mcap_change"), *target_sql()]
-
-TREND_FEATURES_SQL = [
-    *lag_sql(), *ma_sql(), *vol_sql(pct=True), *ret_sql((1, 3, 7, 14), scale="100.0"), *momentum_sql(),
-    _r(_rsi_expr(), "rsi_14"), *bb_sql(),
-    _r(f"{_MA7} - {_MA21}", "trend_7_21"), _r(f"{_MA7} - {_MA30}", "trend_7_30"),
-    _r(f"{_div(f'{_MA7} - {_MA30}', _MA30)} * 100.0{DBL}", "trend_strength"),
-    *VOLUME_SQL_PRICE, _r(f"{_pct('volume_usd', 1)} * 100.0{DBL}", "volume_change"), *cal_sql(dom=False),
-    _r("_fut", "future_price"), f"{label_sql(_C, '_fut')} AS trend_label"]
-
-PRICE_FRAME = f"pf AS (SELECT {BASE_SEL},\n  " + ",\n  ".join(PRICE_FEATURES_SQL) + "\nFROM dr)"
-TREND_FRAME = (f"tf AS (SELECT {BASE_SEL},\n  " + ",\n  ".join(TREND_FEATURES_SQL)
+def _price_features_sql(r):
+    return [
+        *[r(_lag(_C, n), f"price_lag_{n}") for n in LAGS],
+        *[x for n in MAS for x in (r(_roll("avg", _C, n), f"ma_{n}"), r(_div(_C, _roll("avg", _C, n)), f"ma_{n}_ratio"))],
+        *[r(_roll("stddev_samp", _C, n), f"volatility_{n}") for n in VOLS],
+        *[r(_pct(_C, p), _ret_name(p)) for p in (1, 3, 7, 14, 30)],
+        r(_roll("min", _C, 7), "min_7d"), r(_roll("max", _C, 7), "max_7d"),
+        r(f"{_roll('max', _C, 7)} - {_roll('min', _C, 7)}", "range_7d"),
+        r(_div(f"{_roll('max', _C, 7)} - {_roll('min', _C, 7)}", _C), "range_7d_pct"),
+        r(_rsi_expr(), "rsi_14"), *cal_sql(),
+        r(f"{_MA7} - {_MA30}", "trend"), r(_div(f"{_MA7} - {_MA30}", _MA30), "trend_strength"),
+        r(_VMA, "volume_ma_7"), r(_div("volume_usd", _VMA), "volume_ratio"),
+        r(_pct("market_cap_usd", 1), "mcap_change"),
+        *[r(_lead(_C, h), f"target_{h}d") for h in (1, 7, 30)]]
+
+
+def _trend_features_sql(r):
+    mid, sd = _roll("avg", _C, 20), _roll("stddev_samp", _C, 20)
+    up, lo = f"({mid} + 2.0{DBL} * {sd})", f"({mid} - 2.0{DBL} * {sd})"
+    return [
+        *[r(_lag(_C, n), f"price_lag_{n}") for n in LAGS],
+        *[x for n in MAS for x in (r(_roll("avg", _C, n), f"ma_{n}"), r(_div(_C, _roll("avg", _C, n)), f"ma_{n}_ratio"))],
+        *[x for n in VOLS for x in (r(_roll("stddev_samp", _C, n), f"volatility_{n}"),
+                                    r(f"{_div(_roll('stddev_samp', _C, n), _C)} * 100.0{DBL}", f"volatility_{n}_pct"))],
+        *[r(f"{_pct(_C, p)} * 100.0{DBL}", _ret_name(p)) for p in (1, 3, 7, 14)],
+        *[r(f"{_C} - {_lag(_C, p)}", f"momentum_{p}d") for p in (7, 14)],
+        r(_rsi_expr(), "rsi_14"),
+        r(mid, "bb_middle"), r(sd, "bb_std"), r(up, "bb_upper"), r(lo, "bb_lower"),
+        r(_div(f"{_C} - {lo}", f"{up} - {lo}"), "bb_position"),
+        r(f"{_MA7} - {_MA21}", "trend_7_21"), r(f"{_MA7} - {_MA30}", "trend_7_30"),
+        r(f"{_div(f'{_MA7} - {_MA30}', _MA30)} * 100.0{DBL}", "trend_strength"),
+        r(_VMA, "volume_ma_7"), r(_div("volume_usd", _VMA), "volume_ratio"),
+        r(f"{_pct('volume_usd', 1)} * 100.0{DBL}", "volume_change"), *cal_sql(dom=False),
+        r("_fut", "future_price"), f"{label_sql(_C, '_fut')} AS trend_label"]
+
+
+def _raw(expr, name):
+    return f"{expr} AS {name}"
+
+
+def _names(cols):
+    return [c.rsplit(" AS ", 1)[1].strip() for c in cols]
+
+
+BASE_RAW = """coin_id, coin_symbol, coin_name, event_date, open_price_usd, close_price_usd, avg_price_usd,
+  max_price_usd, min_price_usd, volume_usd, market_cap_usd, samples_per_day"""
+BASE_FEATURES = ["open_price_usd", "close_price_usd", "avg_price_usd", "max_price_usd", "min_price_usd",
+                 "volume_usd", "market_cap_usd", "samples_per_day"]
+
+PRICE_FRAME = f"pf AS (SELECT {BASE_SEL},\n  " + ",\n  ".join(_price_features_sql(_r)) + "\nFROM dr)"
+TREND_FRAME = (f"tf AS (SELECT {BASE_SEL},\n  " + ",\n  ".join(_trend_features_sql(_r))
                + f"\nFROM (SELECT *, {_lead(_C, 7)} AS _fut FROM dr))")
+PRICE_RAW = f"pfr AS (SELECT {BASE_RAW},\n  " + ",\n  ".join(_price_features_sql(_raw)) + "\nFROM dr)"
+TREND_RAW = (f"tfr AS (SELECT {BASE_RAW},\n  " + ",\n  ".join(_trend_features_sql(_raw))
+             + f"\nFROM (SELECT *, {_lead(_C, 7)} AS _fut FROM dr))")
+
+PRICE_COLS = BASE_FEATURES + [n for n in _names(_price_features_sql(_raw)) if not n.startswith("target_")]
+TREND_COLS = BASE_FEATURES + [n for n in _names(_trend_features_sql(_raw))
+                              if n not in ("future_price", "trend_label", "bb_std", "bb_middle", "bb_upper",
+                                           "bb_lower")]
 
 ORACLE["features_price"] = with_(*D_ALL, DR, PRICE_FRAME) + "SELECT * FROM pf"
 ORACLE["features_trend"] = with_(*D_ALL, DR, TREND_FRAME) + "SELECT * FROM tf"
+
+# ---------------------------------------------------------------- stage 6: modeling
+
+
+def _not_null(cols):
+    return " AND ".join(f"{c} IS NOT NULL" for c in cols)
+
+
+_SPLIT = ("CASE WHEN row_number() OVER (PARTITION BY coin_id ORDER BY event_date) <= "
+          "floor(count(*) OVER (PARTITION BY coin_id) * (1.0::DOUBLE - 0.2::DOUBLE)) THEN 'train' ELSE 'test' END")
+P_CLEAN = f"pclean AS (SELECT * FROM pfr WHERE {_not_null(PRICE_COLS + ['target_1d'])})"
+P_SPLIT = f"psplit AS (SELECT *, {_SPLIT} AS split FROM pclean)"
+T_CLEAN = f"tclean AS (SELECT * FROM tfr WHERE {_not_null(TREND_COLS + ['trend_label'])})"
+T_SPLIT = f"tsplit AS (SELECT *, {_SPLIT} AS split, 'FLAT' AS predicted FROM tclean)"
+P_ALL = (*D_ALL, DR, PRICE_RAW, P_CLEAN, P_SPLIT)
+T_ALL = (*D_ALL, DR, TREND_RAW, T_CLEAN, T_SPLIT)
+
+ORACLE["clean_rows"] = with_(*D_ALL, DR, PRICE_RAW, P_CLEAN) + """
+SELECT coin_id, count(*) AS n_clean, count(*) >= 50 AS enough FROM pclean GROUP BY coin_id"""
+
+ORACLE["chrono_split"] = with_(*P_ALL) + "SELECT coin_id, event_date, split FROM psplit"
+
+_STATS = ", ".join(f"avg({c}) AS mu_{c}, stddev_pop({c}) AS sd_{c}" for c in PRICE_COLS)
+_SCALED = ",\n  ".join(
+    f"round(({c} - mu_{c}) / CASE WHEN sd_{c} = 0 THEN 1.0::DOUBLE ELSE sd_{c} END, 6) AS {c}" for c in PRICE_COLS)
+ORACLE["scaled_features"] = with_(*P_ALL) + f""",
+st AS (SELECT coin_id, {_STATS} FROM psplit WHERE split = 'train' GROUP BY coin_id)
+SELECT coin_id, event_date, split,
+  {_SCALED}
+FROM psplit JOIN st USING (coin_id)"""
+
+_MEANS = ", ".join(f"avg({c}) OVER (PARTITION BY coin_id) AS m_{c}" for c in PRICE_COLS)
+_IMPUTED = ",\n  ".join(f"round(coalesce({c}, m_{c}), 6) AS {c}" for c in PRICE_COLS)
+ORACLE["score_row"] = with_(*D_ALL, DR, PRICE_RAW) + f"""
+SELECT coin_id, event_date,
+  {_IMPUTED}
+FROM (SELECT *, {_MEANS}, row_number() OVER (PARTITION BY coin_id ORDER BY event_date DESC) AS _rn FROM pfr)
+WHERE _rn = 1"""
+
+ORACLE["metrics_regression"] = with_(*P_ALL) + """
+SELECT coin_id, split, count(*) AS n, round(avg(abs(y - p)), 6) AS mae, round(sqrt(avg((y - p) * (y - p))), 6) AS rmse,
+  round(CASE WHEN var_pop(y) = 0 THEN CASE WHEN avg((y - p) * (y - p)) = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
+             ELSE 1.0::DOUBLE - avg((y - p) * (y - p)) / var_pop(y) END, 6) AS r2,
+  round(CASE WHEN split = 'test' THEN avg(abs((y - p) / nullif(y, 0))) * 100.0::DOUBLE END, 6) AS mape
+FROM (SELECT coin_id, split, target_1d AS y, close_price_usd AS p FROM psplit) GROUP BY coin_id, split"""
+
+ORACLE["metrics_trend"] = with_(*T_ALL) + """
+SELECT coin_id, split, count(*) AS n,
+  round(avg(CASE WHEN trend_label = predicted THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) AS accuracy
+FROM tsplit GROUP BY coin_id, split"""
+
+ORACLE["confusion"] = with_(*T_ALL) + """
+SELECT coin_id, trend_label AS true_label, count(CASE WHEN predicted = 'DOWN' THEN 1 END) AS pred_down,
+  count(CASE WHEN predicted = 'FLAT' THEN 1 END) AS pred_flat, count(CASE WHEN predicted = 'UP' THEN 1 END) AS pred_up
+FROM tsplit WHERE split = 'test' GROUP BY coin_id, trend_label"""
+
+ORACLE["class_distribution"] = with_(*T_ALL) + """
+SELECT coin_id, trend_label AS label, count(*) AS n FROM tsplit WHERE split = 'test' GROUP BY coin_id, trend_label"""
