@@ -107,6 +107,27 @@ def trend_label(current: ColumnOrName, future: ColumnOrName, threshold_pct: floa
             .when(cur == 0, by_sign).otherwise(by_change))
 
 
+ORDER_KEY_TYPE = T.DecimalType(38, 0)
+
+
+def order_key(event_ms: ColumnOrName, *seq: tuple[ColumnOrName, int]) -> Column:
+    """Pack ``event_ms`` and tie-break numbers into one ``decimal(38,0)``.
+
+    ``order_key(ms, (a, 14), (b, 10))`` orders exactly like ``(ms, a, b)`` as long
+    as ``0 <= a < 10**14`` and ``0 <= b < 10**10``.  A decimal ordering keeps
+    ``min_by`` / ``max_by`` in Spark's hash aggregate (a struct ordering would
+    force a sort-based aggregate over every tick)."""
+    total = sum(d for _, d in seq)
+    if total > 24:
+        raise ValueError("tie-break digits must not exceed 24")
+    key = col(event_ms).cast(ORDER_KEY_TYPE) * F.lit(str(10 ** total)).cast(ORDER_KEY_TYPE)
+    shift = total
+    for c, digits in seq:
+        shift -= digits
+        key = key + col(c).cast(ORDER_KEY_TYPE) * F.lit(str(10 ** shift)).cast(ORDER_KEY_TYPE)
+    return key.cast(ORDER_KEY_TYPE)
+
+
 def zero_if_missing(c: ColumnOrName) -> Column:
     """NULL or NaN becomes 0.0 (load-time normalisation of volume / cap)."""
     return F.nanvl(F.coalesce(col(c).cast(T.DoubleType()), F.lit(0.0)), F.lit(0.0))

@@ -27,6 +27,7 @@ from pricebars.session import ensure_checkpoint_dir
 KEY = "coin_id"
 MIN_CLEAN_ROWS = 50     # fixed value: rows a model needs after cleaning
 MIN_RAW_ROWS = 60       # fixed value: rows a coin needs before any forecast
+ROWS_PER_PARTITION = 200_000  # training rows per task for the tree fits
 
 
 # ---------------------------------------------------------------- data preparation
@@ -137,6 +138,13 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def training_partitions(frame: DataFrame) -> int:
+    """Partitions for a model's input: one per ``ROWS_PER_PARTITION`` rows.  Tree
+    fits run one job per tree level, so many tiny partitions only add overhead;
+    the count is a scalar read from the (checkpointed) frame."""
+    return max(1, -(-frame.count() // ROWS_PER_PARTITION))
+
+
 def forecast_price(metrics: DataFrame, horizons=(1, 7, 30), max_iter: int = 10, max_depth: int = 6,
                    test_size: float = 0.2, seed: int = 42) -> tuple[DataFrame, dict]:
     """Price forecast per coin and horizon.
@@ -146,6 +154,7 @@ def forecast_price(metrics: DataFrame, horizons=(1, 7, 30), max_iter: int = 10,
     coin's test RMSE); a coin with too few clean rows gets NULLs for that horizon.
     """
     frame = materialize(price_features(metrics))
+    parts = training_partitions(frame)
     cols = feature_columns(frame, "price")
     coins = frame.select(KEY).distinct()
     newest = impute_latest(frame, cols).withColumn("_close", F.col("close_price_usd"))
@@ -156,7 +165,7 @@ def forecast_price(metrics: DataFrame, horizons=(1, 7, 30), max_iter: int = 10,
         stats = scaler_stats(split, cols)
         data = (standardize(split.withColumn("_close", F.col("close_price_usd")), stats, cols)
                 .withColumn("label", safe_div(F.col(target), F.col("_close")))
-                .persist(StorageLevel.MEMORY_AND_DISK))
+                .repartition(parts, KEY).persist(StorageLevel.MEMORY_AND_DISK))
         assembler = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep")
         gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=max_depth,
                            stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy="0.8",
@@ -202,10 +211,11 @@ def forecast_trend(metrics: DataFrame, horizon_days: int = 7, threshold_pct: flo
     confidence, p_down, p_flat, p_up, current_price``; ``metrics`` has the train
     and test accuracy per coin."""
     frame = materialize(trend_features(metrics, horizon_days, threshold_pct))
+    parts = training_partitions(frame)
     cols = feature_columns(frame, "trend")
     split = _prepared(frame, cols, "trend_label", test_size, MIN_CLEAN_ROWS)
     stats = scaler_stats(split, cols)
-    data = standardize(split, stats, cols).persist(StorageLevel.MEMORY_AND_DISK)
+    data = standardize(split, stats, cols).repartition(parts, KEY).persist(StorageLevel.MEMORY_AND_DISK)
     indexer = StringIndexer(inputCol="trend_label", outputCol="label", stringOrderType="alphabetAsc",
                             handleInvalid="keep")
     assembler = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep")

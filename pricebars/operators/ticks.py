@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricebars.functions.exprs import order_key
+
 PRICE, VOLUME, MARKET_CAP = "prices", "total_volumes", "market_caps"
 
 
@@ -37,9 +39,10 @@ def ticks(payloads: DataFrame, field: str = PRICE, value_name: str = "price_usd"
 
 
 def price_ticks(payloads: DataFrame) -> DataFrame:
-    """Price ticks with the ordering key used for open / close."""
+    """Price ticks with the ordering key used for open / close: full-precision
+    time, then part, then array position (``part < 10**14``)."""
     t = ticks(payloads, PRICE, "price_usd")
-    return t.withColumn("tick_key", F.struct("event_ms", "part", "pos"))
+    return t.withColumn("tick_key", order_key("event_ms", ("part", 14), ("pos", 10)))
 
 
 def measure_points(payloads: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pricebars.functions.exprs import order_key
 from pricebars.operators.bars import roll_up
 from pricebars.operators.enrich import coin_dimension, enrich
 
@@ -82,7 +83,7 @@ def order_ticks(orders: DataFrame) -> DataFrame:
     return (orders.where(F.col("o_totalprice").isNotNull())
             .select(F.col("o_orderpriority").alias("coin_id"),
                     F.to_date("o_orderdate").alias("event_date"),
-                    F.struct(ms.alias("event_ms"), F.col("o_orderkey").alias("seq")).alias("tick_key"),
+                    order_key(ms, ("o_orderkey", 19)).alias("tick_key"),
                     F.col("o_totalprice").alias("price_usd")))
 
 
