@@ -24,6 +24,11 @@ def read_payloads(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
            .option("columnNameOfCorruptRecord", "_corrupt_record")
            .json(path)
            .select("*", F.col("_metadata.file_name").alias("file_name")))
+    return tag_payloads(raw)
+
+
+def tag_payloads(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split parsed payload rows (with ``file_name``) into ``(good, rejects)``."""
     coin = F.regexp_extract("file_name", FILE_NAME_PATTERN, 1)
     day = F.regexp_extract("file_name", FILE_NAME_PATTERN, 2)
     usable = F.exists(F.coalesce("prices", F.array()),

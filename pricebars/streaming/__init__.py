@@ -1,0 +1 @@
+from pricebars.streaming.refresh import refresh_batch, refresh_stream  # noqa: F401
