@@ -152,6 +152,8 @@ def forecast_price(metrics: DataFrame, horizons=(1, 7, 30), max_iter: int = 10,
     Returns ``(forecasts, models)``: ``forecasts`` has ``coin_id, horizon,
     current_price, prediction, confidence, change_pct`` (``confidence`` = the
     coin's test RMSE); a coin with too few clean rows gets NULLs for that horizon.
+    ``models[h]`` is ``(fitted pipeline, feature columns, metrics frame)`` with
+    MAE / RMSE / R2 per coin and split and MAPE on test.
     """
     frame = materialize(price_features(metrics))
     parts = training_partitions(frame)
@@ -171,11 +173,12 @@ def forecast_price(metrics: DataFrame, horizons=(1, 7, 30), max_iter: int = 10,
                            stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy="0.8",
                            minInstancesPerNode=3, seed=seed)
         model = Pipeline(stages=[assembler, gbt]).fit(data.where(F.col("split") == "train"))
-        models[h] = (model, cols)
         scored = (model.transform(data)
                   .select(KEY, "split", F.col(target).alias("label"),
                           (F.col("prediction") * F.col("_close")).alias("prediction")))
-        rmse = (regression_metrics(scored).where(F.col("split") == "test")
+        fit_metrics = materialize(regression_metrics(scored).withColumn("horizon", F.lit(h)))
+        models[h] = (model, cols, fit_metrics)
+        rmse = (fit_metrics.where(F.col("split") == "test")
                 .select(KEY, F.col("rmse").alias("confidence")))
         pred = (model.transform(standardize(newest, stats, cols))
                 .select(KEY, F.col("_close").alias("current_price"),
@@ -209,7 +212,8 @@ def forecast_trend(metrics: DataFrame, horizon_days: int = 7, threshold_pct: flo
 
     Returns ``(forecast, metrics, model)``: ``forecast`` has ``coin_id, trend,
     confidence, p_down, p_flat, p_up, current_price``; ``metrics`` has the train
-    and test accuracy per coin."""
+    and test accuracy per coin (``trend_metrics`` gives the confusion matrix and
+    class counts of a scored frame)."""
     frame = materialize(trend_features(metrics, horizon_days, threshold_pct))
     parts = training_partitions(frame)
     cols = feature_columns(frame, "trend")
@@ -245,3 +249,28 @@ def forecast_trend(metrics: DataFrame, horizon_days: int = 7, threshold_pct: flo
     fc = materialize(fc)
     data.unpersist()
     return fc, acc, model
+
+
+# ---------------------------------------------------------------- public wrappers
+
+score_row = impute_latest
+
+
+def trend_metrics(scored: DataFrame, label: str = "trend_label", prediction: str = "predicted"):
+    """``(accuracy per coin and split, confusion rows on test, test class counts)``."""
+    test = scored.where(F.col("split") == "test")
+    return accuracy(scored, label, prediction), confusion(test, label, prediction), class_distribution(scored, label)
+
+
+def predict_multiple_horizons(metrics: DataFrame, horizons=(1, 7, 30), max_iter: int = 10) -> DataFrame:
+    """Forecast rows for each horizon (a coin without enough rows gets NULLs)."""
+    return forecast_price(metrics, horizons, max_iter=max_iter)[0]
+
+
+def train_and_predict(metrics: DataFrame, target_days: int = 30, max_iter: int = 10) -> DataFrame:
+    return forecast_price(metrics, (target_days,), max_iter=max_iter)[0]
+
+
+def predict_trend(metrics: DataFrame, horizon_days: int = 7, threshold_pct: float = 2.0,
+                  max_iter: int = 5) -> DataFrame:
+    return forecast_trend(metrics, horizon_days, threshold_pct, max_iter=max_iter)[0]

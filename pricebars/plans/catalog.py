@@ -486,5 +486,5 @@ def forecast_trend(spark, sf_dir):
 @query
 def feature_importance(spark, sf_dir):
     _, models = M.forecast_price(_metrics(spark, sf_dir), horizons=(1,), max_iter=MAX_ITER_PRICE)
-    model, cols = models[1]
+    model, cols, _ = models[1]
     return M.feature_importance(model, cols, spark)

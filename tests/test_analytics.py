@@ -131,3 +131,35 @@ def test_regression_metrics_formulas(spark):
     assert r["mae"] == pytest.approx(0.5) and r["rmse"] == pytest.approx((1.25 / 3) ** 0.5)
     assert r["r2"] == pytest.approx(1 - (1.25 / 3) / (2 / 3))
     assert r["mape"] == pytest.approx((0.5 + 0 + 1 / 3) / 3 * 100)
+
+
+def test_m9_label_index_alphabetical(spark):
+    from pyspark.ml.feature import StringIndexer
+
+    df = spark.createDataFrame([("UP",), ("UP",), ("FLAT",), ("DOWN",), ("UP",)], "trend_label string")
+    model = StringIndexer(inputCol="trend_label", outputCol="i", stringOrderType="alphabetAsc").fit(df)
+    assert list(model.labels) == ["DOWN", "FLAT", "UP"]
+
+
+def test_p9_processed_at_stamp(spark):
+    from pricebars.operators.bars import daily_metrics
+    from pricebars.sources import testdata as TD
+
+    m = daily_metrics(TD.event_payloads(TD.table(spark, "/root/testdata/sf0.001", "events")))
+    assert m.where("processed_at IS NULL").count() == 0
+
+
+def test_forecast_wrappers_on_small_data(spark):
+    from pricebars.sources import testdata as TD
+
+    metrics = TD.order_metrics(spark, "/root/testdata/sf0.001").where("coin_id IN ('1-URGENT', '2-HIGH')")
+    fc, acc, _ = M.forecast_trend(metrics, 7, 2.0, max_iter=1, max_depth=2)
+    rows = fc.collect()
+    assert len(rows) == 2
+    for r in rows:
+        assert r["trend"] in ("DOWN", "FLAT", "UP")
+        assert abs(r["p_down"] + r["p_flat"] + r["p_up"] - 1.0) < 1e-9
+        assert r["confidence"] == max(r["p_down"], r["p_flat"], r["p_up"])
+    assert {r["split"] for r in acc.collect()} == {"train", "test"}
+    price = M.train_and_predict(metrics, target_days=7, max_iter=1).collect()
+    assert len(price) == 2 and all(r["prediction"] is not None and r["confidence"] is not None for r in price)
