@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricebars.functions.exprs import round_doubles
+from pricebars.session import configure
 from pricebars.operators import bars as B
 from pricebars.operators import ticks as TK
 from pricebars.sources import testdata as TD
@@ -22,7 +23,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(fn):
-    QUERIES[fn.__name__] = lambda spark, sf_dir: round_doubles(fn(spark, sf_dir))
+    def run(spark, sf_dir):
+        configure(spark)
+        return round_doubles(fn(spark, sf_dir))
+
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    QUERIES[fn.__name__] = run
     return fn
 
 

@@ -28,6 +28,21 @@ BASE_CONF = {
 }
 
 
+RUNTIME_CONF = {k: v for k, v in BASE_CONF.items() if k.startswith("spark.sql.")}
+
+
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the runtime SQL settings the library relies on (UTC dates first)
+    to a session someone else built."""
+    for k, v in RUNTIME_CONF.items():
+        if spark.conf.get(k, None) != v:
+            try:
+                spark.conf.set(k, v)
+            except Exception:  # not modifiable in this deployment
+                pass
+    return spark
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "pricebars",
                   extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app)
