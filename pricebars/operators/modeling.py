@@ -77,15 +77,39 @@ def standardize(df: DataFrame, stats: DataFrame, cols: list[str]) -> DataFrame:
     return j.select(*keep, *scaled)
 
 
+def standardize_train(split: DataFrame, cols: list[str], keep_stats: bool = False) -> DataFrame:
+    """Standardise with each coin's train statistics computed in the same pass:
+    window aggregates over the coin partition the split already sits on, so the
+    frame is neither recomputed nor joined.  ``keep_stats`` keeps ``_mu_*`` /
+    ``_sd_*`` columns for scoring rows outside the split."""
+    w = Window.partitionBy(KEY)
+    train = F.col("split") == "train"
+    keep = [c for c in split.columns if c not in cols]
+    out, stats = [], []
+    for c in cols:
+        mu = F.avg(F.when(train, F.col(c))).over(w)
+        sd = F.stddev_pop(F.when(train, F.col(c))).over(w)
+        out.append(((F.col(c) - mu) / F.when(sd == 0, F.lit(1.0)).otherwise(sd)).alias(c))
+        if keep_stats:
+            stats += [mu.alias(f"_mu_{c}"), sd.alias(f"_sd_{c}")]
+    return split.select(*keep, *out, *stats)
+
+
+def stats_of(scaled: DataFrame, cols: list[str]) -> DataFrame:
+    """One row per coin with the ``_mu_*`` / ``_sd_*`` kept by ``standardize_train``."""
+    names = [f"_{k}_{c}" for c in cols for k in ("mu", "sd")]
+    return scaled.groupBy(KEY).agg(*[F.first(n).alias(n) for n in names])
+
+
 def impute_latest(frame: DataFrame, cols: list[str]) -> DataFrame:
     """Each coin's newest row with NULL features replaced by that coin's column
-    means over all its rows."""
-    means = frame.groupBy(KEY).agg(*[F.avg(c).alias(f"_m_{c}") for c in cols])
-    w = Window.partitionBy(KEY).orderBy("event_date")
-    last = frame.select("*", F.lead("event_date", 1).over(w).isNull().alias("_last")).where("_last").drop("_last")
-    j = last.join(F.broadcast(means), KEY)
+    means over all its rows (window aggregates: one exchange, no join)."""
+    whole = Window.partitionBy(KEY)
+    ordered = Window.partitionBy(KEY).orderBy("event_date")
     keep = [c for c in frame.columns if c not in cols]
-    return j.select(*keep, *[F.coalesce(F.col(c), F.col(f"_m_{c}")).alias(c) for c in cols])
+    out = frame.select(*keep, *[F.coalesce(F.col(c), F.avg(c).over(whole)).alias(c) for c in cols],
+                       F.lead("event_date", 1).over(ordered).isNull().alias("_last"))
+    return out.where("_last").drop("_last")
 
 
 # ---------------------------------------------------------------- metrics
@@ -164,10 +188,10 @@ def forecast_price(metrics: DataFrame, horizons=(1, 7, 30), max_iter: int = 10,
     for h in horizons:
         target = f"target_{h}d"
         split = _prepared(frame, cols, target, test_size, MIN_CLEAN_ROWS)
-        stats = scaler_stats(split, cols)
-        data = (standardize(split.withColumn("_close", F.col("close_price_usd")), stats, cols)
+        data = (standardize_train(split.withColumn("_close", F.col("close_price_usd")), cols, keep_stats=True)
                 .withColumn("label", safe_div(F.col(target), F.col("_close")))
                 .repartition(parts, KEY).persist(StorageLevel.MEMORY_AND_DISK))
+        stats = stats_of(data, cols)
         assembler = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep")
         gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=max_depth,
                            stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy="0.8",
@@ -218,8 +242,9 @@ def forecast_trend(metrics: DataFrame, horizon_days: int = 7, threshold_pct: flo
     parts = training_partitions(frame)
     cols = feature_columns(frame, "trend")
     split = _prepared(frame, cols, "trend_label", test_size, MIN_CLEAN_ROWS)
-    stats = scaler_stats(split, cols)
-    data = standardize(split, stats, cols).repartition(parts, KEY).persist(StorageLevel.MEMORY_AND_DISK)
+    data = (standardize_train(split, cols, keep_stats=True)
+            .repartition(parts, KEY).persist(StorageLevel.MEMORY_AND_DISK))
+    stats = stats_of(data, cols)
     indexer = StringIndexer(inputCol="trend_label", outputCol="label", stringOrderType="alphabetAsc",
                             handleInvalid="keep")
     assembler = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep")

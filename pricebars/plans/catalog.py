@@ -437,8 +437,7 @@ def chrono_split(spark, sf_dir):
 @query
 def scaled_features(spark, sf_dir):
     _, cols, _, split = _price_split(spark, sf_dir)
-    out = M.standardize(split, M.scaler_stats(split, cols), cols)
-    return out.select("coin_id", "event_date", "split", *cols)
+    return M.standardize_train(split, cols).select("coin_id", "event_date", "split", *cols)
 
 
 @query
