@@ -44,6 +44,11 @@ def _w():
     return series_window()
 
 
+# Column helpers (one feature group each).  They inline their window
+# expressions, which suits single-group reads; the full frames below are built
+# in stages instead, so each window expression appears exactly once.
+
+
 def lag_features(c: str = PRICE, lags=LAGS) -> list[Column]:
     return [F.lag(c, n).over(_w()).alias(f"price_lag_{n}") for n in lags]
 
@@ -106,47 +111,92 @@ def with_rsi(df: DataFrame, c: str = PRICE, n: int = RSI_WINDOW) -> DataFrame:
     return d.withColumn(f"rsi_{n}", rsi("_delta", _w(), n)).drop("_delta")
 
 
+# ---------------------------------------------------------------- full frames
+
+
+def _window_stage(metrics: DataFrame, lags, extra_lags, ma_windows, std_windows, range_window,
+                  leads: dict[str, int]) -> DataFrame:
+    """Stage 1: every window expression once (lags, gated means / stds /
+    extremes, the RSI difference, volume mean, leads)."""
+    w, c = _w(), PRICE
+    cols = [F.lag(c, n).over(w).alias(f"price_lag_{n}") for n in lags]
+    cols += [F.lag(c, n).over(w).alias(f"_lag_{n}") for n in extra_lags if n not in lags]
+    cols += [rolling_mean(c, w, n).alias(f"ma_{n}") for n in ma_windows]
+    cols += [rolling_std(c, w, n).alias(f"_sd_{n}") for n in std_windows]
+    if range_window:
+        cols += [rolling_min(c, w, range_window).alias(f"min_{range_window}d"),
+                 rolling_max(c, w, range_window).alias(f"max_{range_window}d")]
+    cols.append((F.col(c) - F.lag(c, 1).over(w)).alias("_delta"))
+    if "volume_usd" in metrics.columns:
+        cols += [rolling_mean("volume_usd", w, 7).alias("volume_ma_7"),
+                 F.lag("volume_usd", 1).over(w).alias("_vol_lag_1")]
+    if "market_cap_usd" in metrics.columns:
+        cols.append(F.lag("market_cap_usd", 1).over(w).alias("_cap_lag_1"))
+    cols += [F.lead(c, h).over(w).alias(name) for name, h in leads.items()]
+    out = metrics.select("*", *cols)
+    return out.withColumn(f"rsi_{RSI_WINDOW}", rsi("_delta", w, RSI_WINDOW))
+
+
+def _lag_col(n: int, lags) -> Column:
+    return F.col(f"price_lag_{n}") if n in lags else F.col(f"_lag_{n}")
+
+
+def _ret(n: int, lags) -> Column:
+    return safe_div(F.col(PRICE), _lag_col(n, lags)) - F.lit(1.0)
+
+
 def price_features(metrics: DataFrame, lookback_days: int = 30) -> DataFrame:
     """Regressor feature frame: input columns, 39 derived features and the three
     targets, in the reference's column order."""
-    w = _w()
-    base = metrics.select(
-        "*",
-        *lag_features(lags=[n for n in LAGS if n <= lookback_days]),
-        *ma_features(), *volatility_features(), *return_features(), *range_features())
-    base = with_rsi(base)
-    has_vol, has_cap = "volume_usd" in metrics.columns, "market_cap_usd" in metrics.columns
-    extra = [*calendar_features(),
+    c = F.col(PRICE)
+    lags = [n for n in LAGS if n <= lookback_days]
+    st = _window_stage(metrics, lags, RETURN_PERIODS_PRICE, MA_WINDOWS, VOL_WINDOWS, 7,
+                       {f"target_{h}d": h for h in TARGET_HORIZONS})
+    cols = [F.col(f"price_lag_{n}") for n in lags]
+    for n in MA_WINDOWS:
+        cols += [F.col(f"ma_{n}"), safe_div(c, F.col(f"ma_{n}")).alias(f"ma_{n}_ratio")]
+    cols += [F.col(f"_sd_{n}").alias(f"volatility_{n}") for n in VOL_WINDOWS]
+    cols += [_ret(p, lags).alias(_return_name(p)) for p in RETURN_PERIODS_PRICE]
+    rng = F.col("max_7d") - F.col("min_7d")
+    cols += [F.col("min_7d"), F.col("max_7d"), rng.alias("range_7d"), safe_div(rng, c).alias("range_7d_pct"),
+             F.col("rsi_14"), *calendar_features(),
              (F.col("ma_7") - F.col("ma_30")).alias("trend"),
              safe_div(F.col("ma_7") - F.col("ma_30"), F.col("ma_30")).alias("trend_strength")]
-    if has_vol:
-        vma = rolling_mean("volume_usd", w, 7)
-        extra += [vma.alias("volume_ma_7"), safe_div(F.col("volume_usd"), vma).alias("volume_ratio")]
-    if has_cap:
-        extra.append(pct_change("market_cap_usd", w, 1).alias("mcap_change"))
-    extra += target_features()
-    return base.select("*", *extra)
+    if "volume_usd" in metrics.columns:
+        cols += [F.col("volume_ma_7"), safe_div(F.col("volume_usd"), F.col("volume_ma_7")).alias("volume_ratio")]
+    if "market_cap_usd" in metrics.columns:
+        cols.append((safe_div(F.col("market_cap_usd"), F.col("_cap_lag_1")) - F.lit(1.0)).alias("mcap_change"))
+    cols += [F.col(f"target_{h}d") for h in TARGET_HORIZONS]
+    return st.select(*metrics.columns, *cols)
 
 
 def trend_features(metrics: DataFrame, horizon_days: int = 7, threshold_pct: float = 2.0) -> DataFrame:
     """Classifier feature frame with ``future_price`` and ``trend_label``."""
-    w = _w()
-    base = metrics.select(
-        "*", *lag_features(), *ma_features(), *volatility_features(pct=True),
-        *return_features(periods=RETURN_PERIODS_TREND, scale=100.0), *momentum_features())
-    base = with_rsi(base)
-    extra = [*bollinger_features(),
+    c = F.col(PRICE)
+    hundred = F.lit(100.0)
+    st = _window_stage(metrics, LAGS, RETURN_PERIODS_TREND, MA_WINDOWS + [BB_WINDOW], VOL_WINDOWS + [BB_WINDOW],
+                       None, {"future_price": horizon_days})
+    cols = [F.col(f"price_lag_{n}") for n in LAGS]
+    for n in MA_WINDOWS:
+        cols += [F.col(f"ma_{n}"), safe_div(c, F.col(f"ma_{n}")).alias(f"ma_{n}_ratio")]
+    for n in VOL_WINDOWS:
+        cols += [F.col(f"_sd_{n}").alias(f"volatility_{n}"),
+                 (safe_div(F.col(f"_sd_{n}"), c) * hundred).alias(f"volatility_{n}_pct")]
+    cols += [(_ret(p, LAGS) * hundred).alias(_return_name(p)) for p in RETURN_PERIODS_TREND]
+    cols += [(c - F.col(f"price_lag_{p}")).alias(f"momentum_{p}d") for p in (7, 14)]
+    mid, sd = F.col(f"ma_{BB_WINDOW}"), F.col(f"_sd_{BB_WINDOW}")
+    upper, lower = mid + F.lit(2.0) * sd, mid - F.lit(2.0) * sd
+    cols += [F.col("rsi_14"), mid.alias("bb_middle"), sd.alias("bb_std"), upper.alias("bb_upper"),
+             lower.alias("bb_lower"), safe_div(c - lower, upper - lower).alias("bb_position"),
              (F.col("ma_7") - F.col("ma_21")).alias("trend_7_21"),
              (F.col("ma_7") - F.col("ma_30")).alias("trend_7_30"),
-             (safe_div(F.col("ma_7") - F.col("ma_30"), F.col("ma_30")) * F.lit(100.0)).alias("trend_strength")]
+             (safe_div(F.col("ma_7") - F.col("ma_30"), F.col("ma_30")) * hundred).alias("trend_strength")]
     if "volume_usd" in metrics.columns:
-        vma = rolling_mean("volume_usd", w, 7)
-        extra += [vma.alias("volume_ma_7"), safe_div(F.col("volume_usd"), vma).alias("volume_ratio"),
-                  (pct_change("volume_usd", w, 1) * F.lit(100.0)).alias("volume_change")]
-    extra += calendar_features(day_of_month=False)
-    extra.append(F.lead(PRICE, horizon_days).over(w).alias("future_price"))
-    out = base.select("*", *extra)
-    return out.withColumn("trend_label", trend_label(PRICE, "future_price", threshold_pct))
+        cols += [F.col("volume_ma_7"), safe_div(F.col("volume_usd"), F.col("volume_ma_7")).alias("volume_ratio"),
+                 ((safe_div(F.col("volume_usd"), F.col("_vol_lag_1")) - F.lit(1.0)) * hundred).alias("volume_change")]
+    cols += [*calendar_features(day_of_month=False), F.col("future_price"),
+             trend_label(PRICE, "future_price", threshold_pct).alias("trend_label")]
+    return st.select(*metrics.columns, *cols)
 
 
 def feature_columns(frame: DataFrame, kind: str = "price") -> list[str]:
