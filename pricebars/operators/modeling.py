@@ -169,50 +169,73 @@ def training_partitions(frame: DataFrame) -> int:
     return max(1, -(-frame.count() // ROWS_PER_PARTITION))
 
 
+def _keep(df: DataFrame) -> DataFrame:
+    """Cache a small result and compute it now (its inputs are released next)."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df.count()
+    return df
+
+
+def _fit_price_horizon(frame: DataFrame, cols: list[str], newest: DataFrame, coins: DataFrame, parts: int,
+                       h: int, max_iter: int, max_depth: int, test_size: float, seed: int):
+    target = f"target_{h}d"
+    split = _prepared(frame, cols, target, test_size, MIN_CLEAN_ROWS)
+    data = (standardize_train(split.withColumn("_close", F.col("close_price_usd")), cols, keep_stats=True)
+            .withColumn("label", safe_div(F.col(target), F.col("_close")))
+            .repartition(parts, KEY).persist(StorageLevel.MEMORY_AND_DISK))
+    stats = stats_of(data, cols)
+    assembler = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep")
+    gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=max_depth,
+                       stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy="0.8",
+                       minInstancesPerNode=3, seed=seed)
+    model = Pipeline(stages=[assembler, gbt]).fit(data.where(F.col("split") == "train"))
+    scored = (model.transform(data)
+              .select(KEY, "split", F.col(target).alias("label"),
+                      (F.col("prediction") * F.col("_close")).alias("prediction")))
+    fit_metrics = _keep(regression_metrics(scored).withColumn("horizon", F.lit(h)))
+    rmse = fit_metrics.where(F.col("split") == "test").select(KEY, F.col("rmse").alias("confidence"))
+    pred = (model.transform(standardize(newest, stats, cols))
+            .select(KEY, F.col("_close").alias("current_price"),
+                    (F.col("prediction") * F.col("_close")).alias("prediction")))
+    res = _keep(coins.join(pred, KEY, "left").join(rmse, KEY, "left")
+                .select(KEY, F.lit(h).alias("horizon"), "current_price", "prediction", "confidence",
+                        (safe_div(F.col("prediction") - F.col("current_price"), F.col("current_price"))
+                         * F.lit(100.0)).alias("change_pct")))
+    data.unpersist()
+    return res, (model, cols, fit_metrics)
+
+
 def forecast_price(metrics: DataFrame, horizons=(1, 7, 30), max_iter: int = 10, max_depth: int = 6,
-                   test_size: float = 0.2, seed: int = 42) -> tuple[DataFrame, dict]:
+                   test_size: float = 0.2, seed: int = 42, parallelism: int | None = None) -> tuple[DataFrame, dict]:
     """Price forecast per coin and horizon.
 
     Returns ``(forecasts, models)``: ``forecasts`` has ``coin_id, horizon,
     current_price, prediction, confidence, change_pct`` (``confidence`` = the
     coin's test RMSE); a coin with too few clean rows gets NULLs for that horizon.
     ``models[h]`` is ``(fitted pipeline, feature columns, metrics frame)`` with
-    MAE / RMSE / R2 per coin and split and MAPE on test.
+    MAE / RMSE / R2 per coin and split and MAPE on test.  The horizons are
+    independent fits and are submitted concurrently (``parallelism`` threads,
+    default one per horizon), as ``CrossValidator(parallelism=...)`` does.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import inheritable_thread_target
+
     frame = materialize(price_features(metrics))
     parts = training_partitions(frame)
     cols = feature_columns(frame, "price")
     coins = frame.select(KEY).distinct()
-    newest = impute_latest(frame, cols).withColumn("_close", F.col("close_price_usd"))
+    newest = _keep(impute_latest(frame, cols).withColumn("_close", F.col("close_price_usd")))
+
+    @inheritable_thread_target
+    def one(h):
+        return _fit_price_horizon(frame, cols, newest, coins, parts, h, max_iter, max_depth, test_size, seed)
+
+    with ThreadPoolExecutor(max_workers=parallelism or len(horizons)) as pool:
+        results = list(pool.map(one, horizons))
     out, models = None, {}
-    for h in horizons:
-        target = f"target_{h}d"
-        split = _prepared(frame, cols, target, test_size, MIN_CLEAN_ROWS)
-        data = (standardize_train(split.withColumn("_close", F.col("close_price_usd")), cols, keep_stats=True)
-                .withColumn("label", safe_div(F.col(target), F.col("_close")))
-                .repartition(parts, KEY).persist(StorageLevel.MEMORY_AND_DISK))
-        stats = stats_of(data, cols)
-        assembler = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep")
-        gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=max_depth,
-                           stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy="0.8",
-                           minInstancesPerNode=3, seed=seed)
-        model = Pipeline(stages=[assembler, gbt]).fit(data.where(F.col("split") == "train"))
-        scored = (model.transform(data)
-                  .select(KEY, "split", F.col(target).alias("label"),
-                          (F.col("prediction") * F.col("_close")).alias("prediction")))
-        fit_metrics = materialize(regression_metrics(scored).withColumn("horizon", F.lit(h)))
-        models[h] = (model, cols, fit_metrics)
-        rmse = (fit_metrics.where(F.col("split") == "test")
-                .select(KEY, F.col("rmse").alias("confidence")))
-        pred = (model.transform(standardize(newest, stats, cols))
-                .select(KEY, F.col("_close").alias("current_price"),
-                        (F.col("prediction") * F.col("_close")).alias("prediction")))
-        res = (coins.join(pred, KEY, "left").join(rmse, KEY, "left")
-               .select(KEY, F.lit(h).alias("horizon"), "current_price", "prediction", "confidence",
-                       (safe_div(F.col("prediction") - F.col("current_price"), F.col("current_price"))
-                        * F.lit(100.0)).alias("change_pct")))
-        res = materialize(res)
-        data.unpersist()
+    for h, (res, model) in zip(horizons, results):
+        models[h] = model
         out = res if out is None else out.unionByName(res)
     return out, models
 
@@ -251,13 +274,13 @@ def forecast_trend(metrics: DataFrame, horizon_days: int = 7, threshold_pct: flo
     gbt = GBTClassifier(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=max_depth,
                         stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy="0.8",
                         minInstancesPerNode=3, seed=seed)
-    ovr = OneVsRest(classifier=gbt, featuresCol="features", labelCol="label")
+    ovr = OneVsRest(classifier=gbt, featuresCol="features", labelCol="label", parallelism=len(TREND_CLASSES))
     train = data.where(F.col("split") == "train")
     model = Pipeline(stages=[indexer, assembler, ovr]).fit(train)
     labels = model.stages[0].labels
     name = F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("prediction").cast("int") + 1)
     scored = model.transform(data).select(KEY, "split", "trend_label", name.alias("predicted"))
-    acc = materialize(accuracy(scored))
+    acc = _keep(accuracy(scored))
     latest = standardize(impute_latest(frame, cols), stats, cols).withColumn("trend_label", F.lit(labels[0]))
     raw = model.transform(latest)
     # OneVsRest emits one margin per class; GBT (log loss) probability is sigmoid(2 * margin).
@@ -271,7 +294,7 @@ def forecast_trend(metrics: DataFrame, horizon_days: int = 7, threshold_pct: flo
     pmax = F.greatest(*[F.coalesce(F.col(f"p_{c.lower()}"), F.lit(0.0)) for c in TREND_CLASSES])
     trend = F.when(F.col("p_down") == pmax, "DOWN").when(F.col("p_flat") == pmax, "FLAT").otherwise("UP")
     fc = fc.select(KEY, trend.alias("trend"), pmax.alias("confidence"), "p_down", "p_flat", "p_up", "current_price")
-    fc = materialize(fc)
+    fc = _keep(fc)
     data.unpersist()
     return fc, acc, model
 
