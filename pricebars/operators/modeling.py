@@ -227,7 +227,7 @@ def forecast_price(metrics: DataFrame, horizons=(1, 7, 30), max_iter: int = 10,
     coins = frame.select(KEY).distinct()
     newest = _keep(impute_latest(frame, cols).withColumn("_close", F.col("close_price_usd")))
 
-    @inheritable_thread_target
+    @inheritable_thread_target(frame.sparkSession)
     def one(h):
         return _fit_price_horizon(frame, cols, newest, coins, parts, h, max_iter, max_depth, test_size, seed)
 
