@@ -71,6 +71,32 @@ def upsert_sentiment(existing: DataFrame, points: DataFrame) -> DataFrame:
     return upsert(existing.select(*SENTIMENT.fieldNames()), incoming, ["event_date"], ["inserted_at"])
 
 
+def read_sentiment_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(SENTIMENT).parquet(path)
+
+
+def upsert_sentiment_table(spark: SparkSession, path: str, points: DataFrame, exists: bool = True) -> None:
+    """Upsert sentiment points into the Parquet sentiment table (one row per day,
+    so the table is small and rewritten whole, through staging)."""
+    existing = read_sentiment_table(spark, path) if exists else spark.createDataFrame([], SENTIMENT)
+    stage = staging_path(spark, "sentiment")
+    upsert_sentiment(existing, points).write.mode("overwrite").parquet(stage)
+    read_sentiment_table(spark, stage).write.mode("overwrite").parquet(path)
+
+
+def land_raw(spark: SparkSession, raw_path: str, log_path: str) -> None:
+    """Append every payload file under ``raw_path`` to the raw log, one row per
+    file (the whole file text; files are bounded API answers)."""
+    from pricebars.sources.payloads import FILE_NAME_PATTERN
+
+    files = spark.read.option("wholetext", True).text(raw_path).select(
+        "value", F.col("_metadata.file_name").alias("file_name"))
+    rows = files.select(F.regexp_extract("file_name", FILE_NAME_PATTERN, 1).alias("coin_id"),
+                        F.to_date(F.regexp_extract("file_name", FILE_NAME_PATTERN, 2)).alias("logical_date"),
+                        F.col("value").alias("payload")).where(F.col("coin_id") != "")
+    append_raw(rows, log_path)
+
+
 def append_raw(payload_rows: DataFrame, path: str) -> None:
     """Append landed payloads to the raw log (``coin_id, logical_date, payload``)."""
     (payload_rows.select("coin_id", "logical_date", "payload",

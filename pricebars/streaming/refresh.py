@@ -18,7 +18,7 @@ from pricebars.operators.enrich import coin_dimension, enrich
 from pricebars.schemas import PAYLOAD
 from pricebars.session import ensure_checkpoint_dir
 from pricebars.sources.payloads import latest_pull, read_payloads, tag_payloads
-from pricebars.sources.tables import upsert_metrics_table
+from pricebars.sources.tables import land_raw, upsert_metrics_table
 
 
 def _table_exists(spark: SparkSession, path: str) -> bool:
@@ -37,10 +37,14 @@ def load_good_payloads(spark: SparkSession, good: DataFrame, table_path: str, di
     return unknown
 
 
-def refresh_batch(spark: SparkSession, raw_path: str, table_path: str, dim: DataFrame | None = None) -> DataFrame:
+def refresh_batch(spark: SparkSession, raw_path: str, table_path: str, dim: DataFrame | None = None,
+                  raw_log: str | None = None) -> DataFrame:
     """One refresh over all files under ``raw_path``; returns the rejects report
     (``file_name, coin_id, logical_date, reason``).  Raises when no file holds a
-    usable price tick."""
+    usable price tick.  With ``raw_log`` the files are also appended to the raw
+    landing log first."""
+    if raw_log:
+        land_raw(spark, raw_path, raw_log)
     good, rejects = read_payloads(spark, raw_path)
     if good.isEmpty():
         raise ValueError(f"no usable payload under {raw_path}")

@@ -26,7 +26,8 @@ def test_batch_refresh_and_rejects(spark, write_json, tmp_path):
     raw = write_json({"bitcoin_2024-01-04.json": payload(100), "solana_2024-01-04.json": payload(5),
                       "dogecoin_2024-01-04.json": payload(1), "cardano_2024-01-04.json": "{oops"})
     table = str(tmp_path / "metrics")
-    rejects = refresh_batch(spark, raw, table)
+    rejects = refresh_batch(spark, raw, table, raw_log=str(tmp_path / "rawlog"))
+    assert spark.read.parquet(str(tmp_path / "rawlog")).count() == 4
     assert {r["reason"] for r in rejects.collect()} == {"malformed json", "unknown coin"}
     rows = table_rows(spark, table)
     assert len(rows) == 6 and {r[0] for r in rows} == {"bitcoin", "solana"}
