@@ -43,16 +43,12 @@ def daily_mean(points: DataFrame, value_col: str, out_col: str) -> DataFrame:
 
 
 def roll_up(price_ticks: DataFrame, measures: DataFrame | None = None) -> DataFrame:
-    """Daily metrics: bars plus mean volume and market cap, one shuffle.
-
-    ``measures`` has ``coin_id, event_date, volume_usd, market_cap_usd`` (either
-    may be NULL).  Days come from the price side only; a day without volume or
-    cap gets 0.0; a measure-only day is dropped.
-    """
-    prices = price_ticks.select(*KEY, "tick_key", "price_usd",
-                                F.lit(None).cast("double").alias("volume_usd"),
-                                F.lit(None).cast("double").alias("market_cap_usd"))
-    rows = prices
+    """Daily metrics from separate price ticks and measure rows (``coin_id,
+    event_date, volume_usd, market_cap_usd``, either may be NULL): tagged union,
+    then ``roll_up_points``."""
+    rows = price_ticks.select(*KEY, "tick_key", "price_usd",
+                              F.lit(None).cast("double").alias("volume_usd"),
+                              F.lit(None).cast("double").alias("market_cap_usd"))
     if measures is not None:
         key_type = price_ticks.schema["tick_key"].dataType
         rows = rows.unionByName(measures.select(
@@ -60,7 +56,16 @@ def roll_up(price_ticks: DataFrame, measures: DataFrame | None = None) -> DataFr
             F.lit(None).cast("double").alias("price_usd"),
             F.col("volume_usd").cast("double").alias("volume_usd"),
             F.col("market_cap_usd").cast("double").alias("market_cap_usd")))
-    agg = (rows.groupBy(*KEY)
+    return roll_up_points(rows)
+
+
+def roll_up_points(points: DataFrame) -> DataFrame:
+    """Daily metrics from tagged points (``coin_id, event_date, tick_key,
+    price_usd, volume_usd, market_cap_usd``), one shuffle.
+
+    Days come from the price side only; a day without volume or cap gets 0.0; a
+    measure-only day is dropped."""
+    agg = (points.groupBy(*KEY)
            .agg(*_bar_aggs(), F.avg("volume_usd").alias("volume_usd"),
                 F.avg("market_cap_usd").alias("market_cap_usd"))
            .where(F.col("samples_per_day") > 0))
@@ -69,9 +74,9 @@ def roll_up(price_ticks: DataFrame, measures: DataFrame | None = None) -> DataFr
 
 def daily_metrics(payloads: DataFrame, processed_at: bool = True) -> DataFrame:
     """Payload rows of all coins -> daily metrics of all coins, in one job."""
-    from pricebars.operators.ticks import measure_points, price_ticks
+    from pricebars.operators.ticks import tagged_points
 
-    out = roll_up(price_ticks(payloads), measure_points(payloads))
+    out = roll_up_points(tagged_points(payloads))
     cols = KEY + BAR_COLUMNS + ["volume_usd", "market_cap_usd"]
     out = out.select(*cols)
     if processed_at:

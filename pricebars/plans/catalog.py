@@ -363,16 +363,29 @@ def feat_bollinger(spark, sf_dir):
 
 @query
 def feat_trend(spark, sf_dir):
-    p = _pf(spark, sf_dir).select(*KEYS, "trend", F.col("trend_strength").alias("trend_strength_frac"))
-    t = _tf(spark, sf_dir).select(*KEYS, "trend_7_21", "trend_7_30", F.col("trend_strength").alias("trend_strength_pct"))
-    return p.join(t, KEYS)
+    """Regressor trend (fraction) and classifier trends (percent) in one pass."""
+    from pricebars.functions.exprs import rolling_mean, safe_div, series_window
+
+    w = series_window()
+    m = _metrics(spark, sf_dir).select(*KEYS, *[rolling_mean(FT.PRICE, w, n).alias(f"_ma{n}") for n in (7, 21, 30)])
+    gap = F.col("_ma7") - F.col("_ma30")
+    return m.select(*KEYS, gap.alias("trend"), safe_div(gap, F.col("_ma30")).alias("trend_strength_frac"),
+                    (F.col("_ma7") - F.col("_ma21")).alias("trend_7_21"), gap.alias("trend_7_30"),
+                    (safe_div(gap, F.col("_ma30")) * F.lit(100.0)).alias("trend_strength_pct"))
 
 
 @query
 def feat_volume(spark, sf_dir):
-    p = _pf(spark, sf_dir).select(*KEYS, "volume_ma_7", "volume_ratio", "mcap_change")
-    t = _tf(spark, sf_dir).select(*KEYS, "volume_change")
-    return p.join(t, KEYS)
+    """Volume mean / ratio / change and market-cap change in one pass."""
+    from pricebars.functions.exprs import pct_change, rolling_mean, safe_div, series_window
+
+    w = series_window()
+    m = _metrics(spark, sf_dir).select(
+        *KEYS, "volume_usd", rolling_mean("volume_usd", w, 7).alias("volume_ma_7"),
+        pct_change("market_cap_usd", w, 1).alias("mcap_change"),
+        (pct_change("volume_usd", w, 1) * F.lit(100.0)).alias("volume_change"))
+    return m.select(*KEYS, "volume_ma_7", safe_div(F.col("volume_usd"), F.col("volume_ma_7")).alias("volume_ratio"),
+                    "mcap_change", "volume_change")
 
 
 @query
