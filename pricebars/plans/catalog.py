@@ -13,11 +13,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricebars.functions.exprs import round_doubles
-from pricebars.session import configure
+from pricebars.functions.exprs import pct_change, rolling_mean, round_doubles, safe_div, series_window
 from pricebars.operators import bars as B
+from pricebars.operators import compare as C
+from pricebars.operators import features as FT
+from pricebars.operators import modeling as M
+from pricebars.operators import serving as S
 from pricebars.operators import ticks as TK
+from pricebars.operators.upsert import first_per_key, upsert
+from pricebars.session import configure
+from pricebars.sources import tables as TB
 from pricebars.sources import testdata as TD
+from pricebars.sources.sentiment import sentiment_points as parse_sentiment
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -79,9 +86,6 @@ def daily_metrics(spark, sf_dir):
 
 # ---------------------------------------------------------------- stage 2: tables
 
-from pricebars.operators import serving as S  # noqa: E402
-from pricebars.operators.upsert import first_per_key, upsert  # noqa: E402
-from pricebars.sources import tables as TB  # noqa: E402
 
 COIN = TD.PRIORITIES[0]          # the coin the single-coin reads filter on
 RANGE = ("1996-01-01", "1996-12-31")
@@ -93,7 +97,8 @@ def _metrics(spark, sf_dir):
 
 
 def _symbols(spark):
-    return [r[1] for r in [(p, p[0]) for p in TD.PRIORITIES]]
+    """Symbols of the priority dimension (first character of each priority)."""
+    return [p[0] for p in TD.PRIORITIES]
 
 
 @query
@@ -121,9 +126,7 @@ def fallback_source(spark, sf_dir):
 
 
 def _sentiment_points(spark, sf_dir):
-    from pricebars.sources.sentiment import sentiment_points
-
-    points, _ = sentiment_points(TD.event_sentiment_records(_events(spark, sf_dir)))
+    points, _ = parse_sentiment(TD.event_sentiment_records(_events(spark, sf_dir)))
     return points
 
 
@@ -288,7 +291,6 @@ def sentiment_band(spark, sf_dir):
 
 # ---------------------------------------------------------------- stage 4: compare
 
-from pricebars.operators import compare as C  # noqa: E402
 
 
 @query
@@ -308,7 +310,6 @@ def normalized(spark, sf_dir):
 
 # ---------------------------------------------------------------- stage 5: features
 
-from pricebars.operators import features as FT  # noqa: E402
 
 KEYS = ["coin_id", "event_date"]
 
@@ -364,8 +365,6 @@ def feat_bollinger(spark, sf_dir):
 @query
 def feat_trend(spark, sf_dir):
     """Regressor trend (fraction) and classifier trends (percent) in one pass."""
-    from pricebars.functions.exprs import rolling_mean, safe_div, series_window
-
     w = series_window()
     m = _metrics(spark, sf_dir).select(*KEYS, *[rolling_mean(FT.PRICE, w, n).alias(f"_ma{n}") for n in (7, 21, 30)])
     gap = F.col("_ma7") - F.col("_ma30")
@@ -377,8 +376,6 @@ def feat_trend(spark, sf_dir):
 @query
 def feat_volume(spark, sf_dir):
     """Volume mean / ratio / change and market-cap change in one pass."""
-    from pricebars.functions.exprs import pct_change, rolling_mean, safe_div, series_window
-
     w = series_window()
     m = _metrics(spark, sf_dir).select(
         *KEYS, "volume_usd", rolling_mean("volume_usd", w, 7).alias("volume_ma_7"),
@@ -415,7 +412,6 @@ def features_trend(spark, sf_dir):
 
 # ---------------------------------------------------------------- stage 6: modeling
 
-from pricebars.operators import modeling as M  # noqa: E402
 
 MAX_ITER_PRICE = 5    # boosting rounds in the registered smoke queries (the
 MAX_ITER_TREND = 3    # reference uses 200 / 150; these are parameters)

@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from pricebars.functions.exprs import sentiment_band, trend_label
 from pricebars.operators import compare as C
