@@ -162,3 +162,14 @@ def test_forecast_wrappers_on_small_data(spark):
     assert {r["split"] for r in acc.collect()} == {"train", "test"}
     price = M.train_and_predict(metrics, target_days=7, max_iter=1).collect()
     assert len(price) == 2 and all(r["prediction"] is not None and r["confidence"] is not None for r in price)
+
+
+def test_short_series_gets_null_forecast(spark):
+    from pricebars.sources import testdata as TD
+
+    m = TD.order_metrics(spark, "/root/testdata/sf0.001")
+    long_coin = m.where("coin_id = '1-URGENT'")
+    short_coin = m.where("coin_id = '2-HIGH'").orderBy("event_date").limit(55)
+    out, _ = M.forecast_price(long_coin.unionByName(short_coin), horizons=(1,), max_iter=1, max_depth=2)
+    got = {r["coin_id"]: r["prediction"] for r in out.collect()}
+    assert got["1-URGENT"] is not None and got["2-HIGH"] is None
