@@ -210,6 +210,36 @@ def _fit_price_horizon(frame: DataFrame, cols: list[str], newest: DataFrame, coi
     return res, (model, cols, fit_metrics)
 
 
+def fit_price_model(metrics: DataFrame, horizon: int = 1, max_iter: int = 10, max_depth: int = 6,
+                    test_size: float = 0.2, seed: int = 42):
+    """Fit only the price model of one horizon; returns ``(pipeline model, feature columns)``."""
+    frame = materialize(price_features(metrics))
+    cols = feature_columns(frame, "price")
+    target = f"target_{horizon}d"
+    split = _prepared(frame, cols, target, test_size, MIN_CLEAN_ROWS)
+    train = (standardize_train(split, cols).where(F.col("split") == "train")
+             .withColumn("label", safe_div(F.col(target), F.col("close_price_usd")))
+             .repartition(training_partitions(frame), KEY).persist(StorageLevel.MEMORY_AND_DISK))
+    assembler = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep")
+    gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=max_depth,
+                       stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy="0.8",
+                       minInstancesPerNode=3, seed=seed)
+    model = Pipeline(stages=[assembler, gbt]).fit(train)
+    train.unpersist()
+    return model, cols
+
+
+def in_range(metrics: DataFrame, start=None, end=None) -> DataFrame:
+    """Inclusive date range of the input, applied *before* features when the
+    reference's filter-first behaviour is wanted (features then only see the
+    range, so look-back windows start inside it)."""
+    if start is not None:
+        metrics = metrics.where(F.col("event_date") >= F.lit(start).cast("date"))
+    if end is not None:
+        metrics = metrics.where(F.col("event_date") <= F.lit(end).cast("date"))
+    return metrics
+
+
 def forecast_price(metrics: DataFrame, horizons=(1, 7, 30), max_iter: int = 10, max_depth: int = 6,
                    test_size: float = 0.2, seed: int = 42, parallelism: int | None = None) -> tuple[DataFrame, dict]:
     """Price forecast per coin and horizon.
@@ -315,15 +345,17 @@ def trend_metrics(scored: DataFrame, label: str = "trend_label", prediction: str
     return accuracy(scored, label, prediction), confusion(test, label, prediction), class_distribution(scored, label)
 
 
-def predict_multiple_horizons(metrics: DataFrame, horizons=(1, 7, 30), max_iter: int = 10) -> DataFrame:
-    """Forecast rows for each horizon (a coin without enough rows gets NULLs)."""
-    return forecast_price(metrics, horizons, max_iter=max_iter)[0]
+def predict_multiple_horizons(metrics: DataFrame, horizons=(1, 7, 30), max_iter: int = 10,
+                              start=None, end=None) -> DataFrame:
+    """Forecast rows for each horizon (a coin without enough rows gets NULLs).
+    ``start`` / ``end`` restrict the input first, as the reference's date picker does."""
+    return forecast_price(in_range(metrics, start, end), horizons, max_iter=max_iter)[0]
 
 
-def train_and_predict(metrics: DataFrame, target_days: int = 30, max_iter: int = 10) -> DataFrame:
-    return forecast_price(metrics, (target_days,), max_iter=max_iter)[0]
+def train_and_predict(metrics: DataFrame, target_days: int = 30, max_iter: int = 10, start=None, end=None) -> DataFrame:
+    return forecast_price(in_range(metrics, start, end), (target_days,), max_iter=max_iter)[0]
 
 
 def predict_trend(metrics: DataFrame, horizon_days: int = 7, threshold_pct: float = 2.0,
-                  max_iter: int = 5) -> DataFrame:
-    return forecast_trend(metrics, horizon_days, threshold_pct, max_iter=max_iter)[0]
+                  max_iter: int = 5, start=None, end=None) -> DataFrame:
+    return forecast_trend(in_range(metrics, start, end), horizon_days, threshold_pct, max_iter=max_iter)[0]

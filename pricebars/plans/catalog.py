@@ -500,6 +500,5 @@ def forecast_trend(spark, sf_dir):
 
 @query
 def feature_importance(spark, sf_dir):
-    _, models = M.forecast_price(_metrics(spark, sf_dir), horizons=(1,), max_iter=MAX_ITER_PRICE)
-    model, cols, _ = models[1]
+    model, cols = M.fit_price_model(_metrics(spark, sf_dir), horizon=1, max_iter=MAX_ITER_PRICE)
     return M.feature_importance(model, cols, spark)

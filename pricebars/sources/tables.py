@@ -120,10 +120,17 @@ def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def first_non_empty(primary: DataFrame, fallback: DataFrame) -> DataFrame:
-    """Rows of ``primary``, or of ``fallback`` when ``primary`` has none.
-
-    Lazily planned: the fallback is anti-joined against at most one probe row of
-    the primary, so no count or collect runs on the driver."""
-    probe = primary.select(F.lit(1).alias("_probe")).limit(1)
-    return primary.unionByName(fallback.join(probe, how="left_anti"))
+def first_non_empty(primary: DataFrame, *fallbacks: DataFrame) -> DataFrame:
+    """Rows of the first source that has any, trying ``primary`` then each
+    fallback in order (all with the same columns).
+
+    Lazily planned: each fallback is anti-joined against at most one probe row
+    of every source before it, so no count or collect runs on the driver."""
+    out, earlier = primary, [primary]
+    for fb in fallbacks:
+        guarded = fb
+        for prev in earlier:
+            guarded = guarded.join(prev.select(F.lit(1).alias("_probe")).limit(1), how="left_anti")
+        out = out.unionByName(guarded)
+        earlier.append(fb)
+    return out

@@ -124,3 +124,9 @@ def test_sentiment_table_upsert(spark, tmp_path):
     TB.upsert_sentiment_table(spark, path, spark.createDataFrame(
         [(D, 80, "Greed", 1, 0), (D + dt.timedelta(1), 50, "Neutral", 1, 1)], schema))
     assert as_set(TB.read_sentiment_table(spark, path), "event_date", "value") == {(D, 80), (D + dt.timedelta(1), 50)}
+
+
+def test_first_non_empty_many_sources(spark):
+    a, b, c = (spark.createDataFrame([(i,)], "x int") for i in (1, 2, 3))
+    assert as_set(TB.first_non_empty(a.where("x > 5"), b.where("x > 5"), c), "x") == {(3,)}
+    assert as_set(TB.first_non_empty(a.where("x > 5"), b, c), "x") == {(2,)}
