@@ -5,9 +5,9 @@ key (packed into one decimal, see ``order_key``), computed in the same
 ``groupBy`` as the other aggregates.  Spark runs that as a hash aggregate with
 map-side partial aggregation before a single shuffle on ``(coin_id,
 event_date)``, so no task ever holds all ticks of a day, however hot one
-coin-day is.  Volume and
-market cap are folded into the same aggregate by a tagged union instead of two
-extra aggregates and two joins.
+coin-day is.  Volume and market cap are folded into the same aggregate (payload
+arrays are read in one tagged pass, other sources by a tagged union) instead of
+two extra aggregates and two joins.
 """
 
 from __future__ import annotations

@@ -25,6 +25,7 @@ BASE_CONF = {
     # Feature frames carry ~50 derived columns under a 48-way not-null filter;
     # inferring constraints over them costs the planner far more than it saves.
     "spark.sql.constraintPropagation.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
