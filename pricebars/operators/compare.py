@@ -45,12 +45,16 @@ def correlation(metrics: DataFrame, symbols: list[str]) -> DataFrame:
 def normalized(metrics: DataFrame, symbols: list[str]) -> DataFrame:
     """Change in percent of each coin's close against its close on the table's
     first date, on the dense date x symbol grid (NULL where a coin has no row, and
-    for the whole coin when it has no row on the first date)."""
+    for the whole coin when it has no row on the first date).
+
+    Everything derives from the one pivoted frame: the base row is a global
+    ``min_by(symbol, event_date)`` aggregate over it (one row, broadcast), so the
+    input is computed once and the pivot's shuffle is reused."""
     wide = pivot_close(metrics, symbols)
-    grid = wide.unpivot("event_date", [F.col(f"`{s}`") for s in symbols], "coin_symbol", "close")
-    first_day = metrics.agg(F.min("event_date").alias("event_date"))
-    base = (metrics.join(F.broadcast(first_day), "event_date")
-            .select("coin_symbol", F.col("close_price_usd").alias("base")))
+    cols = [F.col(f"`{s}`") for s in symbols]
+    grid = wide.unpivot("event_date", cols, "coin_symbol", "close")
+    first = wide.agg(*[F.min_by(F.col(f"`{s}`"), "event_date").alias(s) for s in symbols])
+    base = first.unpivot([], [F.col(f"`{s}`") for s in symbols], "coin_symbol", "base")
     change = F.try_divide(F.col("close") - F.col("base"), F.col("base")) * F.lit(100.0)
     return (grid.join(F.broadcast(base), "coin_symbol", "left")
             .select("event_date", "coin_symbol", change.alias("value")))
