@@ -173,3 +173,11 @@ def test_short_series_gets_null_forecast(spark):
     out, _ = M.forecast_price(long_coin.unionByName(short_coin), horizons=(1,), max_iter=1, max_depth=2)
     got = {r["coin_id"]: r["prediction"] for r in out.collect()}
     assert got["1-URGENT"] is not None and got["2-HIGH"] is None
+
+
+def test_in_range_filters_before_features(spark):
+    m = series_frame(spark, {"a": list(range(1, 41))})
+    cut = M.in_range(m, D0 + dt.timedelta(10), D0 + dt.timedelta(29))
+    assert cut.count() == 20
+    lags = col_list(cut.select("event_date", *FT.lag_features(lags=[1])), "price_lag_1")
+    assert lags[0] is None  # the look-back starts inside the range
