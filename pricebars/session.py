@@ -47,6 +47,26 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def cluster_conf(total_cores: int, largest_shuffle_bytes: float, checkpoint_dir: str) -> dict:
+    """Starting settings for a large cluster (add to ``build_session(extra=...)``
+    or ``spark-submit --conf``).
+
+    AQE can merge small shuffle partitions but never split beyond the initial
+    count (skew splitting aside), so the initial count is sized for the largest
+    shuffle at ~256 MB per partition, and at least 3 waves of the cores.  The
+    roll-ups shuffle partially aggregated rows only, so their shuffles are far
+    smaller than their input; the sizing guards the joins and the upsert."""
+    partitions = max(3 * total_cores, int(largest_shuffle_bytes // (256 * 1024 * 1024)) + 1)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+        "spark.checkpoint.dir": checkpoint_dir,
+    }
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "pricebars",
                   extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app)

@@ -130,3 +130,11 @@ def test_first_non_empty_many_sources(spark):
     a, b, c = (spark.createDataFrame([(i,)], "x int") for i in (1, 2, 3))
     assert as_set(TB.first_non_empty(a.where("x > 5"), b.where("x > 5"), c), "x") == {(3,)}
     assert as_set(TB.first_non_empty(a.where("x > 5"), b, c), "x") == {(2,)}
+
+
+def test_cluster_conf_sizes_partitions():
+    from pricebars.session import cluster_conf
+
+    conf = cluster_conf(total_cores=4000, largest_shuffle_bytes=100 * 1024 ** 4, checkpoint_dir="hdfs:///ckpt")
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (256 * 1024 ** 2) + 1
+    assert cluster_conf(8, 1e6, "/tmp/x")["spark.sql.shuffle.partitions"] == "24"
