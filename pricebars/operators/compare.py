@@ -25,21 +25,36 @@ def pearson(x, y):
     return F.try_divide(F.covar_pop(xx, yy), F.stddev_pop(xx) * F.stddev_pop(yy))
 
 
+PAIRS_PER_AGGREGATE = 256
+
+
 def correlation(metrics: DataFrame, symbols: list[str]) -> DataFrame:
-    """Long-form correlation matrix ``(symbol_a, symbol_b, corr)`` of closes."""
+    """Long-form correlation matrix ``(symbol_a, symbol_b, corr)`` of closes.
+
+    One Pearson aggregate per unordered symbol pair over the pivoted frame, in
+    aggregates of at most ``PAIRS_PER_AGGREGATE`` pairs (bounded generated code
+    for long symbol lists; every chunk reads the same pivot, whose shuffle AQE
+    reuses).  The mirror half and the diagonal come from the same values."""
     wide = pivot_close(metrics, symbols)
     symbols = list(symbols)
-    names, aggs = {}, []
-    for i, a in enumerate(symbols):
-        for j in range(i, len(symbols)):
-            b = symbols[j]
-            name = f"_c{i}_{j}"
-            names[(a, b)] = names[(b, a)] = name
-            aggs.append(pearson(F.col(f"`{a}`"), F.col(f"`{b}`")).alias(name))
-    one_row = wide.agg(*aggs)
-    cells = [F.struct(F.lit(a).alias("symbol_a"), F.lit(b).alias("symbol_b"), F.col(names[(a, b)]).alias("corr"))
-             for a in symbols for b in symbols]
-    return one_row.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+    pairs = [(i, j) for i in range(len(symbols)) for j in range(i, len(symbols))]
+    parts = []
+    for start in range(0, len(pairs), PAIRS_PER_AGGREGATE):
+        chunk = pairs[start:start + PAIRS_PER_AGGREGATE]
+        one_row = wide.agg(*[pearson(F.col(f"`{symbols[i]}`"), F.col(f"`{symbols[j]}`")).alias(f"_c{i}_{j}")
+                             for i, j in chunk])
+        cells = []
+        for i, j in chunk:
+            cells.append(F.struct(F.lit(symbols[i]).alias("symbol_a"), F.lit(symbols[j]).alias("symbol_b"),
+                                  F.col(f"_c{i}_{j}").alias("corr")))
+            if i != j:
+                cells.append(F.struct(F.lit(symbols[j]).alias("symbol_a"), F.lit(symbols[i]).alias("symbol_b"),
+                                      F.col(f"_c{i}_{j}").alias("corr")))
+        parts.append(one_row.select(F.explode(F.array(*cells)).alias("c")).select("c.*"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def normalized(metrics: DataFrame, symbols: list[str]) -> DataFrame:

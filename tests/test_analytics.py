@@ -181,3 +181,13 @@ def test_in_range_filters_before_features(spark):
     assert cut.count() == 20
     lags = col_list(cut.select("event_date", *FT.lag_features(lags=[1])), "price_lag_1")
     assert lags[0] is None  # the look-back starts inside the range
+
+
+def test_correlation_chunks_equal_single_aggregate(spark, monkeypatch):
+    rows = {f"s{k}": [float((d * (k + 1)) % 7 + d) for d in range(20)] for k in range(5)}
+    m = series_frame(spark, rows)
+    syms = [f"S{k}" for k in range(5)]
+    whole = {(r[0], r[1]): r[2] for r in C.correlation(m, syms).collect()}
+    monkeypatch.setattr(C, "PAIRS_PER_AGGREGATE", 4)
+    chunked = {(r[0], r[1]): r[2] for r in C.correlation(m, syms).collect()}
+    assert len(whole) == 25 and whole == chunked
