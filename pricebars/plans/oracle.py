@@ -559,3 +559,36 @@ FROM tsplit WHERE split = 'test' GROUP BY coin_id, trend_label"""
 
 ORACLE["class_distribution"] = with_(*T_ALL) + """
 SELECT coin_id, trend_label AS label, count(*) AS n FROM tsplit WHERE split = 'test' GROUP BY coin_id, trend_label"""
+
+
+# ---------------------------------------------------------------- sign of zero
+
+def _unsigned_zero(sql: str) -> str:
+    """Rewrite every ``round(...)`` as ``(round(...) + 0.0::DOUBLE)``: DuckDB
+    rounds a tiny negative to -0.0 where Spark's decimal rounding gives 0.0, and
+    adding +0.0 turns -0.0 into 0.0 (IEEE) without changing any other value."""
+    out, i, key = [], 0, "round("
+    while True:
+        j = sql.find(key, i)
+        if j < 0 or (j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_")):
+            if j < 0:
+                out.append(sql[i:])
+                return "".join(out)
+            out.append(sql[i:j + len(key)])
+            i = j + len(key)
+            continue
+        depth, k = 0, j + len(key) - 1
+        while True:
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        inner = _unsigned_zero(sql[j + len(key):k])
+        out.append(sql[i:j] + "(round(" + inner + ") + 0.0::DOUBLE)")
+        i = k + 1
+
+
+ORACLE = {name: _unsigned_zero(sql) for name, sql in ORACLE.items()}
