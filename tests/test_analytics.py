@@ -191,3 +191,14 @@ def test_correlation_chunks_equal_single_aggregate(spark, monkeypatch):
     monkeypatch.setattr(C, "PAIRS_PER_AGGREGATE", 4)
     chunked = {(r[0], r[1]): r[2] for r in C.correlation(m, syms).collect()}
     assert len(whole) == 25 and whole == chunked
+
+
+def test_labels_partition_labelled_rows(spark):
+    from pricebars.sources import testdata as TD
+
+    lab = FT.trend_labels(TD.order_metrics(spark, "/root/testdata/sf0.001"), 7, 2.0)
+    counts = {r["trend_label"]: r["count"] for r in lab.groupBy("trend_label").count().collect()}
+    with_future = lab.where("future_price IS NOT NULL").count()
+    assert set(counts) == {"DOWN", "FLAT", "UP", None}
+    assert counts["DOWN"] + counts["FLAT"] + counts["UP"] == with_future
+    assert counts[None] == lab.count() - with_future == 5 * 7
