@@ -77,8 +77,8 @@ D_BARS = """d_bars AS (
 
 D_MEAS = """d_meas AS (
   SELECT o.o_orderpriority AS coin_id, CAST(l.l_shipdate AS DATE) AS event_date,
-         avg(l.l_extendedprice) AS volume_usd,
-         avg(l.l_extendedprice * l.l_quantity) AS market_cap_usd
+         avg(round(l.l_extendedprice)) AS volume_usd,
+         avg(round(l.l_extendedprice) * l.l_quantity) AS market_cap_usd
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2)"""
 
 D = """d AS (

@@ -8,9 +8,10 @@
   ``value * 100``.  ``props.k`` is the sentiment value.
 * **D** (``orders`` + ``lineitem``): ``o_orderpriority`` is the coin; each order is
   a tick at its order date (all midnight, ties broken by ``o_orderkey``); volume and
-  market cap are the mean ``l_extendedprice`` and ``l_extendedprice * l_quantity``
-  per priority and ship date (cent-valued inputs, so 6-decimal means never sit on
-  an engine-dependent rounding tie).  This gives a long daily series
+  market cap are the means of the whole-dollar ``l_extendedprice`` and of
+  whole-dollar ``l_extendedprice * l_quantity`` per priority and ship date.
+  Integer-valued inputs sum exactly in any order, so every engine gets the same
+  mean, bit for bit.  This gives a long daily series
   with gaps for the window features.
 """
 
@@ -93,8 +94,8 @@ def order_measures(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     o = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority")
     return (li.join(o, "l_orderkey")
             .select(F.col("o_orderpriority").alias("coin_id"), F.to_date("l_shipdate").alias("event_date"),
-                    F.col("l_extendedprice").alias("volume_usd"),
-                    (F.col("l_extendedprice") * F.col("l_quantity")).alias("market_cap_usd")))
+                    F.round("l_extendedprice").alias("volume_usd"),
+                    (F.round("l_extendedprice") * F.col("l_quantity")).alias("market_cap_usd")))
 
 
 def priority_dimension(spark: SparkSession) -> DataFrame:
