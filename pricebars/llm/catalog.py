@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from pricebars.llm import bpe, chat, decontam, kdsearch, langid, nearjoin, shards, urlfilter
+from pricebars.llm import bpe, chat, decontam, kdsearch, langid, licences, nearjoin, shards, substrings, urlfilter
 
 QUERIES = {
     "op1_jaccard_join": nearjoin.op1_jaccard_join,
     "op2_kdtree_topk": kdsearch.op2_kdtree_topk,
+    "op3_licence_scan": licences.op3_licence_scan,
     "op4_url_filter": urlfilter.op4_url_filter,
     "op5_kdtree_shards": shards.op5_kdtree_shards,
     "op6_perspectives": chat.op6_perspectives,
     "op7_language_id": langid.op7_language_id,
     "op8_decontamination": decontam.op8_decontamination,
     "op9_bpe": bpe.op9_bpe,
+    "op10_substring_dedup": substrings.op10_substring_dedup,
 }
 
 ORACLE = {

@@ -122,7 +122,5 @@ def shingles(hashes: np.ndarray, first: np.ndarray, width: int = SHINGLE) -> tup
 
 def extended(schema: StructType, **added: str) -> StructType:
     """A copy of ``schema`` with more fields; fields of the same names give way."""
-    out = StructType([f for f in schema.fields if f.name not in added])
-    for name, kind in added.items():
-        out = out.add(name, kind)
-    return out
+    more = StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in added.items()))
+    return StructType([f for f in schema.fields if f.name not in added] + more.fields)
