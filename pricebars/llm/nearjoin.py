@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricebars.llm.graph import components
+from pricebars.llm.settle import rows_of
 from pricebars.llm.words import mix, shingles, slices, words
 
 THRESHOLD = 0.8
@@ -210,7 +211,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     dealt = groups.join(blocks, "component").withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")))
     # the texts of the groups only, one row for each
     wanted = dealt.select("rid", F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
-    found = source.join(wanted, (F.col("text_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
+    found = rows_of(source, dealt.select("text_key"), "text_key").join(wanted, (F.col("text_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
     value = _shingle_sets(found).dropDuplicates(["rid"])  # rows repeated in id and text
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     pairs = (dealt.select("rid", "component", "weight", "block", other.alias("other")).join(value, "rid")
