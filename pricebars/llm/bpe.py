@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pricebars.llm.words import extended
 
 DEFAULT_VOCABULARY = "word_bpe_49k.json"
-MEMORY_PIECES = 400_000
+MEMORY_PIECES = 150_000
 MEMORY_PAIRS = 1_000_000
 BATCH_IDS = 1 << 16
 SPACE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
