@@ -2,7 +2,7 @@
 
 Public API (every function takes and returns DataFrames):
 
-* sources: ``read_payloads``, ``latest_pull``, ``read_sentiment``, ``write_metrics``,
+* sources: ``read_payloads``, ``read_sentiment``, ``write_metrics``,
   ``read_metrics``, ``upsert_metrics_table``, ``upsert_sentiment``, ``append_raw``,
   ``latest_raw``, ``export_csv``, ``first_non_empty``
 * roll-up: ``ticks``, ``price_ticks``, ``daily_bars``, ``daily_mean``, ``daily_metrics``
@@ -32,7 +32,7 @@ from pricebars.operators.serving import (  # noqa: E402,F401
 from pricebars.operators.ticks import price_ticks, ticks  # noqa: E402,F401
 from pricebars.operators.upsert import latest_per_key, upsert  # noqa: E402,F401
 from pricebars.sources import (  # noqa: E402,F401
-    append_raw, export_csv, first_non_empty, latest_pull, latest_raw, read_metrics, read_payloads,
+    append_raw, export_csv, first_non_empty, latest_raw, read_metrics, read_payloads,
     read_sentiment, upsert_metrics_table, upsert_sentiment, write_metrics,
 )
 from pricebars.streaming.refresh import refresh_batch, refresh_stream  # noqa: E402,F401

@@ -108,6 +108,18 @@ def trend_label(current: ColumnOrName, future: ColumnOrName, threshold_pct: floa
 
 
 ORDER_KEY_TYPE = T.DecimalType(38, 0)
+MAX_EVENT_MS = 10**14  # year 5138; times 10^24 it still fits the order key
+
+
+def event_in_range(event_ms: ColumnOrName) -> Column:
+    """Whether a tick time is one in milliseconds that can be ordered and dated."""
+    return F.abs(col(event_ms)) < F.lit(MAX_EVENT_MS)
+
+
+def utc_day(epoch: ColumnOrName, per_second: int = 1) -> Column:
+    """The UTC date of an epoch time, whatever the session's time zone."""
+    day = F.call_function("div", col(epoch) - F.pmod(col(epoch), F.lit(86400 * per_second)), F.lit(86400 * per_second))
+    return F.date_from_unix_date(day.cast("int"))
 
 
 def order_key(event_ms: ColumnOrName, *seq: tuple[ColumnOrName, int]) -> Column:

@@ -135,9 +135,14 @@ def accuracy(pred: DataFrame, label: str = "trend_label", prediction: str = "pre
 
 
 def confusion(pred: DataFrame, label: str = "trend_label", prediction: str = "predicted") -> DataFrame:
-    """Confusion matrix rows per coin: true class x predicted-class counts."""
-    return pred.groupBy(KEY, F.col(label).alias("true_label")).agg(
-        *[F.count(F.when(F.col(prediction) == c, 1)).alias(f"pred_{c.lower()}") for c in TREND_CLASSES])
+    """The whole confusion matrix of each coin: a row for every true class, also one
+    that does not occur, with the counts of the predicted classes."""
+    counts = {(t, p): F.count(F.when((F.col(label) == t) & (F.col(prediction) == p), 1)).alias(f"{t}_{p}")
+              for t in TREND_CLASSES for p in TREND_CLASSES}
+    wide = pred.groupBy(KEY).agg(*counts.values())
+    grid = F.array(*[F.struct(F.lit(t).alias("true_label"), *[F.col(f"{t}_{p}").alias(f"pred_{p.lower()}") for p in TREND_CLASSES])
+                     for t in TREND_CLASSES])
+    return wide.select(KEY, F.inline(grid))
 
 
 def class_distribution(split: DataFrame, label: str = "trend_label") -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricebars.functions.exprs import order_key
+from pricebars.functions.exprs import event_in_range, order_key, utc_day
 
 PRICE, VOLUME, MARKET_CAP = "prices", "total_volumes", "market_caps"
 
@@ -21,7 +21,8 @@ def ticks(payloads: DataFrame, field: str = PRICE, value_name: str = "price_usd"
     Columns: ``coin_id, part, pos, event_ms, event_time, event_date, <value_name>``.
     ``pos`` is the position inside the array; together with ``part`` it breaks ties
     between ticks of the same millisecond.  Short pairs give a NULL value instead
-    of an index error; pairs without a time are dropped (they belong to no day);
+    of an index error; pairs without a time, or with one out of range (not in
+    milliseconds), are dropped: they belong to no day, and their file is reported;
     NULL values are dropped unless ``keep_null_values`` (volume and cap keep them,
     the mean skips them).
     """
@@ -30,12 +31,12 @@ def ticks(payloads: DataFrame, field: str = PRICE, value_name: str = "price_usd"
     out = (exploded
            .select("coin_id", "part", "pos", ms.alias("event_ms"),
                    F.get("pair", 1).alias(value_name))
-           .where(F.col("event_ms").isNotNull()))
+           .where(event_in_range("event_ms")))
     if not keep_null_values:
         out = out.where(F.col(value_name).isNotNull())
     ts = F.timestamp_millis("event_ms")
     return out.select("coin_id", "part", "pos", "event_ms", ts.alias("event_time"),
-                      F.to_date(ts).alias("event_date"), value_name)
+                      utc_day("event_ms", 1000).alias("event_date"), value_name)
 
 
 def price_ticks(payloads: DataFrame) -> DataFrame:
@@ -76,10 +77,10 @@ def tagged_points(payloads: DataFrame) -> DataFrame:
 
     pts = (payloads.select("coin_id", "part", F.inline(F.concat(
         tag(PRICE, KIND_PRICE), tag(VOLUME, KIND_VOLUME), tag(MARKET_CAP, KIND_CAP))))
-           .where(F.col("event_ms").isNotNull()))
+           .where(event_in_range("event_ms")))
     is_price = (F.col("kind") == KIND_PRICE) & F.col("v").isNotNull()
     return pts.select(
-        "coin_id", F.to_date(F.timestamp_millis("event_ms")).alias("event_date"),
+        "coin_id", utc_day("event_ms", 1000).alias("event_date"),
         F.when(is_price, order_key("event_ms", ("part", 14), ("pos", 10))).alias("tick_key"),
         F.when(is_price, F.col("v")).alias("price_usd"),
         F.when(F.col("kind") == KIND_VOLUME, F.col("v")).alias("volume_usd"),

@@ -553,9 +553,11 @@ SELECT coin_id, split, count(*) AS n,
 FROM tsplit GROUP BY coin_id, split"""
 
 ORACLE["confusion"] = with_(*T_ALL) + """
-SELECT coin_id, trend_label AS true_label, count(CASE WHEN predicted = 'DOWN' THEN 1 END) AS pred_down,
-  count(CASE WHEN predicted = 'FLAT' THEN 1 END) AS pred_flat, count(CASE WHEN predicted = 'UP' THEN 1 END) AS pred_up
-FROM tsplit WHERE split = 'test' GROUP BY coin_id, trend_label"""
+SELECT c.coin_id, k.true_label, count(CASE WHEN t.predicted = 'DOWN' THEN 1 END) AS pred_down,
+  count(CASE WHEN t.predicted = 'FLAT' THEN 1 END) AS pred_flat, count(CASE WHEN t.predicted = 'UP' THEN 1 END) AS pred_up
+FROM (SELECT DISTINCT coin_id FROM tsplit WHERE split = 'test') c CROSS JOIN (VALUES ('DOWN'), ('FLAT'), ('UP')) k(true_label)
+LEFT JOIN tsplit t ON t.coin_id = c.coin_id AND t.split = 'test' AND t.trend_label = k.true_label
+GROUP BY c.coin_id, k.true_label"""
 
 ORACLE["class_distribution"] = with_(*T_ALL) + """
 SELECT coin_id, trend_label AS label, count(*) AS n FROM tsplit WHERE split = 'test' GROUP BY coin_id, trend_label"""

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pricebars.functions.exprs import event_in_range
 from pricebars.schemas import PAYLOAD
 
 FILE_NAME_PATTERN = r"^(.+)_(\d{4}-\d{2}-\d{2})\.json$"
@@ -32,7 +33,8 @@ def tag_payloads(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     coin = F.regexp_extract("file_name", FILE_NAME_PATTERN, 1)
     day = F.regexp_extract("file_name", FILE_NAME_PATTERN, 2)
     usable = F.exists(F.coalesce("prices", F.array()),
-                      lambda p: F.get(p, 0).isNotNull() & F.get(p, 1).isNotNull())
+                      lambda p: event_in_range(F.get(p, 0)) & F.get(p, 1).isNotNull())
+    odd = F.exists(F.coalesce("prices", F.array()), lambda p: ~event_in_range(F.get(p, 0)))
     reason = (F.when(F.col("_corrupt_record").isNotNull(), F.lit("malformed json"))
               .when(coin == "", F.lit("unrecognised file name"))
               .when(~usable, F.lit("no usable price tick")))
@@ -40,18 +42,11 @@ def tag_payloads(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.when(coin != "", coin).alias("coin_id"),
         F.to_date(F.when(day != "", day)).alias("logical_date"),
         F.lit(0).cast("long").alias("part"),
-        "prices", "market_caps", "total_volumes", "file_name", reason.alias("reason"))
-    good = tagged.where(F.col("reason").isNull()).drop("reason")
-    rejects = tagged.where(F.col("reason").isNotNull()).select("file_name", "coin_id", "logical_date", "reason")
+        "prices", "market_caps", "total_volumes", "file_name", reason.alias("reason"),
+        F.coalesce(odd, F.lit(False)).alias("odd"))
+    good = tagged.where(F.col("reason").isNull()).drop("reason", "odd")
+    # a file with some ticks out of range is loaded without them, and reported
+    told = F.coalesce("reason", F.when(F.col("odd"), F.lit("tick time out of range")))
+    rejects = (tagged.select("file_name", "coin_id", "logical_date", told.alias("reason"))
+               .where(F.col("reason").isNotNull()))
     return good, rejects
-
-
-def latest_pull(payloads: DataFrame) -> DataFrame:
-    """Keep only the newest pull (logical date) of each coin.
-
-    Each pull re-fetches the whole look-back window, so older pulls of the same
-    coin are superseded.  This works on file rows (one per pull), not on ticks.
-    """
-    w = Window.partitionBy("coin_id")
-    return (payloads.withColumn("_newest", F.max("logical_date").over(w))
-            .where(F.col("logical_date") == F.col("_newest")).drop("_newest"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pricebars.functions.exprs import utc_day
+
 from pricebars.schemas import SENTIMENT_PAYLOAD
 
 
@@ -38,7 +40,7 @@ def sentiment_points(records: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("rec").alias("raw"))
     ok = F.col("epoch_s").isNotNull() & F.col("value").isNotNull()
     points = (typed.where(ok)
-              .select(F.to_date(F.timestamp_seconds("epoch_s")).alias("event_date"), "value",
+              .select(utc_day("epoch_s").alias("event_date"), "value",
                       "value_classification", "part", "pos"))
     rejects = typed.where(~ok).select("part", "pos", "raw")
     return points, rejects

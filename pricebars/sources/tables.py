@@ -3,7 +3,8 @@
 Tables are plain Parquet datasets.  The daily metrics table is partitioned by
 ``coin_id`` and sorted by date inside each file, so a one-coin read prunes to one
 directory and a date range prunes row groups.  Upserts rewrite only the touched
-partitions, through a staging copy so a failed job never loses data.
+partitions, through a staging copy, so the rows to write are safe in the shared
+folder before old ones are replaced.
 """
 
 from __future__ import annotations
@@ -24,10 +25,10 @@ METRICS_KEEP = ["coin_symbol", "coin_name"]
 def write_metrics(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write daily metrics partitioned by coin, date-sorted inside each file.
 
-    With ``partitionOverwriteMode=dynamic`` an overwrite replaces only the coins
-    present in ``df``."""
+    An overwrite replaces only the coins present in ``df``, whatever the session's
+    ``partitionOverwriteMode``."""
     (df.repartition("coin_id").sortWithinPartitions("event_date")
-     .write.mode(mode).partitionBy("coin_id").parquet(path))
+     .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("coin_id").parquet(path))
 
 
 def read_metrics(spark: SparkSession, path: str) -> DataFrame:
@@ -86,14 +87,15 @@ def upsert_sentiment_table(spark: SparkSession, path: str, points: DataFrame, ex
 
 def land_raw(spark: SparkSession, raw_path: str, log_path: str) -> None:
     """Append every payload file under ``raw_path`` to the raw log, one row per
-    file (the whole file text; files are bounded API answers)."""
+    file (the whole file text; files are bounded API answers).  A file whose name
+    does not match is kept too, without coin and date."""
     from pricebars.sources.payloads import FILE_NAME_PATTERN
 
     files = spark.read.option("wholetext", True).text(raw_path).select(
         "value", F.col("_metadata.file_name").alias("file_name"))
-    rows = files.select(F.regexp_extract("file_name", FILE_NAME_PATTERN, 1).alias("coin_id"),
-                        F.to_date(F.regexp_extract("file_name", FILE_NAME_PATTERN, 2)).alias("logical_date"),
-                        F.col("value").alias("payload")).where(F.col("coin_id") != "")
+    coin, day = (F.regexp_extract("file_name", FILE_NAME_PATTERN, k) for k in (1, 2))
+    rows = files.select(F.when(coin != "", coin).alias("coin_id"), F.to_date(F.when(day != "", day)).alias("logical_date"),
+                        F.col("value").alias("payload"))
     append_raw(rows, log_path)
 
 

@@ -10,33 +10,41 @@ with the idempotent upsert, so a replayed batch after a failure changes nothing.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricebars.operators.bars import daily_metrics
+from pricebars.operators.bars import pulled_metrics
 from pricebars.operators.enrich import coin_dimension, enrich
-from pricebars.schemas import PAYLOAD
-from pricebars.session import ensure_checkpoint_dir
-from pricebars.sources.payloads import latest_pull, read_payloads, tag_payloads
+from pricebars.schemas import DAILY_METRICS, PAYLOAD
+from pricebars.sources.payloads import read_payloads, tag_payloads
 from pricebars.sources.tables import land_raw, upsert_metrics_table
 
 
 def _table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+    try:
+        spark.read.schema(DAILY_METRICS).parquet(path).schema
+        return True
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
 
 
 def load_good_payloads(spark: SparkSession, good: DataFrame, table_path: str, dim: DataFrame | None = None) -> DataFrame:
     """Roll up good payload rows, enrich and upsert them; returns rows of coins
     missing from the dimension (rejected, not loaded)."""
-    metrics = daily_metrics(latest_pull(good))
+    metrics = pulled_metrics(good)
     rows, unknown = enrich(metrics, dim if dim is not None else coin_dimension(spark))
     upsert_metrics_table(spark, table_path, rows, exists=_table_exists(spark, table_path))
     return unknown
 
 
+def _unknown_files(good: DataFrame, unknown: DataFrame) -> DataFrame:
+    return (good.join(unknown.select("coin_id").distinct(), "coin_id", "left_semi")
+            .select("file_name", "coin_id", "logical_date", F.lit("unknown coin").alias("reason")))
+
+
 def refresh_batch(spark: SparkSession, raw_path: str, table_path: str, dim: DataFrame | None = None,
                   raw_log: str | None = None) -> DataFrame:
     """One refresh over all files under ``raw_path``; returns the rejects report
@@ -49,25 +57,26 @@ def refresh_batch(spark: SparkSession, raw_path: str, table_path: str, dim: Data
     if good.isEmpty():
         raise ValueError(f"no usable payload under {raw_path}")
     unknown = load_good_payloads(spark, good, table_path, dim)
-    unknown_files = (good.join(unknown.select("coin_id").distinct(), "coin_id", "left_semi")
-                     .select("file_name", "coin_id", "logical_date", F.lit("unknown coin").alias("reason")))
-    return rejects.unionByName(unknown_files)
+    return rejects.unionByName(_unknown_files(good, unknown))
 
 
-def refresh_stream(spark: SparkSession, raw_dir: str, table_path: str, checkpoint: str | None = None,
-                   dim: DataFrame | None = None):
+def refresh_stream(spark: SparkSession, raw_dir: str, table_path: str, checkpoint: str,
+                   dim: DataFrame | None = None, rejects_path: str | None = None):
     """Start an ``availableNow`` stream over ``raw_dir``; returns the query
-    (call ``awaitTermination()``).  The checkpoint defaults to a folder under the
-    session's ``spark.checkpoint.dir``."""
-    checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/refresh-stream"
+    (call ``awaitTermination()``).  ``checkpoint`` is the stream's own lasting folder: a
+    later session that names it again picks up only new files.  With ``rejects_path``
+    the rejects report of every batch is appended there, as the batch refresh returns it."""
     stream = (spark.readStream.schema(PAYLOAD).option("multiLine", True).option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", "_corrupt_record").json(raw_dir)
               .select("*", F.col("_metadata.file_name").alias("file_name")))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        good, _ = tag_payloads(batch)
+        good, rejects = tag_payloads(batch)
         if not good.isEmpty():
-            load_good_payloads(batch.sparkSession, good, table_path, dim)
+            unknown = load_good_payloads(batch.sparkSession, good, table_path, dim)
+            rejects = rejects.unionByName(_unknown_files(good, unknown))
+        if rejects_path:
+            rejects.write.mode("append").parquet(rejects_path)
 
     return (stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

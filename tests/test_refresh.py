@@ -53,3 +53,34 @@ def test_stream_two_runs_equal_one_batch(spark, write_json, tmp_path):
     refresh_batch(spark, raw, table_b)
     assert table_rows(spark, table_s) == table_rows(spark, table_b)
     assert len(table_rows(spark, table_s)) == 7
+
+
+def test_overlapping_pulls_in_one_batch_equal_two_batches(spark, write_json, tmp_path):
+    old, new = payload(100, 5), {k: [[ms + DAY, v + 1] for ms, v in rows] for k, rows in payload(200, 5).items()}
+    one = write_json({"bitcoin_2024-01-05.json": old, "bitcoin_2024-01-06.json": new}, "one")
+    refresh_batch(spark, one, str(tmp_path / "t1"))
+    for name, content in (("bitcoin_2024-01-05.json", old), ("bitcoin_2024-01-06.json", new)):
+        refresh_batch(spark, write_json({name: content}, name), str(tmp_path / "t2"))
+    rows = table_rows(spark, str(tmp_path / "t1"))
+    assert rows == table_rows(spark, str(tmp_path / "t2")) and len(rows) == 6
+    assert [r[3] for r in rows] == [100.0, 201.0, 202.0, 203.0, 204.0, 205.0]
+
+
+def test_plain_session_keeps_other_coins_and_utc_days(spark, write_json, tmp_path):
+    table = str(tmp_path / "metrics")
+    plain = spark.newSession()
+    plain.conf.set("spark.sql.session.timeZone", "America/New_York")
+    plain.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    refresh_batch(plain, write_json({"bitcoin_2024-01-04.json": payload(1), "solana_2024-01-04.json": payload(5)}, "a"), table)
+    refresh_batch(plain, write_json({"bitcoin_2024-01-05.json": {"prices": [[D1 + DAY + 3600_000, 9.0]]}}, "b"), table)
+    rows = table_rows(plain, table)
+    assert len(rows) == 6 and ("bitcoin", "BTC", dt.date(2024, 1, 2), 9.0, 0.0) in rows
+
+
+def test_tick_out_of_range_is_reported_and_blocks_nothing(spark, write_json, tmp_path):
+    odd = payload(100)
+    odd["prices"].append([D1 * 1000, 7.0])
+    raw = write_json({"bitcoin_2024-01-04.json": odd, "solana_2024-01-04.json": payload(5), "notes.json": payload(1)})
+    rejects = refresh_batch(spark, raw, str(tmp_path / "metrics"), raw_log=str(tmp_path / "log"))
+    assert {(r["coin_id"], r["reason"]) for r in rejects.collect()} == {("bitcoin", "tick time out of range"), (None, "unrecognised file name")}
+    assert len(table_rows(spark, str(tmp_path / "metrics"))) == 6 and spark.read.parquet(str(tmp_path / "log")).count() == 3

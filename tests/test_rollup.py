@@ -4,7 +4,8 @@ import datetime as dt
 
 from pricebars.operators.bars import bars_from_enriched, daily_bars, daily_metrics, tick_open_close
 from pricebars.operators.ticks import price_ticks
-from pricebars.sources.payloads import latest_pull, read_payloads
+from pricebars.operators.bars import pulled_metrics
+from pricebars.sources.payloads import read_payloads
 
 D1 = int(dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc).timestamp() * 1000)
 H = 3600 * 1000
@@ -72,11 +73,11 @@ def test_file_name_gives_coin_and_date(spark, write_json):
     assert rows(good, "coin_id", "logical_date", "part") == {("binancecoin", dt.date(2024, 3, 5), 0)}
 
 
-def test_latest_pull_keeps_newest_file(spark, write_json):
+def test_newest_pull_decides_a_day(spark, write_json):
     files = {"bitcoin_2024-01-02.json": {"prices": [[D1, 1.0]]},
              "bitcoin_2024-01-03.json": {"prices": [[D1, 2.0]]}}
     good, _ = read_payloads(spark, write_json(files))
-    assert rows(daily_metrics(latest_pull(good)), "open_price_usd") == {(2.0,)}
+    assert rows(pulled_metrics(good), "open_price_usd") == {(2.0,)}
 
 
 def test_window_form_equals_aggregate_form(spark):
