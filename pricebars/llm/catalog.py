@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pricebars.llm import bpe, chat, decontam, kdsearch, langid, licences, nearjoin, shards, substrings, urlfilter
+from pricebars.session import ensure_checkpoint_dir
 
-QUERIES = {
+_PLAIN = {
     "op1_jaccard_join": nearjoin.op1_jaccard_join,
     "op2_kdtree_topk": kdsearch.op2_kdtree_topk,
     "op3_licence_scan": licences.op3_licence_scan,
@@ -17,6 +18,19 @@ QUERIES = {
     "op10_substring_dedup": substrings.op10_substring_dedup,
 }
 
+
+def _ready(query):
+    """The query with a checkpoint folder: the session's own, or one for tests."""
+
+    def run(spark, sf_dir):
+        ensure_checkpoint_dir(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES = {name: _ready(query) for name, query in _PLAIN.items()}
+
 ORACLE = {
     "op2_kdtree_topk": kdsearch.SQL,
     "op4_url_filter": urlfilter.SQL,
