@@ -98,12 +98,12 @@ def pulled_metrics(payloads: DataFrame) -> DataFrame:
 def tick_open_close(price_ticks: DataFrame) -> DataFrame:
     """Each tick with its day's first and last price (the reference's full-frame
     window form).  Expressed as a partially aggregated ``groupBy`` joined back on
-    ``(coin_id, event_date)``: AQE turns the join into a broadcast when the daily
-    side is small at run time and splits a skewed coin-day otherwise, which a
-    window over the whole day could not do."""
+    ``(coin_id, event_date)``, with the daily rows as the hashed side: the ticks are
+    never broadcast or built on, and AQE splits a skewed coin-day, which a window
+    over the whole day could not do."""
     day = price_ticks.groupBy(*KEY).agg(F.min_by("price_usd", "tick_key").alias("open_price_usd"),
                                         F.max_by("price_usd", "tick_key").alias("close_price_usd"))
-    return price_ticks.join(day, KEY, "inner")
+    return price_ticks.join(day.hint("shuffle_hash"), KEY, "inner")
 
 
 def bars_from_enriched(enriched: DataFrame) -> DataFrame:

@@ -18,10 +18,10 @@ def enrich(metrics: DataFrame, dim: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Attach symbol and name and normalise types before a load.
 
     Returns ``(rows, rejects)``: rows of unknown coins go to ``rejects`` instead of
-    failing the batch.  The dimension is a fixed, tiny lookup table (one row per
-    supported coin), so it is broadcast; the metrics side is never shuffled.
+    failing the batch.  The planner broadcasts the dimension while it is within its
+    size limit, as the literal table of supported coins is.
     """
-    dim = F.broadcast(dim.select("coin_id", "coin_symbol", "coin_name"))
+    dim = dim.select("coin_id", "coin_symbol", "coin_name")
     typed = metrics.select(
         "coin_id", "event_date",
         *[F.col(c).cast("double").alias(c) for c in

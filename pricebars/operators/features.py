@@ -111,6 +111,26 @@ def with_rsi(df: DataFrame, c: str = PRICE, n: int = RSI_WINDOW) -> DataFrame:
     return d.withColumn(f"rsi_{n}", rsi("_delta", _w(), n)).drop("_delta")
 
 
+def trend_lines(df: DataFrame) -> DataFrame:
+    """Gaps between moving averages, and their strength as a fraction (price model) and
+    in percent (trend model), in one pass."""
+    m = df.select("coin_id", "event_date", *[rolling_mean(PRICE, _w(), n).alias(f"_ma{n}") for n in (7, 21, 30)])
+    gap = F.col("_ma7") - F.col("_ma30")
+    strength = safe_div(gap, F.col("_ma30"))
+    return m.select("coin_id", "event_date", gap.alias("trend"), strength.alias("trend_strength_frac"),
+                    (F.col("_ma7") - F.col("_ma21")).alias("trend_7_21"), gap.alias("trend_7_30"),
+                    (strength * F.lit(100.0)).alias("trend_strength_pct"))
+
+
+def volume_changes(df: DataFrame) -> DataFrame:
+    """Volume mean, ratio and change, and market-cap change, in one pass."""
+    m = df.select("coin_id", "event_date", "volume_usd", rolling_mean("volume_usd", _w(), 7).alias("volume_ma_7"),
+                  pct_change("market_cap_usd", _w(), 1).alias("mcap_change"),
+                  (pct_change("volume_usd", _w(), 1) * F.lit(100.0)).alias("volume_change"))
+    return m.select("coin_id", "event_date", "volume_ma_7",
+                    safe_div(F.col("volume_usd"), F.col("volume_ma_7")).alias("volume_ratio"), "mcap_change", "volume_change")
+
+
 # ---------------------------------------------------------------- full frames
 
 

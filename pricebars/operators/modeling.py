@@ -11,23 +11,30 @@ price units.
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
+
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, OneVsRest
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricebars.functions.exprs import TREND_CLASSES, safe_div
 from pricebars.operators.features import feature_columns, price_features, trend_features
-from pricebars.session import ensure_checkpoint_dir
+from pricebars.session import materialize
 
 KEY = "coin_id"
 MIN_CLEAN_ROWS = 50     # fixed value: rows a model needs after cleaning
 MIN_RAW_ROWS = 60       # fixed value: rows a coin needs before any forecast
-ROWS_PER_PARTITION = 200_000  # training rows per task for the tree fits
+# Boosting rounds and parameters of the two models.
+PRICE_ROUNDS = 200
+TREND_ROUNDS = 150
+TREES = dict(featuresCol="features", labelCol="label", stepSize=0.05, subsamplingRate=0.8,
+             featureSubsetStrategy="0.8", minInstancesPerNode=3)
 
 
 # ---------------------------------------------------------------- data preparation
@@ -67,8 +74,8 @@ def scaler_stats(split: DataFrame, cols: list[str]) -> DataFrame:
 
 def standardize(df: DataFrame, stats: DataFrame, cols: list[str]) -> DataFrame:
     """``(x - mean) / std`` with train statistics; a zero std scales by 1.
-    ``stats`` has one row per coin (bounded by the coin dimension): broadcast."""
-    j = df.join(F.broadcast(stats), KEY)
+    ``stats`` has one row per coin; the planner picks the join by its size."""
+    j = df.join(stats, KEY)
     scaled = []
     for c in cols:
         sd = F.col(f"_sd_{c}")
@@ -77,39 +84,15 @@ def standardize(df: DataFrame, stats: DataFrame, cols: list[str]) -> DataFrame:
     return j.select(*keep, *scaled)
 
 
-def standardize_train(split: DataFrame, cols: list[str], keep_stats: bool = False) -> DataFrame:
-    """Standardise with each coin's train statistics computed in the same pass:
-    window aggregates over the coin partition the split already sits on, so the
-    frame is neither recomputed nor joined.  ``keep_stats`` keeps ``_mu_*`` /
-    ``_sd_*`` columns for scoring rows outside the split."""
-    w = Window.partitionBy(KEY)
-    train = F.col("split") == "train"
-    keep = [c for c in split.columns if c not in cols]
-    out, stats = [], []
-    for c in cols:
-        mu = F.avg(F.when(train, F.col(c))).over(w)
-        sd = F.stddev_pop(F.when(train, F.col(c))).over(w)
-        out.append(((F.col(c) - mu) / F.when(sd == 0, F.lit(1.0)).otherwise(sd)).alias(c))
-        if keep_stats:
-            stats += [mu.alias(f"_mu_{c}"), sd.alias(f"_sd_{c}")]
-    return split.select(*keep, *out, *stats)
-
-
-def stats_of(scaled: DataFrame, cols: list[str]) -> DataFrame:
-    """One row per coin with the ``_mu_*`` / ``_sd_*`` kept by ``standardize_train``."""
-    names = [f"_{k}_{c}" for c in cols for k in ("mu", "sd")]
-    return scaled.groupBy(KEY).agg(*[F.first(n).alias(n) for n in names])
-
-
 def impute_latest(frame: DataFrame, cols: list[str]) -> DataFrame:
     """Each coin's newest row with NULL features replaced by that coin's column
-    means over all its rows (window aggregates: one exchange, no join)."""
-    whole = Window.partitionBy(KEY)
-    ordered = Window.partitionBy(KEY).orderBy("event_date")
+    means over all its rows: one partially aggregated ``groupBy``, joined back on
+    the newest date.  ``frame`` is read twice, so stage it first (``materialize``)."""
+    means = frame.groupBy(KEY).agg(F.max("event_date").alias("event_date"),
+                                   *[F.avg(c).alias(f"_m_{c}") for c in cols])
     keep = [c for c in frame.columns if c not in cols]
-    out = frame.select(*keep, *[F.coalesce(F.col(c), F.avg(c).over(whole)).alias(c) for c in cols],
-                       F.lead("event_date", 1).over(ordered).isNull().alias("_last"))
-    return out.where("_last").drop("_last")
+    return (frame.join(means, [KEY, "event_date"])
+            .select(*keep, *[F.coalesce(F.col(c), F.col(f"_m_{c}")).alias(c) for c in cols]))
 
 
 # ---------------------------------------------------------------- metrics
@@ -153,6 +136,19 @@ def class_distribution(split: DataFrame, label: str = "trend_label") -> DataFram
 # ---------------------------------------------------------------- models
 
 
+class Fit(NamedTuple):
+    """A fitted model, its feature columns, the scored train and test rows, and its
+    metrics per coin and split (see ``regression_metrics``, ``accuracy``)."""
+
+    model: PipelineModel
+    cols: list[str]
+    scored: DataFrame
+    metrics: DataFrame
+
+    def importance(self, top: int | None = 10) -> DataFrame:
+        return feature_importance(self.model, self.cols, self.scored.sparkSession, top)
+
+
 def _prepared(frame: DataFrame, cols: list[str], target: str, test_size: float, minimum: int) -> DataFrame:
     """Clean rows of coins that have at least ``MIN_RAW_ROWS`` rows and
     ``minimum`` clean rows, split chronologically.  Counts are window aggregates
@@ -164,21 +160,6 @@ def _prepared(frame: DataFrame, cols: list[str], target: str, test_size: float,
     return chrono_split(clean.where(ok).drop("_n_raw", "_n_clean"), test_size)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the session's ``spark.checkpoint.dir`` (shared
-    storage on a cluster): the iterative fits below re-read the feature frame many
-    times, and a lost executor must not replay the whole roll-up lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def training_partitions(frame: DataFrame) -> int:
-    """Partitions for a model's input: one per ``ROWS_PER_PARTITION`` rows.  Tree
-    fits run one job per tree level, so many tiny partitions only add overhead;
-    the count is a scalar read from the (checkpointed) frame."""
-    return max(1, -(-frame.count() // ROWS_PER_PARTITION))
-
-
 def _keep(df: DataFrame) -> DataFrame:
     """Cache a small result and compute it now (its inputs are released next)."""
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -186,52 +167,33 @@ def _keep(df: DataFrame) -> DataFrame:
     return df
 
 
-def _fit_price_horizon(frame: DataFrame, cols: list[str], newest: DataFrame, coins: DataFrame, parts: int,
+def _spread(df: DataFrame) -> DataFrame:
+    """Cached model input, dealt evenly over the cluster's cores whatever the coin."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _fit_price_horizon(frame: DataFrame, cols: list[str], newest: DataFrame, coins: DataFrame,
                        h: int, max_iter: int, max_depth: int, test_size: float, seed: int):
     target = f"target_{h}d"
-    split = _prepared(frame, cols, target, test_size, MIN_CLEAN_ROWS)
-    data = (standardize_train(split.withColumn("_close", F.col("close_price_usd")), cols, keep_stats=True)
-            .withColumn("label", safe_div(F.col(target), F.col("_close")))
-            .repartition(parts, KEY).persist(StorageLevel.MEMORY_AND_DISK))
-    stats = stats_of(data, cols)
+    split = materialize(_prepared(frame, cols, target, test_size, MIN_CLEAN_ROWS)
+                        .withColumn("_close", F.col("close_price_usd")))
+    stats = scaler_stats(split, cols)
+    data = _spread(standardize(split, stats, cols).withColumn("label", safe_div(F.col(target), F.col("_close"))))
     assembler = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep")
-    gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=max_depth,
-                       stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy="0.8",
-                       minInstancesPerNode=3, seed=seed)
+    gbt = GBTRegressor(maxIter=max_iter, maxDepth=max_depth, seed=seed, **TREES)
     model = Pipeline(stages=[assembler, gbt]).fit(data.where(F.col("split") == "train"))
-    scored = (model.transform(data)
-              .select(KEY, "split", F.col(target).alias("label"),
-                      (F.col("prediction") * F.col("_close")).alias("prediction")))
-    fit_metrics = _keep(regression_metrics(scored).withColumn("horizon", F.lit(h)))
-    rmse = fit_metrics.where(F.col("split") == "test").select(KEY, F.col("rmse").alias("confidence"))
+    price = (F.col("prediction") * F.col("_close")).alias("prediction")
+    scored = _keep(model.transform(data).select(KEY, "event_date", "split", F.col(target).alias("label"), price))
+    metrics = regression_metrics(scored).withColumn("horizon", F.lit(h))
+    rmse = metrics.where(F.col("split") == "test").select(KEY, F.col("rmse").alias("confidence"))
     pred = (model.transform(standardize(newest, stats, cols))
-            .select(KEY, F.col("_close").alias("current_price"),
-                    (F.col("prediction") * F.col("_close")).alias("prediction")))
+            .select(KEY, F.col("_close").alias("current_price"), price))
     res = _keep(coins.join(pred, KEY, "left").join(rmse, KEY, "left")
                 .select(KEY, F.lit(h).alias("horizon"), "current_price", "prediction", "confidence",
                         (safe_div(F.col("prediction") - F.col("current_price"), F.col("current_price"))
                          * F.lit(100.0)).alias("change_pct")))
     data.unpersist()
-    return res, (model, cols, fit_metrics)
-
-
-def fit_price_model(metrics: DataFrame, horizon: int = 1, max_iter: int = 10, max_depth: int = 6,
-                    test_size: float = 0.2, seed: int = 42):
-    """Fit only the price model of one horizon; returns ``(pipeline model, feature columns)``."""
-    frame = materialize(price_features(metrics))
-    cols = feature_columns(frame, "price")
-    target = f"target_{horizon}d"
-    split = _prepared(frame, cols, target, test_size, MIN_CLEAN_ROWS)
-    train = (standardize_train(split, cols).where(F.col("split") == "train")
-             .withColumn("label", safe_div(F.col(target), F.col("close_price_usd")))
-             .repartition(training_partitions(frame), KEY).persist(StorageLevel.MEMORY_AND_DISK))
-    assembler = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep")
-    gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=max_depth,
-                       stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy="0.8",
-                       minInstancesPerNode=3, seed=seed)
-    model = Pipeline(stages=[assembler, gbt]).fit(train)
-    train.unpersist()
-    return model, cols
+    return res, Fit(model, cols, scored, metrics)
 
 
 def in_range(metrics: DataFrame, start=None, end=None) -> DataFrame:
@@ -245,43 +207,41 @@ def in_range(metrics: DataFrame, start=None, end=None) -> DataFrame:
     return metrics
 
 
-def forecast_price(metrics: DataFrame, horizons=(1, 7, 30), max_iter: int = 10, max_depth: int = 6,
-                   test_size: float = 0.2, seed: int = 42, parallelism: int | None = None) -> tuple[DataFrame, dict]:
+def forecast_price(metrics: DataFrame, horizons=(1, 7, 30), max_iter: int = PRICE_ROUNDS, max_depth: int = 6,
+                   test_size: float = 0.2, seed: int = 42,
+                   parallelism: int | None = None) -> tuple[DataFrame, dict[int, Fit]]:
     """Price forecast per coin and horizon.
 
-    Returns ``(forecasts, models)``: ``forecasts`` has ``coin_id, horizon,
+    Returns ``(forecasts, fits)``: ``forecasts`` has ``coin_id, horizon,
     current_price, prediction, confidence, change_pct`` (``confidence`` = the
     coin's test RMSE); a coin with too few clean rows gets NULLs for that horizon.
-    ``models[h]`` is ``(fitted pipeline, feature columns, metrics frame)`` with
-    MAE / RMSE / R2 per coin and split and MAPE on test.  The horizons are
-    independent fits and are submitted concurrently (``parallelism`` threads,
-    default one per horizon), as ``CrossValidator(parallelism=...)`` does.
+    ``fits[h]`` is a ``Fit``; its metrics are MAE / RMSE / R2 per coin and split and
+    MAPE on test.  The horizons are independent fits and are submitted concurrently
+    (``parallelism`` threads, default one per horizon), as
+    ``CrossValidator(parallelism=...)`` does.
     """
-    from concurrent.futures import ThreadPoolExecutor
-
-    from pyspark import inheritable_thread_target
-
     frame = materialize(price_features(metrics))
-    parts = training_partitions(frame)
     cols = feature_columns(frame, "price")
     coins = frame.select(KEY).distinct()
     newest = _keep(impute_latest(frame, cols).withColumn("_close", F.col("close_price_usd")))
 
     @inheritable_thread_target(frame.sparkSession)
     def one(h):
-        return _fit_price_horizon(frame, cols, newest, coins, parts, h, max_iter, max_depth, test_size, seed)
+        return _fit_price_horizon(frame, cols, newest, coins, h, max_iter, max_depth, test_size, seed)
 
     with ThreadPoolExecutor(max_workers=parallelism or len(horizons)) as pool:
         results = list(pool.map(one, horizons))
-    out, models = None, {}
-    for h, (res, model) in zip(horizons, results):
-        models[h] = model
+    newest.unpersist()
+    out, fits = None, {}
+    for h, (res, fit) in zip(horizons, results):
+        fits[h] = fit
         out = res if out is None else out.unionByName(res)
-    return out, models
+    return out, fits
 
 
-def feature_importance(model, cols: list[str], spark, top: int = 10) -> DataFrame:
-    """Top features of a fitted pipeline (GBT, or OneVsRest: mean over members)."""
+def feature_importance(model, cols: list[str], spark, top: int | None = 10) -> DataFrame:
+    """Top features (all with ``top=None``) of a fitted pipeline (GBT, or OneVsRest:
+    mean over members)."""
     last = model.stages[-1]
     if hasattr(last, "models"):
         imps = [m.featureImportances.toArray() for m in last.models]
@@ -290,53 +250,52 @@ def feature_importance(model, cols: list[str], spark, top: int = 10) -> DataFram
         values = list(last.featureImportances.toArray())
     rows = [(c, float(v)) for c, v in zip(cols, values)]
     df = spark.createDataFrame(rows, "feature string, importance double")
-    return df.orderBy(F.col("importance").desc(), "feature").limit(top)
+    return df if top is None else df.orderBy(F.col("importance").desc(), "feature").limit(top)
+
+
+def label_indexer(labelled: DataFrame, label: str = "trend_label"):
+    """The fitted label index: classes that occur, in alphabetical order, from 0."""
+    return StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(labelled)
 
 
-def forecast_trend(metrics: DataFrame, horizon_days: int = 7, threshold_pct: float = 2.0, max_iter: int = 5,
-                   max_depth: int = 5, test_size: float = 0.2, seed: int = 42) -> tuple[DataFrame, DataFrame, object]:
+def forecast_trend(metrics: DataFrame, horizon_days: int = 7, threshold_pct: float = 2.0,
+                   max_iter: int = TREND_ROUNDS, max_depth: int = 5, test_size: float = 0.2,
+                   seed: int = 42) -> tuple[DataFrame, Fit]:
     """Trend class forecast (DOWN / FLAT / UP) per coin.
 
-    Returns ``(forecast, metrics, model)``: ``forecast`` has ``coin_id, trend,
-    confidence, p_down, p_flat, p_up, current_price``; ``metrics`` has the train
-    and test accuracy per coin (``trend_metrics`` gives the confusion matrix and
-    class counts of a scored frame)."""
+    Returns ``(forecast, fit)``: ``forecast`` has ``coin_id, trend, confidence,
+    p_down, p_flat, p_up, current_price``, all NULL for a coin with too few clean
+    rows; ``fit.metrics`` has the train and test accuracy per coin, and
+    ``trend_metrics(fit.scored)`` adds the confusion matrix and class counts."""
     frame = materialize(trend_features(metrics, horizon_days, threshold_pct))
-    parts = training_partitions(frame)
     cols = feature_columns(frame, "trend")
-    split = _prepared(frame, cols, "trend_label", test_size, MIN_CLEAN_ROWS)
-    data = (standardize_train(split, cols, keep_stats=True)
-            .repartition(parts, KEY).persist(StorageLevel.MEMORY_AND_DISK))
-    stats = stats_of(data, cols)
-    indexer = StringIndexer(inputCol="trend_label", outputCol="label", stringOrderType="alphabetAsc",
-                            handleInvalid="keep")
+    split = materialize(_prepared(frame, cols, "trend_label", test_size, MIN_CLEAN_ROWS))
+    stats = scaler_stats(split, cols)
+    data = _spread(standardize(split, stats, cols))
+    indexer = label_indexer(data)
     assembler = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep")
-    gbt = GBTClassifier(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=max_depth,
-                        stepSize=0.05, subsamplingRate=0.8, featureSubsetStrategy="0.8",
-                        minInstancesPerNode=3, seed=seed)
+    gbt = GBTClassifier(maxIter=max_iter, maxDepth=max_depth, seed=seed, **TREES)
     ovr = OneVsRest(classifier=gbt, featuresCol="features", labelCol="label", parallelism=len(TREND_CLASSES))
-    train = data.where(F.col("split") == "train")
-    model = Pipeline(stages=[indexer, assembler, ovr]).fit(train)
-    labels = model.stages[0].labels
+    model = Pipeline(stages=[indexer, assembler, ovr]).fit(data.where(F.col("split") == "train"))
+    labels = indexer.labels
     name = F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("prediction").cast("int") + 1)
-    scored = model.transform(data).select(KEY, "split", "trend_label", name.alias("predicted"))
-    acc = _keep(accuracy(scored))
-    latest = standardize(impute_latest(frame, cols), stats, cols).withColumn("trend_label", F.lit(labels[0]))
-    raw = model.transform(latest)
+    scored = _keep(model.transform(data).select(KEY, "event_date", "split", "trend_label", name.alias("predicted")))
+    latest = standardize(impute_latest(frame, cols).withColumn("_close", F.col("close_price_usd")), stats, cols)
+    raw = model.transform(latest.withColumn("trend_label", F.lit(labels[0])))
     # OneVsRest emits one margin per class; GBT (log loss) probability is sigmoid(2 * margin).
     probs = F.transform(vector_to_array("rawPrediction"), lambda m: F.lit(1.0) / (F.lit(1.0) + F.exp(-2.0 * m)))
-    p = raw.select(KEY, F.col("close_price_usd").alias("current_price"), probs.alias("_p"))
+    p = raw.select(KEY, F.col("_close").alias("current_price"), probs.alias("_p"))
     p = p.select("*", F.aggregate("_p", F.lit(0.0), lambda acc_, x: acc_ + x).alias("_s"))
     cls = {c: i for i, c in enumerate(labels)}
-    cols_out = [(F.col("_p")[cls[c]] / F.col("_s")).alias(f"p_{c.lower()}") if c in cls else F.lit(None).cast(
-        "double").alias(f"p_{c.lower()}") for c in TREND_CLASSES]
+    cols_out = [(F.col("_p")[cls[c]] / F.col("_s")).alias(f"p_{c.lower()}") if c in cls else F.lit(0.0).alias(
+        f"p_{c.lower()}") for c in TREND_CLASSES]
     fc = p.select(KEY, "current_price", *cols_out)
-    pmax = F.greatest(*[F.coalesce(F.col(f"p_{c.lower()}"), F.lit(0.0)) for c in TREND_CLASSES])
+    pmax = F.greatest(*[F.col(f"p_{c.lower()}") for c in TREND_CLASSES])
     trend = F.when(F.col("p_down") == pmax, "DOWN").when(F.col("p_flat") == pmax, "FLAT").otherwise("UP")
     fc = fc.select(KEY, trend.alias("trend"), pmax.alias("confidence"), "p_down", "p_flat", "p_up", "current_price")
-    fc = _keep(fc)
+    fc = _keep(frame.select(KEY).distinct().join(fc, KEY, "left"))
     data.unpersist()
-    return fc, acc, model
+    return fc, Fit(model, cols, scored, accuracy(scored))
 
 
 # ---------------------------------------------------------------- public wrappers
@@ -350,17 +309,19 @@ def trend_metrics(scored: DataFrame, label: str = "trend_label", prediction: str
     return accuracy(scored, label, prediction), confusion(test, label, prediction), class_distribution(scored, label)
 
 
-def predict_multiple_horizons(metrics: DataFrame, horizons=(1, 7, 30), max_iter: int = 10,
-                              start=None, end=None) -> DataFrame:
-    """Forecast rows for each horizon (a coin without enough rows gets NULLs).
+def predict_multiple_horizons(metrics: DataFrame, horizons=(1, 7, 30), max_iter: int = PRICE_ROUNDS,
+                              start=None, end=None) -> tuple[DataFrame, dict[int, Fit]]:
+    """Forecast rows and fit of each horizon (a coin without enough rows gets NULLs).
     ``start`` / ``end`` restrict the input first, as the reference's date picker does."""
-    return forecast_price(in_range(metrics, start, end), horizons, max_iter=max_iter)[0]
+    return forecast_price(in_range(metrics, start, end), horizons, max_iter=max_iter)
 
 
-def train_and_predict(metrics: DataFrame, target_days: int = 30, max_iter: int = 10, start=None, end=None) -> DataFrame:
-    return forecast_price(in_range(metrics, start, end), (target_days,), max_iter=max_iter)[0]
+def train_and_predict(metrics: DataFrame, target_days: int = 30, max_iter: int = PRICE_ROUNDS, start=None,
+                      end=None) -> tuple[DataFrame, Fit]:
+    out, fits = forecast_price(in_range(metrics, start, end), (target_days,), max_iter=max_iter)
+    return out, fits[target_days]
 
 
 def predict_trend(metrics: DataFrame, horizon_days: int = 7, threshold_pct: float = 2.0,
-                  max_iter: int = 5, start=None, end=None) -> DataFrame:
-    return forecast_trend(in_range(metrics, start, end), horizon_days, threshold_pct, max_iter=max_iter)[0]
+                  max_iter: int = TREND_ROUNDS, start=None, end=None) -> tuple[DataFrame, Fit]:
+    return forecast_trend(in_range(metrics, start, end), horizon_days, threshold_pct, max_iter=max_iter)

@@ -46,17 +46,6 @@ def price_ticks(payloads: DataFrame) -> DataFrame:
     return t.withColumn("tick_key", order_key("event_ms", ("part", 14), ("pos", 10)))
 
 
-def measure_points(payloads: DataFrame) -> DataFrame:
-    """Volume and market-cap pairs as ``coin_id, event_date, volume_usd, market_cap_usd``
-    rows (one of the two measures is NULL on each row), for ``roll_up`` with
-    separately prepared price ticks; ``tagged_points`` does all three in one pass."""
-    vol = ticks(payloads, VOLUME, "volume_usd", keep_null_values=True)
-    cap = ticks(payloads, MARKET_CAP, "market_cap_usd", keep_null_values=True)
-    return (vol.select("coin_id", "event_date", "volume_usd", F.lit(None).cast("double").alias("market_cap_usd"))
-            .unionByName(cap.select("coin_id", "event_date", F.lit(None).cast("double").alias("volume_usd"),
-                                    "market_cap_usd")))
-
-
 KIND_PRICE, KIND_VOLUME, KIND_CAP = 0, 1, 2
 
 

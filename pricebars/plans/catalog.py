@@ -12,8 +12,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from pricebars.functions.exprs import pct_change, rolling_mean, round_doubles, safe_div, series_window
+from pricebars.functions.exprs import round_doubles
 from pricebars.operators import bars as B
 from pricebars.operators import compare as C
 from pricebars.operators import features as FT
@@ -21,10 +22,13 @@ from pricebars.operators import modeling as M
 from pricebars.operators import serving as S
 from pricebars.operators import ticks as TK
 from pricebars.operators.upsert import first_per_key, upsert
-from pricebars.session import configure
+from pricebars.schemas import PAYLOAD
+from pricebars.session import configure, materialize
 from pricebars.sources import tables as TB
 from pricebars.sources import testdata as TD
+from pricebars.sources.payloads import tag_payloads
 from pricebars.sources.sentiment import sentiment_points as parse_sentiment
+from pricebars.streaming.refresh import load_good_payloads
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -88,6 +92,7 @@ def daily_metrics(spark, sf_dir):
 
 
 COIN = TD.PRIORITIES[0]          # the coin the single-coin reads filter on
+UNTOUCHED = "purchase"           # the event type that the table upsert leaves out
 RANGE = ("1996-01-01", "1996-12-31")
 SERIES_OUT = [c for c in S.SERIES_COLUMNS if c != "processed_at"]
 
@@ -168,6 +173,35 @@ def upsert_daily(spark, sf_dir):
     """Stored: a legacy load of days 1-20 (bars only, volume and cap 0, symbol =
     upper-cased id).  Incoming: a full refresh of days 15-30 (symbol = id).
     Overlap days take the new metrics but keep the stored symbol and name."""
+    stored, incoming = _stored_and_incoming(spark, sf_dir)
+    return upsert(stored, incoming, TB.METRICS_KEY, TB.METRICS_KEEP)
+
+
+# ---------------------------------------------------------------- files and tables
+
+
+@query
+def refresh_pulls(spark, sf_dir):
+    """JSON payload files of overlapping pulls (1,024 events each, one day apart), loaded
+    by the refresh job; of the pulls that hold a day the newest decides it."""
+    events = _events(spark, sf_dir)
+    folder = TB.staging_path(spark, "pulls")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.col("part").cast("int"))
+    (_payloads(spark, sf_dir)
+     .select(F.concat("coin_id", F.lit("_"), day.cast("string"), F.lit(".json")).alias("file_name"),
+             "prices", "market_caps", "total_volumes")
+     .write.partitionBy("file_name").json(f"{folder}/raw"))
+    # Spark names its files itself, so the landed name is the folder's
+    schema = StructType([*PAYLOAD.fields, StructField("file_name", StringType())])
+    raw = (spark.read.schema(schema).option("columnNameOfCorruptRecord", "_corrupt_record").json(f"{folder}/raw"))
+    good, _ = tag_payloads(raw)
+    coins = events.select(F.col("event_type").alias("coin_id"), F.upper("event_type").alias("coin_symbol"),
+                          F.col("event_type").alias("coin_name")).distinct()
+    load_good_payloads(spark, good, f"{folder}/table", coins)
+    return TB.read_metrics(spark, f"{folder}/table").drop("processed_at")
+
+
+def _stored_and_incoming(spark, sf_dir):
     payloads = _payloads(spark, sf_dir)
     full = B.daily_metrics(payloads, processed_at=False)
     day = F.dayofmonth("event_date")
@@ -178,7 +212,34 @@ def upsert_daily(spark, sf_dir):
     incoming = (full.where(day >= 15)
                 .select("coin_id", F.col("coin_id").alias("coin_symbol"), F.col("coin_id").alias("coin_name"),
                         "event_date", *B.BAR_COLUMNS, "volume_usd", "market_cap_usd"))
-    return upsert(stored, incoming, TB.METRICS_KEY, TB.METRICS_KEEP)
+    return stored, incoming
+
+
+@query
+def table_upsert(spark, sf_dir):
+    """``upsert_daily`` on the written table, with one coin left out of the incoming
+    rows: that coin's partition stays as it was."""
+    stored, incoming = (x.withColumn("processed_at", F.current_timestamp()) for x in _stored_and_incoming(spark, sf_dir))
+    path = TB.staging_path(spark, "upsert")
+    TB.write_metrics(stored, path)
+    TB.upsert_metrics_table(spark, path, incoming.where(F.col("coin_id") != UNTOUCHED))
+    return TB.read_metrics(spark, path).drop("processed_at")
+
+
+@query
+def table_one_coin(spark, sf_dir):
+    """One coin's read of the written table: a partition filter, no other file is read."""
+    path = TB.staging_path(spark, "daily-metrics")
+    TB.write_metrics(_metrics(spark, sf_dir), path)
+    return S.series(TB.read_metrics(spark, path), COIN).select(*SERIES_OUT)
+
+
+@query
+def csv_round_trip(spark, sf_dir):
+    path = TB.staging_path(spark, "csv")
+    metrics = _metrics(spark, sf_dir)
+    TB.export_csv(metrics, path)
+    return spark.read.schema(metrics.schema).option("header", True).csv(path)
 
 
 # ---------------------------------------------------------------- stage 3: serving
@@ -365,24 +426,13 @@ def feat_bollinger(spark, sf_dir):
 @query
 def feat_trend(spark, sf_dir):
     """Regressor trend (fraction) and classifier trends (percent) in one pass."""
-    w = series_window()
-    m = _metrics(spark, sf_dir).select(*KEYS, *[rolling_mean(FT.PRICE, w, n).alias(f"_ma{n}") for n in (7, 21, 30)])
-    gap = F.col("_ma7") - F.col("_ma30")
-    return m.select(*KEYS, gap.alias("trend"), safe_div(gap, F.col("_ma30")).alias("trend_strength_frac"),
-                    (F.col("_ma7") - F.col("_ma21")).alias("trend_7_21"), gap.alias("trend_7_30"),
-                    (safe_div(gap, F.col("_ma30")) * F.lit(100.0)).alias("trend_strength_pct"))
+    return FT.trend_lines(_metrics(spark, sf_dir))
 
 
 @query
 def feat_volume(spark, sf_dir):
     """Volume mean / ratio / change and market-cap change in one pass."""
-    w = series_window()
-    m = _metrics(spark, sf_dir).select(
-        *KEYS, "volume_usd", rolling_mean("volume_usd", w, 7).alias("volume_ma_7"),
-        pct_change("market_cap_usd", w, 1).alias("mcap_change"),
-        (pct_change("volume_usd", w, 1) * F.lit(100.0)).alias("volume_change"))
-    return m.select(*KEYS, "volume_ma_7", safe_div(F.col("volume_usd"), F.col("volume_ma_7")).alias("volume_ratio"),
-                    "mcap_change", "volume_change")
+    return FT.volume_changes(_metrics(spark, sf_dir))
 
 
 @query
@@ -400,6 +450,16 @@ def trend_labels(spark, sf_dir):
     return FT.trend_labels(_metrics(spark, sf_dir), 7, 2.0)
 
 
+@query
+def trend_labels_14(spark, sf_dir):
+    return FT.trend_labels(_metrics(spark, sf_dir), 14, 2.0)
+
+
+@query
+def trend_labels_30(spark, sf_dir):
+    return FT.trend_labels(_metrics(spark, sf_dir), 30, 2.0)
+
+
 @query
 def features_price(spark, sf_dir):
     return _pf(spark, sf_dir)
@@ -413,8 +473,16 @@ def features_trend(spark, sf_dir):
 # ---------------------------------------------------------------- stage 6: modeling
 
 
-MAX_ITER_PRICE = 5    # boosting rounds in the registered smoke queries (the
-MAX_ITER_TREND = 3    # reference uses 200 / 150; these are parameters)
+_FITS: dict = {}
+
+
+def _fitted(kind, spark, sf_dir):
+    """The full fit of a table, kept for the session: the model queries share it."""
+    key = (kind, spark.sparkContext.applicationId, sf_dir)
+    if key not in _FITS:
+        fit = {"price": M.predict_multiple_horizons, "trend": M.predict_trend}[kind]
+        _FITS[key] = fit(_metrics(spark, sf_dir))
+    return _FITS[key]
 
 
 def _price_split(spark, sf_dir, horizon=1):
@@ -446,14 +514,15 @@ def chrono_split(spark, sf_dir):
 @query
 def scaled_features(spark, sf_dir):
     _, cols, _, split = _price_split(spark, sf_dir)
-    return M.standardize_train(split, cols).select("coin_id", "event_date", "split", *cols)
+    split = materialize(split)
+    return M.standardize(split, M.scaler_stats(split, cols), cols).select("coin_id", "event_date", "split", *cols)
 
 
 @query
 def score_row(spark, sf_dir):
     frame = _pf(spark, sf_dir)
     cols = FT.feature_columns(frame, "price")
-    return M.impute_latest(frame, cols).select("coin_id", "event_date", *cols)
+    return M.impute_latest(materialize(frame), cols).select("coin_id", "event_date", *cols)
 
 
 @query
@@ -486,19 +555,75 @@ def class_distribution(spark, sf_dir):
     return M.class_distribution(split)
 
 
+@query
+def label_index(spark, sf_dir):
+    _, _, clean, _ = _trend_split(spark, sf_dir)
+    return M.label_indexer(clean).transform(clean).groupBy("trend_label", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def forecast_price(spark, sf_dir):
-    out, _ = M.forecast_price(_metrics(spark, sf_dir), horizons=(1, 7, 30), max_iter=MAX_ITER_PRICE)
-    return out
+    return _fitted("price", spark, sf_dir)[0]
 
 
 @query
 def forecast_trend(spark, sf_dir):
-    fc, _, _ = M.forecast_trend(_metrics(spark, sf_dir), 7, 2.0, max_iter=MAX_ITER_TREND)
-    return fc
+    return _fitted("trend", spark, sf_dir)[0]
 
 
 @query
 def feature_importance(spark, sf_dir):
-    model, cols = M.fit_price_model(_metrics(spark, sf_dir), horizon=1, max_iter=MAX_ITER_PRICE)
-    return M.feature_importance(model, cols, spark)
+    return _fitted("price", spark, sf_dir)[1][1].importance()
+
+
+def _rows_per_split(metrics, *keys):
+    return metrics.groupBy("coin_id", *keys).agg(*[
+        F.sum(F.when(F.col("split") == x, F.col("n"))).alias(f"n_{x}") for x in ("train", "test")])
+
+
+@query
+def forecast_price_check(spark, sf_dir):
+    """What SQL can tell of the price forecasts: who gets one, from which price, the
+    rows fitted and judged on, and how the columns agree with each other."""
+    out, fits = _fitted("price", spark, sf_dir)
+    metrics = None
+    for fit in fits.values():
+        metrics = fit.metrics if metrics is None else metrics.unionByName(fit.metrics)
+    change = (F.col("prediction") - F.col("current_price")) / F.col("current_price") * 100
+    rows = _rows_per_split(metrics, "horizon").join(
+        metrics.groupBy("coin_id", "horizon").agg(F.bool_and(F.col("mae") <= F.col("rmse")).alias("mae_within_rmse")),
+        ["coin_id", "horizon"])
+    return (out.join(rows, ["coin_id", "horizon"], "left")
+            .select("coin_id", "horizon", "current_price", F.col("prediction").isNotNull().alias("predicted"),
+                    (F.abs(F.col("change_pct") - change) < 1e-9).alias("change_agrees"),
+                    (F.col("confidence") >= 0).alias("confident"), "n_train", "n_test", "mae_within_rmse"))
+
+
+@query
+def forecast_trend_check(spark, sf_dir):
+    """As ``forecast_price_check``, with the true classes of the confusion matrix."""
+    out, fit = _fitted("trend", spark, sf_dir)
+    acc, grid, _ = M.trend_metrics(fit.scored)
+    true = grid.groupBy("coin_id").agg(*[
+        F.sum(F.when(F.col("true_label") == c, F.col("pred_down") + F.col("pred_flat") + F.col("pred_up"))).alias(f"true_{c.lower()}")
+        for c in ("DOWN", "FLAT", "UP")])
+    p = {c: F.col(f"p_{c.lower()}") for c in ("DOWN", "FLAT", "UP")}
+    best = F.element_at(F.create_map(*[x for c in p for x in (F.lit(c), p[c])]), F.col("trend"))
+    return (out.join(_rows_per_split(acc), "coin_id", "left").join(true, "coin_id", "left")
+            .select("coin_id", "current_price", (F.abs(sum(p.values()) - 1) < 1e-9).alias("sums_to_one"),
+                    (best == F.greatest(*p.values())).alias("trend_is_likeliest"),
+                    (F.col("confidence") == best).alias("confidence_agrees"),
+                    "n_train", "n_test", "true_down", "true_flat", "true_up"))
+
+
+@query
+def importance_check(spark, sf_dir):
+    """Every feature's importance of each horizon is a share; all of a horizon sum to 1."""
+    out = None
+    for h, fit in _fitted("price", spark, sf_dir)[1].items():
+        rows = fit.importance(None).withColumn("horizon", F.lit(h))
+        out = rows if out is None else out.unionByName(rows)
+    total = out.groupBy("horizon").agg(F.sum("importance").alias("total"))
+    return (out.join(total, "horizon")
+            .select("horizon", "feature", F.col("importance").between(0, 1).alias("is_share"),
+                    (F.abs(F.col("total") - 1) < 1e-9).alias("sums_to_one")))

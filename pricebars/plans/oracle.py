@@ -167,6 +167,28 @@ merged AS (
   FROM stored s FULL OUTER JOIN incoming i ON s.coin_id = i.coin_id AND s.event_date = i.event_date)
 SELECT """ + SERIES_SEL + " FROM merged"
 
+# ---------------------------------------------------------------- files and tables
+
+ORACLE["table_upsert"] = ORACLE["upsert_daily"].replace("day(event_date) >= 15)", "day(event_date) >= 15 AND coin_id <> 'purchase')")
+ORACLE["table_one_coin"] = with_(*D_ALL) + f"SELECT {SERIES_SEL} FROM d WHERE coin_id = '{COIN}'"
+ORACLE["csv_round_trip"] = ORACLE["enrich_dim"]
+
+ORACLE["refresh_pulls"] = f"""WITH t AS (
+  SELECT event_type AS coin_id, event_id // 1024 AS pull, epoch_us(ts) // 1000 AS event_ms, CAST(ts AS DATE) AS event_date,
+         event_id, value AS price, value * user_id AS volume, value * 100.0 AS cap
+  FROM events),
+bars AS (
+  SELECT coin_id, pull, event_date, arg_min(price, (event_ms, event_id)) AS open_price_usd,
+         arg_max(price, (event_ms, event_id)) AS close_price_usd, avg(price) AS avg_price_usd,
+         max(price) AS max_price_usd, min(price) AS min_price_usd, count(price) AS samples_per_day
+  FROM t WHERE price IS NOT NULL GROUP BY ALL),
+means AS (SELECT coin_id, pull, event_date, avg(volume) AS volume_usd, avg(cap) AS market_cap_usd FROM t GROUP BY ALL),
+newest AS (SELECT coin_id, event_date, max(pull) AS pull FROM bars GROUP BY ALL),
+d AS (SELECT b.* EXCLUDE (pull), coalesce(m.volume_usd, 0.0) AS volume_usd, coalesce(m.market_cap_usd, 0.0) AS market_cap_usd,
+             upper(coin_id) AS coin_symbol, coin_id AS coin_name
+      FROM bars b JOIN newest USING (coin_id, event_date, pull) JOIN means m USING (coin_id, event_date, pull))
+SELECT {SERIES_SEL} FROM d"""
+
 # ---------------------------------------------------------------- stage 3: serving
 
 ORACLE["series_for_coin"] = with_(*D_ALL) + f"SELECT {SERIES_SEL} FROM d WHERE coin_id = '{COIN}'"
@@ -432,6 +454,12 @@ SELECT coin_id, event_date, round({_C}, 6) AS {_C}, round(fut, 6) AS future_pric
        {label_sql(_C, 'fut')} AS trend_label
 FROM (SELECT *, {_lead(_C, 7)} AS fut FROM d)"""
 
+for _h in (14, 30):
+    ORACLE[f"trend_labels_{_h}"] = with_(*D_ALL) + f"""
+SELECT coin_id, event_date, round({_C}, 6) AS {_C}, round(fut, 6) AS future_price,
+       {label_sql(_C, 'fut')} AS trend_label
+FROM (SELECT *, {_lead(_C, _h)} AS fut FROM d)"""
+
 BASE_SEL = """coin_id, coin_symbol, coin_name, event_date,
   round(open_price_usd, 6) AS open_price_usd, round(close_price_usd, 6) AS close_price_usd,
   round(avg_price_usd, 6) AS avg_price_usd, round(max_price_usd, 6) AS max_price_usd,
@@ -562,6 +590,42 @@ GROUP BY c.coin_id, k.true_label"""
 ORACLE["class_distribution"] = with_(*T_ALL) + """
 SELECT coin_id, trend_label AS label, count(*) AS n FROM tsplit WHERE split = 'test' GROUP BY coin_id, trend_label"""
 
+ORACLE["label_index"] = with_(*T_ALL) + """
+SELECT trend_label, (dense_rank() OVER (ORDER BY trend_label) - 1)::DOUBLE AS label, n
+FROM (SELECT trend_label, count(*) AS n FROM tclean GROUP BY trend_label)"""
+
+# What SQL can tell of the fitted models: who gets a forecast (60 rows, 50 clean ones),
+# from which price, and the rows of each split (the first 80 % of the clean ones).
+_PRICE_CLEAN = " UNION ALL ".join(
+    f"SELECT coin_id, {h} AS horizon, count(*) FILTER (WHERE {_not_null(PRICE_COLS + [f'target_{h}d'])}) AS n, "
+    f"count(*) AS n_raw, arg_max(close_price_usd, event_date) AS price FROM pfr GROUP BY coin_id" for h in (1, 7, 30))
+ORACLE["forecast_price_check"] = with_(*D_ALL, DR, PRICE_RAW) + f"""
+SELECT coin_id, horizon, CASE WHEN ok THEN round(price, 6) END AS current_price, ok AS predicted,
+  CASE WHEN ok THEN TRUE END AS change_agrees, CASE WHEN ok THEN TRUE END AS confident,
+  CASE WHEN ok THEN floor(n * (1.0::DOUBLE - 0.2::DOUBLE))::BIGINT END AS n_train,
+  CASE WHEN ok THEN n - floor(n * (1.0::DOUBLE - 0.2::DOUBLE))::BIGINT END AS n_test,
+  CASE WHEN ok THEN TRUE END AS mae_within_rmse
+FROM (SELECT *, n >= 50 AND n_raw >= 60 AS ok FROM ({_PRICE_CLEAN}))"""
+
+ORACLE["forecast_trend_check"] = with_(*T_ALL) + """
+SELECT c.coin_id, CASE WHEN ok THEN round(price, 6) END AS current_price, CASE WHEN ok THEN TRUE END AS sums_to_one,
+  CASE WHEN ok THEN TRUE END AS trend_is_likeliest, CASE WHEN ok THEN TRUE END AS confidence_agrees,
+  CASE WHEN ok THEN n_train END AS n_train, CASE WHEN ok THEN n_test END AS n_test,
+  CASE WHEN ok THEN true_down END AS true_down, CASE WHEN ok THEN true_flat END AS true_flat,
+  CASE WHEN ok THEN true_up END AS true_up
+FROM (SELECT r.coin_id, price, coalesce(n, 0) >= 50 AND n_raw >= 60 AS ok, n_train, n_test, true_down, true_flat, true_up
+      FROM (SELECT coin_id, count(*) AS n_raw, arg_max(close_price_usd, event_date) AS price FROM tfr GROUP BY coin_id) r
+      LEFT JOIN (SELECT coin_id, count(*) AS n, count(*) FILTER (WHERE split = 'train') AS n_train,
+                   count(*) FILTER (WHERE split = 'test') AS n_test,
+                   count(*) FILTER (WHERE split = 'test' AND trend_label = 'DOWN') AS true_down,
+                   count(*) FILTER (WHERE split = 'test' AND trend_label = 'FLAT') AS true_flat,
+                   count(*) FILTER (WHERE split = 'test' AND trend_label = 'UP') AS true_up
+                 FROM tsplit GROUP BY coin_id) s ON s.coin_id = r.coin_id) c"""
+
+ORACLE["importance_check"] = " UNION ALL ".join(
+    f"SELECT {h} AS horizon, feature, TRUE AS is_share, TRUE AS sums_to_one FROM (SELECT unnest({PRICE_COLS}) AS feature)"
+    for h in (1, 7, 30))
+
 
 # ---------------------------------------------------------------- sign of zero
 

@@ -41,11 +41,6 @@ DAILY_METRICS = T.StructType([
     T.StructField("processed_at", T.TimestampType()),
 ])
 
-METRIC_COLUMNS = [
-    "open_price_usd", "close_price_usd", "avg_price_usd", "max_price_usd", "min_price_usd",
-    "volume_usd", "market_cap_usd", "samples_per_day", "processed_at",
-]
-
 # Sentiment table, key event_date.
 SENTIMENT = T.StructType([
     T.StructField("event_date", T.DateType()),

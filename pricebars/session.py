@@ -104,3 +104,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="pricebars-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return configured
+
+
+def materialize(df):
+    """Reliable checkpoint into the session's ``spark.checkpoint.dir`` (shared
+    storage on a cluster), for frames that several jobs read: a lost executor must
+    not replay the whole lineage."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

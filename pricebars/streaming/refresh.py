@@ -16,14 +16,16 @@ from pyspark.sql import functions as F
 
 from pricebars.operators.bars import pulled_metrics
 from pricebars.operators.enrich import coin_dimension, enrich
-from pricebars.schemas import DAILY_METRICS, PAYLOAD
+from pricebars.schemas import DAILY_METRICS, PAYLOAD, SENTIMENT
+from pricebars.session import materialize
 from pricebars.sources.payloads import read_payloads, tag_payloads
-from pricebars.sources.tables import land_raw, upsert_metrics_table
+from pricebars.sources.sentiment import read_sentiment
+from pricebars.sources.tables import land_raw, upsert_metrics_table, upsert_sentiment_table
 
 
-def _table_exists(spark: SparkSession, path: str) -> bool:
+def _table_exists(spark: SparkSession, path: str, schema=DAILY_METRICS) -> bool:
     try:
-        spark.read.schema(DAILY_METRICS).parquet(path).schema
+        spark.read.schema(schema).parquet(path).schema
         return True
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
@@ -32,32 +34,38 @@ def _table_exists(spark: SparkSession, path: str) -> bool:
 
 
 def load_good_payloads(spark: SparkSession, good: DataFrame, table_path: str, dim: DataFrame | None = None) -> DataFrame:
-    """Roll up good payload rows, enrich and upsert them; returns rows of coins
-    missing from the dimension (rejected, not loaded)."""
-    metrics = pulled_metrics(good)
-    rows, unknown = enrich(metrics, dim if dim is not None else coin_dimension(spark))
-    upsert_metrics_table(spark, table_path, rows, exists=_table_exists(spark, table_path))
-    return unknown
+    """Roll up good payload rows, enrich and upsert them; returns a report of the files
+    of coins missing from the dimension (not loaded).  The daily rows are staged once;
+    the report reads file names alone, no ticks."""
+    dim = dim if dim is not None else coin_dimension(spark)
+    rows, _ = enrich(pulled_metrics(good), dim)
+    upsert_metrics_table(spark, table_path, materialize(rows), exists=_table_exists(spark, table_path))
+    return (good.join(dim.select("coin_id"), "coin_id", "left_anti")
+            .select("file_name", "coin_id", "logical_date", F.lit("unknown coin").alias("reason")))
 
 
-def _unknown_files(good: DataFrame, unknown: DataFrame) -> DataFrame:
-    return (good.join(unknown.select("coin_id").distinct(), "coin_id", "left_semi")
-            .select("file_name", "coin_id", "logical_date", F.lit("unknown coin").alias("reason")))
+def load_sentiment(spark: SparkSession, sentiment_path: str, table_path: str) -> DataFrame:
+    """Upsert the sentiment files into their table; returns the records rejected."""
+    points, rejects = read_sentiment(spark, sentiment_path)
+    upsert_sentiment_table(spark, table_path, points, exists=_table_exists(spark, table_path, SENTIMENT))
+    return rejects
 
 
 def refresh_batch(spark: SparkSession, raw_path: str, table_path: str, dim: DataFrame | None = None,
-                  raw_log: str | None = None) -> DataFrame:
+                  raw_log: str | None = None, sentiment: tuple[str, str] | None = None) -> DataFrame:
     """One refresh over all files under ``raw_path``; returns the rejects report
     (``file_name, coin_id, logical_date, reason``).  Raises when no file holds a
     usable price tick.  With ``raw_log`` the files are also appended to the raw
-    landing log first."""
+    landing log first, and with ``sentiment`` (folder of files, table) the sentiment
+    files of the run are loaded as well."""
     if raw_log:
         land_raw(spark, raw_path, raw_log)
     good, rejects = read_payloads(spark, raw_path)
     if good.isEmpty():
         raise ValueError(f"no usable payload under {raw_path}")
-    unknown = load_good_payloads(spark, good, table_path, dim)
-    return rejects.unionByName(_unknown_files(good, unknown))
+    if sentiment:
+        load_sentiment(spark, *sentiment)
+    return rejects.unionByName(load_good_payloads(spark, good, table_path, dim))
 
 
 def refresh_stream(spark: SparkSession, raw_dir: str, table_path: str, checkpoint: str,
@@ -73,8 +81,7 @@ def refresh_stream(spark: SparkSession, raw_dir: str, table_path: str, checkpoin
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         good, rejects = tag_payloads(batch)
         if not good.isEmpty():
-            unknown = load_good_payloads(batch.sparkSession, good, table_path, dim)
-            rejects = rejects.unionByName(_unknown_files(good, unknown))
+            rejects = rejects.unionByName(load_good_payloads(batch.sparkSession, good, table_path, dim))
         if rejects_path:
             rejects.write.mode("append").parquet(rejects_path)
 

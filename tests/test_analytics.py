@@ -133,11 +133,9 @@ def test_regression_metrics_formulas(spark):
 
 
 def test_m9_label_index_alphabetical(spark):
-    from pyspark.ml.feature import StringIndexer
-
     df = spark.createDataFrame([("UP",), ("UP",), ("FLAT",), ("DOWN",), ("UP",)], "trend_label string")
-    model = StringIndexer(inputCol="trend_label", outputCol="i", stringOrderType="alphabetAsc").fit(df)
-    assert list(model.labels) == ["DOWN", "FLAT", "UP"]
+    got = {(r["trend_label"], r["label"]) for r in M.label_indexer(df).transform(df).collect()}
+    assert got == {("DOWN", 0.0), ("FLAT", 1.0), ("UP", 2.0)}
 
 
 def test_p9_processed_at_stamp(spark):
@@ -152,15 +150,22 @@ def test_forecast_wrappers_on_small_data(spark):
     from pricebars.sources import testdata as TD
 
     metrics = TD.order_metrics(spark, "/root/testdata/sf0.001").where("coin_id IN ('1-URGENT', '2-HIGH')")
-    fc, acc, _ = M.forecast_trend(metrics, 7, 2.0, max_iter=1, max_depth=2)
+    fc, fit = M.forecast_trend(metrics, 7, 2.0, max_iter=1, max_depth=2)
     rows = fc.collect()
     assert len(rows) == 2
     for r in rows:
         assert r["trend"] in ("DOWN", "FLAT", "UP")
         assert abs(r["p_down"] + r["p_flat"] + r["p_up"] - 1.0) < 1e-9
         assert r["confidence"] == max(r["p_down"], r["p_flat"], r["p_up"])
-    assert {r["split"] for r in acc.collect()} == {"train", "test"}
-    price = M.train_and_predict(metrics, target_days=7, max_iter=1).collect()
+    assert {r["split"] for r in fit.metrics.collect()} == {"train", "test"}
+    acc, grid, classes = M.trend_metrics(fit.scored)
+    tests = fit.scored.where("split = 'test'").count()
+    assert grid.count() == 6 and sum(r["pred_down"] + r["pred_flat"] + r["pred_up"] for r in grid.collect()) == tests
+    assert sum(r["n"] for r in classes.collect()) == tests
+    assert sum(r["importance"] for r in fit.importance(None).collect()) == pytest.approx(1.0)
+    out, price_fit = M.train_and_predict(metrics, target_days=7, max_iter=1)
+    assert {r["split"] for r in price_fit.metrics.collect()} == {"train", "test"}
+    price = out.collect()
     assert len(price) == 2 and all(r["prediction"] is not None and r["confidence"] is not None for r in price)
 
 
@@ -170,9 +175,12 @@ def test_short_series_gets_null_forecast(spark):
     m = TD.order_metrics(spark, "/root/testdata/sf0.001")
     long_coin = m.where("coin_id = '1-URGENT'")
     short_coin = m.where("coin_id = '2-HIGH'").orderBy("event_date").limit(55)
-    out, _ = M.forecast_price(long_coin.unionByName(short_coin), horizons=(1,), max_iter=1, max_depth=2)
+    both = long_coin.unionByName(short_coin)
+    out, _ = M.forecast_price(both, horizons=(1,), max_iter=1, max_depth=2)
     got = {r["coin_id"]: r["prediction"] for r in out.collect()}
     assert got["1-URGENT"] is not None and got["2-HIGH"] is None
+    trend = {r["coin_id"]: r["trend"] for r in M.forecast_trend(both, max_iter=1, max_depth=2)[0].collect()}
+    assert trend["1-URGENT"] is not None and trend["2-HIGH"] is None
 
 
 def test_in_range_filters_before_features(spark):
