@@ -179,10 +179,15 @@ def train(unknown: list[str], seed: int = 11) -> Model:
 
 def sample(docs: DataFrame, text: str = "text", n: int = SAMPLE_PARAGRAPHS) -> list[str]:
     """At most ``n`` different paragraphs, the same for the same rows: the smallest
-    digests of the first paragraphs' texts."""
+    digests of the first paragraphs' texts.  The number of different digests gives a
+    bar that about ``2 * n`` of them are under, so only those are shuffled and merged,
+    however large the input is."""
     line = F.substring_index(F.coalesce(F.col(text), F.lit("")), "\n", 1)
     rows = docs.select(F.substring(line, 1, 2000).alias("line")).filter("line <> ''")
-    return [r["line"] for r in rows.select("line", F.xxhash64("line").alias("h")).orderBy("h").limit(2 * n).distinct().orderBy("h").limit(n).collect()]
+    rows = rows.select("line", (F.shiftrightunsigned(F.xxhash64("line"), 11) / F.lit(float(1 << 53))).alias("h"))
+    different = rows.agg(F.approx_count_distinct("h")).first()[0]
+    kept = rows.filter(F.col("h") < F.lit(min(1.0, 2 * n / max(1, different)))).distinct()
+    return [r["line"] for r in kept.orderBy("h", "line").limit(n).collect()]
 
 
 def scan(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
