@@ -12,6 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def symbols_of(dim: DataFrame) -> list[str]:
+    """The symbols of the coin dimension, in order (one row per supported coin)."""
+    return sorted(r["coin_symbol"] for r in dim.select("coin_symbol").distinct().collect())
+
+
 def pivot_close(metrics: DataFrame, symbols: list[str], value: str = "close_price_usd") -> DataFrame:
     """Dates down, symbols across (NULL where a coin has no row that day)."""
     return metrics.groupBy("event_date").pivot("coin_symbol", list(symbols)).agg(F.max(value))
@@ -63,7 +68,7 @@ def normalized(metrics: DataFrame, symbols: list[str]) -> DataFrame:
     for the whole coin when it has no row on the first date).
 
     Everything derives from the one pivoted frame: the base row is a global
-    ``min_by(symbol, event_date)`` aggregate over it (one row, broadcast), so the
+    ``min_by(symbol, event_date)`` aggregate over it (one row per symbol), so the
     input is computed once and the pivot's shuffle is reused."""
     wide = pivot_close(metrics, symbols)
     cols = [F.col(f"`{s}`") for s in symbols]
@@ -71,5 +76,5 @@ def normalized(metrics: DataFrame, symbols: list[str]) -> DataFrame:
     first = wide.agg(*[F.min_by(F.col(f"`{s}`"), "event_date").alias(s) for s in symbols])
     base = first.unpivot([], [F.col(f"`{s}`") for s in symbols], "coin_symbol", "base")
     change = F.try_divide(F.col("close") - F.col("base"), F.col("base")) * F.lit(100.0)
-    return (grid.join(F.broadcast(base), "coin_symbol", "left")
+    return (grid.join(base, "coin_symbol", "left")
             .select("event_date", "coin_symbol", change.alias("value")))

@@ -102,8 +102,7 @@ def _metrics(spark, sf_dir):
 
 
 def _symbols(spark):
-    """Symbols of the priority dimension (first character of each priority)."""
-    return [p[0] for p in TD.PRIORITIES]
+    return C.symbols_of(TD.priority_dimension(spark))
 
 
 @query

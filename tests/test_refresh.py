@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 
-from pricebars.sources.tables import read_metrics
+from pricebars.sources.tables import read_metrics, read_sentiment_table
 from pricebars.streaming.refresh import refresh_batch, refresh_stream
 
 D1 = int(dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc).timestamp() * 1000)
@@ -84,3 +84,15 @@ def test_tick_out_of_range_is_reported_and_blocks_nothing(spark, write_json, tmp
     rejects = refresh_batch(spark, raw, str(tmp_path / "metrics"), raw_log=str(tmp_path / "log"))
     assert {(r["coin_id"], r["reason"]) for r in rejects.collect()} == {("bitcoin", "tick time out of range"), (None, "unrecognised file name")}
     assert len(table_rows(spark, str(tmp_path / "metrics"))) == 6 and spark.read.parquet(str(tmp_path / "log")).count() == 3
+
+
+def test_refresh_loads_sentiment_and_reports_unknown_coins(spark, write_json, tmp_path):
+    day = 1704067200000  # 2024-01-01 UTC
+    raw = write_json({"bitcoin_2024-01-02.json": {"prices": [[day, 1.0]]}, "othercoin_2024-01-02.json": {"prices": [[day, 2.0]]}})
+    moods = write_json({"mood.json": {"data": [{"timestamp": str(day // 1000), "value": "40", "value_classification": "Fear"}]}}, "moods")
+    table, mood_table = str(tmp_path / "metrics"), str(tmp_path / "mood")
+    for _ in range(2):  # a second run changes nothing
+        rejects = refresh_batch(spark, raw, table, sentiment=(moods, mood_table)).collect()
+        assert [(r["file_name"], r["reason"]) for r in rejects] == [("othercoin_2024-01-02.json", "unknown coin")]
+        assert [r["coin_id"] for r in read_metrics(spark, table).collect()] == ["bitcoin"]
+        assert [(str(r["event_date"]), r["value"]) for r in read_sentiment_table(spark, mood_table).collect()] == [("2024-01-01", 40)]
