@@ -28,6 +28,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pricebars.llm.settle import spread_join
+
 WINDOW = 13
 SHINGLE = 3
 SLICE_ROWS = 100_000
@@ -113,11 +115,12 @@ def hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: s
     return words_hit.join(items, "key", "left").withColumn("items", F.coalesce("items", F.array().cast("array<string>")))
 
 
-def judged(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` (all columns) with ``_n_words``, ``_n_hit``, ``_items`` and ``_contaminated``."""
+def judged(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """``docs`` (all columns) with ``_n_words``, ``_n_hit``, ``_items`` and ``_contaminated``.
+    Many copies of a text are dealt by ``doc_id``."""
     known = hits(docs, benchmark, text).select(F.col("key").alias("_key"), F.col("n_hit").alias("_n_hit"), F.col("items").alias("_items"))
     counted = docs.withColumn("_key", text_key(text)).withColumn("_n_words", F.size(words(F.col(text))).cast("long"))
-    out = counted.join(known, "_key", "left").drop("_key").withColumn("_n_hit", F.coalesce("_n_hit", F.lit(0).cast("long")))
+    out = spread_join(counted, known, "_key", doc_id, "left").drop("_key").withColumn("_n_hit", F.coalesce("_n_hit", F.lit(0).cast("long")))
     return out.withColumn("_contaminated", (F.col("_n_hit") > 0) & (20 * F.col("_n_hit") >= F.col("_n_words")))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from pricebars.session import ensure_checkpoint_dir
 
 BROADCAST_ROWS = 1_000_000
+HOT_SHARE = 10_000
+PART_SHARE = 1_000
 
 
 def settled(df: DataFrame) -> DataFrame:
@@ -27,3 +30,34 @@ def rows_of(table: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     more are joined by shuffle."""
     ids = ids.select(key).distinct().checkpoint()
     return table.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, key, "left_semi")
+
+
+def hot_keys(table: DataFrame, key: str, total: int | None = None) -> DataFrame:
+    """``(key, _parts)`` of the keys that hold more than one in ``HOT_SHARE`` rows of
+    ``table``, so fewer than ``HOT_SHARE`` keys at any size; each is worth ``_parts`` parts of
+    at most one in ``PART_SHARE`` rows.  ``total`` may be any upper bound of the rows."""
+    total = table.count() if total is None else total
+    n = F.count(key)  # NULL keys match nothing
+    return (table.groupBy(key).agg(n.alias("_n")).filter(F.col("_n") * HOT_SHARE > total)
+            .select(key, F.ceil(F.col("_n") * PART_SHARE / F.lit(max(total, 1))).cast("int").alias("_parts")).checkpoint())
+
+
+def beside(table: DataFrame, key: str, summary: Callable[[DataFrame], DataFrame], total: int | None = None) -> DataFrame:
+    """Rows of ``table``, each with the row that ``summary`` (a grouped aggregate of a few
+    numbers for each ``key``) gives for its key; an inner join.  Rows of hot keys stay where
+    they are and meet a broadcast of fewer than ``HOT_SHARE`` rows; the rest is shuffled."""
+    hot = F.broadcast(hot_keys(table, key, total).select(key))
+    often, rest = table.join(hot, key, "left_semi"), table.join(hot, key, "left_anti")
+    return often.join(F.broadcast(summary(often)), key).unionByName(rest.join(summary(rest), key))
+
+
+def spread_join(table: DataFrame, one_each: DataFrame, key: str, by: str, how: str = "inner") -> DataFrame:
+    """``table`` joined with ``one_each`` (at most one row per ``key``, of any width).  Rows of
+    a hot key are dealt by the hash of ``by`` into parts, each joined with a copy of the
+    key's row: fewer than ``HOT_SHARE + PART_SHARE`` copies in all.  Rows with a NULL key, which
+    match nothing, are dealt too."""
+    hot = F.broadcast(hot_keys(table, key))
+    parts = F.coalesce("_parts", F.lit(1))
+    dealt = table.join(hot, key, "left").withColumn("_part", F.pmod(F.xxhash64(by), F.when(F.col(key).isNull(), PART_SHARE).otherwise(parts)).cast("int")).drop("_parts")
+    copies = one_each.join(hot, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
+    return dealt.join(copies, [key, "_part"], how).drop("_part")
