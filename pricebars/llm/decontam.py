@@ -57,7 +57,7 @@ def _index(windows: DataFrame) -> DataFrame:
     distinct = windows.select("window").distinct().withColumn("window_id", F.xxhash64(F.concat_ws(" ", "window")))
     width = F.least(F.size("window"), F.lit(SHINGLE))
     each = distinct.select("window_id", "window", width.alias("width"), F.posexplode(
-        F.transform(F.sequence(F.lit(1), F.size("window") - width + 1), lambda i: F.xxhash64(F.concat_ws(" ", F.slice("window", i, width))))).alias("place", "shingle"))
+        F.transform(F.sequence(F.lit(1), F.size("window") - width + 1), lambda i: F.xxhash64(F.slice("window", i, width)))).alias("place", "shingle"))
     rarity = each.groupBy("width", "shingle").agg(F.count(F.lit(1)).alias("often"))
     first = F.min(F.struct("often", "shingle", "place")).alias("first")
     prefix = each.join(rarity, ["width", "shingle"]).groupBy("window").agg(first, F.first("width").alias("width"), F.first("window_id").alias("window_id"))
@@ -67,7 +67,7 @@ def _index(windows: DataFrame) -> DataFrame:
 def _probe(docs: DataFrame, index: DataFrame, width: int) -> DataFrame:
     """Verified windows ``(key, start, length, window_id)`` of one slice of the index."""
     shingle = F.transform(F.sequence(F.lit(1), F.size("w") - width + 1),
-                          lambda i: F.xxhash64(F.concat_ws(" ", *(F.get("w", i + (j - 1)) for j in range(width)))))
+                          lambda i: F.xxhash64(*(F.get("w", i + (j - 1)) for j in range(width))))
     at = docs.filter(F.size("w") >= width).select("key", "w", F.posexplode(shingle).alias("at", "shingle"))
     start = F.col("at") - F.col("place")
     size = F.size("window")
