@@ -32,14 +32,18 @@ def rows_of(table: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return table.join(F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids, key, "left_semi")
 
 
+def hot_of(counts: DataFrame, key: str, total: int) -> DataFrame:
+    """``(key, _parts)`` of the keys whose count ``_n`` is more than one in ``HOT_SHARE`` of
+    ``total``, so fewer than ``HOT_SHARE`` keys at any size; each is worth ``_parts`` parts of
+    at most one in ``PART_SHARE``.  ``total`` is at least the sum of the counts."""
+    parts = F.ceil(F.col("_n") * PART_SHARE / F.lit(max(total, 1))).cast("int")
+    return counts.filter(F.col("_n") * HOT_SHARE > total).select(key, parts.alias("_parts")).checkpoint()
+
+
 def hot_keys(table: DataFrame, key: str, total: int | None = None) -> DataFrame:
-    """``(key, _parts)`` of the keys that hold more than one in ``HOT_SHARE`` rows of
-    ``table``, so fewer than ``HOT_SHARE`` keys at any size; each is worth ``_parts`` parts of
-    at most one in ``PART_SHARE`` rows.  ``total`` may be any upper bound of the rows."""
+    """The hot keys of ``table``; ``total`` may be any upper bound of its rows."""
     total = table.count() if total is None else total
-    n = F.count(key)  # NULL keys match nothing
-    return (table.groupBy(key).agg(n.alias("_n")).filter(F.col("_n") * HOT_SHARE > total)
-            .select(key, F.ceil(F.col("_n") * PART_SHARE / F.lit(max(total, 1))).cast("int").alias("_parts")).checkpoint())
+    return hot_of(table.groupBy(key).agg(F.count(key).alias("_n")), key, total)  # NULL keys match nothing
 
 
 def beside(table: DataFrame, key: str, summary: Callable[[DataFrame], DataFrame], total: int | None = None) -> DataFrame:
@@ -51,13 +55,14 @@ def beside(table: DataFrame, key: str, summary: Callable[[DataFrame], DataFrame]
     return often.join(F.broadcast(summary(often)), key).unionByName(rest.join(summary(rest), key))
 
 
-def spread_join(table: DataFrame, one_each: DataFrame, key: str, by: str, how: str = "inner") -> DataFrame:
+def spread_join(table: DataFrame, one_each: DataFrame, key: str, by: str, how: str = "inner", hot: DataFrame | None = None) -> DataFrame:
     """``table`` joined with ``one_each`` (at most one row per ``key``, of any width).  Rows of
-    a hot key are dealt by the hash of ``by`` into parts, each joined with a copy of the
-    key's row: fewer than ``HOT_SHARE + PART_SHARE`` copies in all.  Rows with a NULL key, which
-    match nothing, are dealt too."""
-    hot = F.broadcast(hot_keys(table, key))
+    a hot key are dealt by ``by`` and the task they come from into parts, each joined with
+    a copy of the key's row: fewer than ``HOT_SHARE + PART_SHARE`` copies in all.  Rows with
+    a NULL key, which match nothing, are dealt too.  ``hot``: the hot keys, if known."""
+    hot = F.broadcast(hot_keys(table, key) if hot is None else hot)
     parts = F.coalesce("_parts", F.lit(1))
-    dealt = table.join(hot, key, "left").withColumn("_part", F.pmod(F.xxhash64(by), F.when(F.col(key).isNull(), PART_SHARE).otherwise(parts)).cast("int")).drop("_parts")
+    wide = F.when(F.col(key).isNull(), PART_SHARE).otherwise(parts)
+    dealt = table.join(hot, key, "left").withColumn("_part", F.pmod(F.xxhash64(by, F.spark_partition_id()), wide).cast("int")).drop("_parts")
     copies = one_each.join(hot, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
     return dealt.join(copies, [key, "_part"], how).drop("_part")
