@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricebars.llm.settle import beside
+
 
 def components(edges: DataFrame) -> DataFrame:
     """``(id, component)`` of every node of ``edges`` (columns ``u`` and ``v``, longs);
@@ -14,16 +16,18 @@ def components(edges: DataFrame) -> DataFrame:
     its component's smallest id; the steps grow with the logarithm of the longest
     path.  Every step is written to the shared checkpoint folder, so a lost executor
     repeats one step at most.  Equal edges and loops change nothing."""
+    def least(part: DataFrame) -> DataFrame:
+        return part.groupBy("u").agg(F.min("v").alias("m"))
+
     last = None
-    e = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct()
+    e = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct().checkpoint()
     while True:
+        n = 2 * e.count()
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        small = small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        e = small.distinct().checkpoint()
+        large = (beside(both, "u", least, n).filter("v > u")
+                 .select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct().checkpoint())
+        small = beside(large, "u", least, n).filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        e = small.unionByName(least(large).withColumnRenamed("m", "v")).distinct().checkpoint()
         # a state that a step leaves as it is: every node has its one edge to the root
         state = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == last:

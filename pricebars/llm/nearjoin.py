@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricebars.llm.graph import components
-from pricebars.llm.settle import rows_of
+from pricebars.llm.settle import beside, rows_of, spread_join
 from pricebars.llm.words import mix, shingles, slices, words
 
 THRESHOLD = 0.8
@@ -201,14 +201,20 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
             .agg(F.min("rid").alias("rid"), F.count(F.lit(1)).alias("weight"), F.min("doc_id").alias("least_id")))
     members = sets.join(rows.select("rid", "doc_id", "text_key", "n_shingles", "trees"), "rid").checkpoint()
     nodes = members.select("rid", F.explode("trees").alias("node"))
-    shared = nodes.groupBy("node").agg(F.min("rid").alias("least"), F.max("rid").alias("most")).filter("least <> most").drop("most")
-    links = nodes.join(shared, "node").select(F.col("rid").alias("u"), F.col("least").alias("v")).filter("u <> v").distinct().checkpoint()
+
+    def shared(part: DataFrame) -> DataFrame:
+        return part.groupBy("node").agg(F.min("rid").alias("least"), F.max("rid").alias("most")).filter("least <> most").drop("most")
+
+    links = beside(nodes, "node", shared).select(F.col("rid").alias("u"), F.col("least").alias("v")).filter("u <> v").distinct().checkpoint()
     groups = components(links).withColumnRenamed("id", "rid").join(members.drop("trees", "set_key"), "rid").checkpoint()
-    sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"))
-    blocks = sizes.select("component", F.greatest(F.ceil(F.col("n") * 2 / BLOCK_ROWS), F.ceil(F.col("s") * 2 / BLOCK_SHINGLES)).alias("blocks"))
-    # up to one whole block: not split
-    blocks = blocks.withColumn("blocks", F.when(F.col("blocks") <= 2, F.lit(1)).otherwise(F.col("blocks")).cast("long"))
-    dealt = groups.join(blocks, "component").withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")))
+
+    def blocks(part: DataFrame) -> DataFrame:
+        sizes = part.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"))
+        n = F.greatest(F.ceil(F.col("n") * 2 / BLOCK_ROWS), F.ceil(F.col("s") * 2 / BLOCK_SHINGLES))
+        # up to one whole block: not split
+        return sizes.select("component", F.when(n <= 2, F.lit(1)).otherwise(n).cast("long").alias("blocks"))
+
+    dealt = beside(groups, "component", blocks).withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")))
     # the texts of the groups only, one row for each
     wanted = dealt.select("rid", F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
     found = rows_of(source, dealt.select("text_key"), "text_key").join(wanted, (F.col("text_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
@@ -221,9 +227,8 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     final = components(told.select("u", "v")).withColumnRenamed("id", "rid")
     known = (members.select("rid", "set_key", "weight", "least_id").join(links, "rid", "left").join(final, "rid", "left")
              .withColumn("component", F.coalesce("component", "rid")).checkpoint())
-    least = known.groupBy("component").agg(F.min("least_id").alias("class_id"))
-    known = known.join(least, "component").select("set_key", "class_id", "component", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    return (rows.select("doc_id", "text_key", "set_key", "rid").join(known, "set_key", "left")
+    known = beside(known, "component", lambda part: part.groupBy("component").agg(F.min("least_id").alias("class_id"))).select("set_key", "class_id", "component", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    return (spread_join(rows.select("doc_id", "text_key", "set_key", "rid"), known, "set_key", "rid", "left")
             .select("doc_id", "text_key", F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
                     F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "rid").alias("component"), "rid"))
 
