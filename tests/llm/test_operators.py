@@ -92,6 +92,43 @@ def test_substrings(spark, odd, empty):
     assert sorted(len(tokens_of(left[i]["text"])) for i in (10, 11)) in ([120, 160], [90, 190])
 
 
+def test_matched_shifts():
+    """Exact passages whose first or last shingle occurs again, nearer to abreast."""
+    p = np.arange(1000, 1060, dtype=np.uint64)
+    line = p[:6]
+    for a, b, want in [
+        (p, np.concatenate([line, np.arange(1, 30, dtype=np.uint64), p]), [(0, 60)]),
+        (p, np.concatenate([np.arange(1, 90, dtype=np.uint64), p, p[-6:], line]), [(0, 60)]),
+        (np.concatenate([p, p + np.uint64(500)]), np.concatenate([p + np.uint64(500), p[:1], p, p[-1:]]), [(0, 60), (60, 120)]),
+        (np.concatenate([p[40:], p, p[:20]]), np.concatenate([p[30:], p[:10], p]), [(20, 80)]),
+    ]:
+        a, b = a.astype(np.uint64), b.astype(np.uint64)
+        got = substrings.matched(a, b, 46, 0.8)
+        assert all(any(s <= x and y <= e for s, e, _, _ in got) for x, y in want)
+        for s, e, s2, e2 in got:
+            x, y = set(a[s:e].tolist()), set(b[s2:e2].tolist())
+            assert min(e - s, e2 - s2) >= 46 and len(x & y) >= 0.8 * len(x | y)
+
+
+def test_matched_brute():
+    """Every position of an exact passage of 46 shingles or more is matched."""
+    r = np.random.default_rng(2)
+    for _ in range(150):
+        p = r.integers(1, 1 << 60, 120).astype(np.uint64)
+        def mixed():
+            parts = []
+            for _ in range(r.integers(2, 6)):
+                lo = int(r.integers(0, 60))
+                parts += [p[lo:lo + int(r.integers(3, 60))], r.integers(1, 1 << 60, int(r.integers(0, 40))).astype(np.uint64)]
+            return np.concatenate(parts)
+        a, b = mixed(), mixed()
+        at = {}
+        for j in range(len(b) - 45):
+            at.setdefault(b[j:j + 46].tobytes(), j)
+        want = {k for i in range(len(a) - 45) if a[i:i + 46].tobytes() in at for k in range(i, i + 46)}
+        assert want <= {k for s, e, _, _ in substrings.matched(a, b, 46, 0.8) for k in range(s, e)}
+
+
 def test_compact_windows():
     r = np.random.default_rng(5)
     v = r.integers(1, 1 << 60, 300).astype(np.uint64)
