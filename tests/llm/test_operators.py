@@ -129,6 +129,11 @@ def test_matched_brute():
         assert want <= {k for s, e, _, _ in substrings.matched(a, b, 46, 0.8) for k in range(s, e)}
 
 
+def test_hashes_enough():
+    """A passage at the threshold is missed by less than 0.2 %."""
+    assert (1 - substrings.THRESHOLD) ** substrings.HASHES < 0.002
+
+
 def test_compact_windows():
     r = np.random.default_rng(5)
     v = r.integers(1, 1 << 60, 300).astype(np.uint64)
