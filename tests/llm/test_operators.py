@@ -7,11 +7,12 @@ import re
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pricebars.llm import bpe, chat, decontam, kdsearch, langid, licences, nearjoin, shards, substrings, urlfilter
-from pricebars.llm.words import shingles, words
+from pricebars.llm.words import mix, shingles, words
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, class_id string"
@@ -92,6 +93,40 @@ def test_substrings(spark, odd, empty):
     assert sorted(len(tokens_of(left[i]["text"])) for i in (10, 11)) in ([120, 160], [90, 190])
 
 
+def shared_phrases(text, other):
+    """The 5-word phrases by which the wide windows of two texts meet."""
+    found = []
+    for t in (text, other):
+        raw = t.encode()
+        h, first, place = words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        value, starts = shingles(h, first)
+        told = {}
+        for k in range(substrings.HASHES):
+            v = mix(value ^ np.uint64(0x9E3779B97F4A7C15 * (k + 1) % (1 << 64)))
+            for at in substrings.compact_windows(v, starts, substrings.SPAN)[0]:
+                told[k, int(v[at])] = t[place[0][at]:place[1][at + 4]]
+        found.append(told)
+    return sorted({v for k, v in found[0].items() if k in found[1]})
+
+
+def test_every_holder_is_compared(spark):
+    """Two texts share a passage, and each meets a third one, of the smallest hash, by
+    every phrase that could bring them together."""
+    shared = prose(31, 60)
+    one, two = f"{prose(32, 40)} {shared} {prose(33, 40)}", f"{prose(34, 55)} {shared} {prose(35, 30)}"
+    phrases = shared_phrases(one, two)
+    least = min(np.array([xxhash.xxh64_intdigest(t, 42) for t in (one, two)], np.uint64).view(np.int64))
+    for k in range(1000, 3000):
+        third = " ".join(f"{prose(k + 5000 * n, 55)} {p}" for n, p in enumerate(phrases)) + " " + prose(k, 55)
+        if np.array([xxhash.xxh64_intdigest(third, 42)], np.uint64).view(np.int64)[0] < least and set(shared_phrases(third, one)) >= set(phrases):
+            break
+    else:
+        raise AssertionError("no third text")
+    got = {r["doc_id"]: r for r in substrings.repeats(spark.createDataFrame([(1, one), (2, two), (3, third)], "doc_id long, text string")).collect()}
+    assert got[1]["class_id"] == got[2]["class_id"] == 1 and got[3]["class_id"] == 3 and not got[3]["spans"]
+    assert sorted(sum(s["end"] - s["start"] for s in got[i]["spans"]) for i in (1, 2)) == [0, 60]
+
+
 def test_matched_shifts():
     """Exact passages whose first or last shingle occurs again, nearer to abreast."""
     p = np.arange(1000, 1060, dtype=np.uint64)
