@@ -1,7 +1,9 @@
 """License scans: a trained paragraph classifier, confirmed by template comparison.
 
 A paragraph is a line; longer ones are read in overlapping pieces of ``PIECE_WORDS``
-words.  The features of a piece are its hashed word 1-grams and 2-grams, of unit
+words.  Consecutive lines with words are also read joined, in such pieces and from every
+line on, so that a wrapped notice is whole in one; a joined piece counts where no other
+counted piece of its family overlaps it.  The features of a piece are its hashed word 1-grams and 2-grams, of unit
 length together.  A multinomial logistic regression tells the licence families and the
 class ``unknown`` apart.  It is fitted on the driver, on the notices below with words
 left out, and on at most ``SAMPLE_PARAGRAPHS`` paragraphs of the corpus that resemble no
@@ -10,7 +12,7 @@ The unknown class is calibrated: a family counts only from the probability that
 than ``FALSE_SHARE`` of held-out unknown paragraphs reach.  A prediction is confirmed
 where the piece holds at least ``CONFIRM`` of the 2-grams of one of the family's notices.
 
-All paragraphs of all whole texts are scored, in Arrow batches; the weights
+``n_paragraphs`` counts the pieces of lines.  All paragraphs of all whole texts are scored, in Arrow batches; the weights
 (``BUCKETS`` x families) and notices are broadcast and do not grow with the input.
 
 Defined cases: NULL and empty texts have no paragraph and no licence; several families
@@ -90,6 +92,34 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return hashes, at, np.minimum(at + PIECE_WORDS, np.repeat(end, n)), text[at]
 
 
+def joined(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pieces ``(first word, end word, text)`` that span several consecutive lines: from
+    every line, up to ``PIECE_WORDS`` words or the end of the last whole line before."""
+    none = np.zeros(0, np.int64)
+    hashes, first, place = words(data, offsets)
+    if len(hashes) == 0:
+        return none, none, none
+    text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    line = np.cumsum(data == 10)[place[0]]
+    turn = np.ones(len(hashes), bool)
+    turn[1:] = (line[1:] != line[:-1]) | (text[1:] != text[:-1])
+    start = np.flatnonzero(turn)  # lines
+    end = np.append(start[1:], len(hashes))
+    apart = np.ones(len(start), bool)
+    apart[1:] = (np.diff(line[start]) > 1) | (text[start[1:]] != text[start[:-1]])
+    last = np.append(np.flatnonzero(apart)[1:], len(start))[np.cumsum(apart) - 1]  # line after the paragraph
+    stop = end[last - 1]
+    # a line longer than a piece is left from its last half piece on
+    at = np.maximum(start, end - PIECE_WORDS // 2)
+    out = []
+    for size in (PIECE_WORDS // 2, PIECE_WORDS):
+        for begin in (start, at):
+            until = np.minimum(begin + size, stop)
+            out.append(np.stack([begin, until, text[start]])[:, until > end])
+    both = np.unique(np.concatenate(out, axis=1), axis=1)
+    return both[0], both[1], both[2]
+
+
 def features(hashes: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the 1-grams and 2-grams of all pieces, and where each piece's begin."""
     n = end - start
@@ -209,16 +239,23 @@ def scan(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 if len(start) == 0:
                     continue
                 np.add.at(lines, owner + i, 1)
+                n = len(start)
+                start, end, owner = (np.concatenate(x) for x in zip((start, end, owner), joined(data, offsets)))
                 p = model.probabilities(*features(hashes, start, end))
                 family = p[:, :-1].argmax(axis=1)
                 sure = p[np.arange(len(p)), family]
+                told: dict[tuple[int, int, bool], list[tuple[int, int]]] = {}
                 for k in np.flatnonzero((sure >= model.least) & (p.argmax(axis=1) == family)):
-                    row = i + owner[k]
-                    predicted[row] += 1
+                    row, f, place = i + owner[k], int(family[k]), (int(start[k]), int(end[k]))
                     best[row] = max(best[row], sure[k])
-                    if model.resembles(hashes[start[k]:end[k]], int(family[k])) >= CONFIRM:
-                        confirmed[row] += 1
-                        found[row].add(model.families[family[k]])
+                    sound = model.resembles(hashes[place[0]:place[1]], f) >= CONFIRM
+                    for count, kind in ((predicted, False), *(((confirmed, True),) if sound else ())):
+                        others = told.setdefault((row, f, kind), [])
+                        if k < n or not any(x < place[1] and place[0] < y for x, y in others):
+                            count[row] += 1
+                            others.append(place)
+                    if sound:
+                        found[row].add(model.families[f])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lines), pa.array([sorted(x) for x in found], pa.list_(pa.string())),
                                               pa.array(predicted), pa.array(confirmed), pa.array(best)], names=out.names)
 

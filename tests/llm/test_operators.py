@@ -298,6 +298,37 @@ def test_licences(spark, odd, empty):
     assert licences.scan(empty, model).count() == 0 and licences.train(licences.sample(empty)).least >= 0.5
 
 
+WRAPPED = {
+    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:""",
+    "GPL": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.""",
+}
+
+
+@pytest.mark.parametrize("family", sorted(WRAPPED))
+def test_wrapped_licences(spark, family):
+    """Headers wrapped at about 72 columns, bare, in comments, and between other lines."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = licences.train(licences.sample(docs))
+    bare = WRAPPED[family]
+    hashed = "\n".join(f"# {x}" for x in bare.split("\n"))
+    starred = "/*\n" + "\n".join(f" * {x}" for x in bare.split("\n")) + "\n */\nint main() {}\n"
+    between = f"{prose(41, 12)}\n{prose(42, 11)}\n{hashed}\n{prose(43, 12)}\n{prose(44, 90)}"
+    split = bare.replace("\n", "\n\n")
+    rows = [(1, bare), (2, hashed), (3, starred), (4, between), (5, f"{prose(45, 12)}\n{prose(46, 130)}\n{prose(47, 3)}"), (6, split)]
+    by = {r["doc_id"]: r for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert all(by[i]["licences"] == [family] and by[i]["n_confirmed"] >= 1 for i in (1, 2, 3, 4))
+    assert by[5]["licences"] == [] and by[6]["licences"] == []
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     out = corpus_pipeline.run(spark, SF)
