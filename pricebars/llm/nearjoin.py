@@ -1,11 +1,11 @@
-"""N-gram Jaccard join: a MinHash LSH forest, followed by exact verification.
+"""N-gram Jaccard join: MinHash banding, followed by exact verification.
 
 Every text is the set of its five-word shingles (``words.py``).  Texts with the same
 set are one class member with a count, so copies never form pairs.  A signature has
-``TREES`` x ``DEPTH`` minima of independent permutations; each tree is a trie over its
-minima in order.  Matched prefixes are shortened from ``DEPTH`` on until the recall
-that the forest has at the threshold reaches ``TARGET_RECALL`` (``forest_depth``).  All
-texts that share such a prefix in any tree are candidates.
+``TREES`` bands (called trees) of minima of independent permutations.  The depth of a
+band is fixed before any data is seen: the largest, up to ``DEPTH``, whose recall at the
+threshold reaches ``TARGET_RECALL`` (``forest_depth``).  There are no tries.  All texts that
+share a whole band in any tree are candidates.
 
 Candidates are not paired.  A trie node links its members to its smallest one, the
 links' components are the candidate groups, and each group is verified whole: every
