@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pricebars.llm import bpe, chat, decontam, kdsearch, langid, licences, nearjoin, shards, substrings, urlfilter
+from pricebars.llm import bpe, chat, decontam, kdsearch, langid, licences, nearjoin, phrases, shards, substrings, urlfilter
 from pricebars.session import ensure_checkpoint_dir
 
 _PLAIN = {
@@ -16,6 +16,7 @@ _PLAIN = {
     "op8_decontamination": decontam.op8_decontamination,
     "op9_bpe": bpe.op9_bpe,
     "op10_substring_dedup": substrings.op10_substring_dedup,
+    "op11_collocations": phrases.op11_collocations,
 }
 
 
@@ -36,4 +37,5 @@ ORACLE = {
     "op4_url_filter": urlfilter.SQL,
     "op6_perspectives": chat.SQL,
     "op8_decontamination": decontam.SQL,
+    "op11_collocations": phrases.SQL,
 }
