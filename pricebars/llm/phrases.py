@@ -147,18 +147,25 @@ def counted(langs: pa.Array, data: np.ndarray, offsets: np.ndarray, step: int, s
             reach = tables[words - 1][slot(heads)][inverse]
 
 
-def scan(docs: DataFrame, step: int, shards: int, tables: list[np.ndarray]) -> DataFrame:
-    """One scan of the shard whose turn it is."""
-    shared = docs.sparkSession.sparkContext.broadcast(tables)
+def scan(docs: DataFrame, step: int, shards: int, tables: list[np.ndarray], path: str) -> None:
+    """One scan of the shard whose turn it is, written to ``path``.  Tasks get the slots in use,
+    five bytes each, and lay them out again."""
+    used = [np.flatnonzero(table != NEVER).astype(np.int32) for table in tables]
+    shared = docs.sparkSession.sparkContext.broadcast([(u, table[u]) for u, table in zip(used, tables)])
     mine = docs.filter(F.pmod(F.xxhash64("text"), F.lit(shards)) == step % shards)
 
     def run(batches):
+        laid = []
+        for slots, steps in shared.value:
+            laid.append(np.full(SLOTS, NEVER, np.uint8))
+            laid[-1][slots] = steps
         for batch in batches:
             langs, texts = batch.column(0), batch.column(1)
             for begin, end, data, offsets in slices(texts, SLICE_BYTES):
-                yield from counted(langs.slice(begin, end - begin), data, offsets, step, shards, shared.value)
+                yield from counted(langs.slice(begin, end - begin), data, offsets, step, shards, laid)
 
-    return mine.mapInArrow(run, PARTS)
+    mine.mapInArrow(run, PARTS).write.parquet(path)
+    shared.destroy()
 
 
 def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int = MIN_COUNT,
@@ -172,7 +179,7 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", le
     tables = [np.full(SLOTS, NEVER, np.uint8) for _ in range(MAX_WORDS - 1)]
     complete, parts = [], []
     for step in range(MAX_WORDS * shards):
-        scan(docs, step, shards, tables).write.parquet(f"{folder}/{step}")
+        scan(docs, step, shards, tables, f"{folder}/{step}")
         parts.append(spark.read.schema(PARTS).parquet(f"{folder}/{step}"))
         # phrases of the longest length are only needed once complete
         some = None
