@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pricebars.llm import bpe, chat, decontam, kdsearch, langid, licences, nearjoin, phrases, shards, substrings, urlfilter
+from pricebars.llm import bpe, chat, decontam, hardneg, kdsearch, langid, licences, nearjoin, phrases, shards, substrings, suffixes, urlfilter
 from pricebars.session import ensure_checkpoint_dir
 
 _PLAIN = {
@@ -17,6 +17,8 @@ _PLAIN = {
     "op9_bpe": bpe.op9_bpe,
     "op10_substring_dedup": substrings.op10_substring_dedup,
     "op11_collocations": phrases.op11_collocations,
+    "op12_hard_negatives": hardneg.op12_hard_negatives,
+    "op13_suffix_dedup": suffixes.op13_suffix_dedup,
 }
 
 
@@ -38,4 +40,5 @@ ORACLE = {
     "op6_perspectives": chat.SQL,
     "op8_decontamination": decontam.SQL,
     "op11_collocations": phrases.SQL,
+    "op12_hard_negatives": hardneg.SQL,
 }
