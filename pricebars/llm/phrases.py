@@ -17,6 +17,10 @@ below the threshold where it should.  So the table is of fixed size and results
 What a scan counts is written below ``spark.checkpoint.dir`` and added up by shuffles that
 combine on the map side; only slots (at most ``SLOTS``) come to the driver.
 
+Phrases are counted as rows of 64-bit word numbers, a digest of language and word; the first
+cycle also lists every word with its number.  Should two words share a number, the whole
+is counted again with other numbers, so counts are exact.
+
 Words are runs of anything but spaces and tabs within a piece, pieces are what lies between
 ``.,;:!?`` and line breaks; A-Z are lower-cased.  All counts are per language.
 
@@ -55,7 +59,8 @@ PIECE = np.zeros(256, bool)
 PIECE[[ord(c) for c in ".,;:!?"]] = PIECE[0x0A:0x0E] = True
 GAP = PIECE.copy()
 GAP[[0x20, 0x09]] = True
-PARTS = "phrase string, words int, start int, n long"
+PARTS = "word string, words int, w1 long, w2 long, w3 long, start int, n long"
+NUMBERS = ["w1", "w2", "w3"]
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -83,24 +88,14 @@ def joined(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return mix(first * np.uint64(0x9E3779B97F4A7C15) + second)
 
 
-def hash_of(phrases: list[str]) -> np.ndarray:
-    """Hashes of phrases (``language TAB words``, all of one length) as ``counted`` has them."""
-    cut = [(lang + "\t", words.split(" ")) for lang, _, words in (p.rpartition("\t") for p in phrases)]
-    out = np.zeros(len(phrases), np.uint64)
-    for k in range(len(cut[0][1]) if cut else 0):
-        h = np.array([xxhash.xxh3_64_intdigest((lang + words[k]).encode()) for lang, words in cut], np.uint64)
-        out = joined(out, h) if k else h
-    return out
-
-
 def _unique(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     value, at, inverse, n = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
     return value, at, inverse, n
 
 
-def counted(langs: pa.Array, data: np.ndarray, offsets: np.ndarray, step: int, shards: int,
+def counted(langs: pa.Array, data: np.ndarray, offsets: np.ndarray, step: int, shards: int, seed: int,
             tables: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """Rows ``(phrase, words, start, n)`` of the phrases that are active in scan ``step``."""
+    """Rows of ``PARTS`` for the phrases that are active in scan ``step``."""
     texts, row, piece = tokens(data, offsets)
     if len(texts) == 0:
         return
@@ -111,19 +106,20 @@ def counted(langs: pa.Array, data: np.ndarray, offsets: np.ndarray, step: int, s
     lang = names.take(pa.array(value % len(names))).cast(pa.large_string())
     text = texts.dictionary.take(pa.array(value // len(names)))
     keys = pc.binary_join_element_wise(lang, text, pa.scalar("\t", pa.large_string()))
+    numbers = np.array([xxhash.xxh3_64_intdigest(k, seed) for k in keys.cast(pa.large_binary()).to_pylist()], np.uint64)
 
-    def rows(phrases, words, start, n):
-        size = len(phrases)
+    def rows(words, strings, parts, start, n):
+        size = len(n)
+        cells = [pa.array(p.view(np.int64)) for p in parts] + [pa.nulls(size, pa.int64())] * (MAX_WORDS - words)
         return pa.RecordBatch.from_arrays(
-            [phrases.cast(pa.string()), pa.array(np.full(size, words, np.int32)), pa.array(start.astype(np.int32)),
-             pa.array(n.astype(np.int64))], names=["phrase", "words", "start", "n"])
+            [strings, pa.array(np.full(size, words, np.int32)), *cells, pa.array(start.astype(np.int32)), pa.array(n.astype(np.int64))],
+            names=["word", "words", *NUMBERS, "start", "n"])
 
     if step < shards:
-        yield rows(keys, 1, np.zeros(len(keys), np.int32), often)
-    hashes = np.array([xxhash.xxh3_64_intdigest(k) for k in keys.cast(pa.large_binary()).to_pylist()], np.uint64)
-    # the phrases of one length: number, hash and words of each; and at each place its phrase
-    at, phrase, heads, place = np.arange(len(word)), word, hashes, keys
-    reach = tables[0][slot(hashes)][word]
+        yield rows(1, keys.cast(pa.string()), [numbers], np.zeros(len(keys), np.int32), often)
+    # the phrases of one length: the places of the text where one stands, its number in this slice, its words
+    at, phrase, parts, heads = np.arange(len(word)), word, [np.arange(len(keys))], numbers
+    reach = tables[0][slot(heads)][word]
     for words in range(2, MAX_WORDS + 1):
         # a phrase at a place and its successor at the next, one word further
         follows = at[1:] == at[:-1] + 1
@@ -135,19 +131,17 @@ def counted(langs: pa.Array, data: np.ndarray, offsets: np.ndarray, step: int, s
             return
         last = word[at[pair] + words - 1]
         value, first, inverse, n = _unique(phrase[pair] * len(keys) + last)
-        left, right = phrase[pair][first], last[first]
-        begun = start[first]
-        strings = pc.binary_join_element_wise(place.take(pa.array(left)), text.take(pa.array(right)), pa.scalar(" ", pa.large_string()))
+        left, right, begun = phrase[pair][first], last[first], start[first]
+        parts = [p[left] for p in parts] + [right]
         now = np.flatnonzero(step < begun + shards)
         if len(now):
-            yield rows(strings.take(pa.array(now)), words, begun[now], n[now])
-        heads = joined(heads[left], hashes[right])
-        at, phrase, place = at[pair], inverse, strings
+            yield rows(words, pa.nulls(len(now), pa.string()), [numbers[p[now]] for p in parts], begun[now], n[now])
+        heads, at, phrase = joined(heads[left], numbers[right]), at[pair], inverse
         if words < MAX_WORDS:
             reach = tables[words - 1][slot(heads)][inverse]
 
 
-def scan(docs: DataFrame, step: int, shards: int, tables: list[np.ndarray], path: str) -> None:
+def scan(docs: DataFrame, step: int, shards: int, seed: int, tables: list[np.ndarray], path: str) -> None:
     """One scan of the shard whose turn it is, written to ``path``.  Tasks get the slots in use,
     five bytes each, and lay them out again."""
     used = [np.flatnonzero(table != NEVER).astype(np.int32) for table in tables]
@@ -162,7 +156,7 @@ def scan(docs: DataFrame, step: int, shards: int, tables: list[np.ndarray], path
         for batch in batches:
             langs, texts = batch.column(0), batch.column(1)
             for begin, end, data, offsets in slices(texts, SLICE_BYTES):
-                yield from counted(langs.slice(begin, end - begin), data, offsets, step, shards, laid)
+                yield from counted(langs.slice(begin, end - begin), data, offsets, step, shards, seed, laid)
 
     mine.mapInArrow(run, PARTS).write.parquet(path)
     shared.destroy()
@@ -172,46 +166,74 @@ def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", le
                      shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
     """``(phrases, totals)``: ``phrase`` (language, tab, words), ``words`` and ``n`` of each phrase
     of up to ``MAX_WORDS`` words that occurs ``least`` times or more; ``lang`` and its ``total`` of words."""
-    spark = docs.sparkSession
     docs = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
                        F.coalesce(F.col(text), F.lit("")).alias("text"))
+    seed = 0
+    while True:
+        found = _cycles(docs, least, shards, seed)
+        if found is not None:
+            return found
+        seed += 1
+
+
+def _cycles(docs: DataFrame, least: int, shards: int, seed: int) -> tuple[DataFrame, DataFrame] | None:
+    """All scans; None if two words have one number."""
+    spark = docs.sparkSession
     folder = f"{ensure_checkpoint_dir(spark)}/phrases-{uuid.uuid4().hex}"
     tables = [np.full(SLOTS, NEVER, np.uint8) for _ in range(MAX_WORDS - 1)]
-    complete, parts = [], []
+    complete, parts, vocabulary = [], [], None
     for step in range(MAX_WORDS * shards):
-        scan(docs, step, shards, tables, f"{folder}/{step}")
+        scan(docs, step, shards, seed, tables, f"{folder}/{step}")
         parts.append(spark.read.schema(PARTS).parquet(f"{folder}/{step}"))
-        # phrases of the longest length are only needed once complete
-        some = None
-        for part in parts[-shards:]:
-            some = part if some is None else some.unionByName(part)
-        open_ = some.filter((F.col("start") > step - shards)
-                            & ((F.col("words") < MAX_WORDS) | (F.col("start") == step - shards + 1)))
-        reached = settled(open_.groupBy("phrase", "words", "start").agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
-        complete.append(reached.filter(F.col("start") == step - shards + 1))
+        # what is not complete yet; phrases of the longest length are only needed once they are
+        due = (F.col("start") == step - shards + 1) if step >= shards - 1 else F.lit(False)
+        running = _union(parts[-shards:]).filter((F.col("start") > step - shards) & ((F.col("words") < MAX_WORDS) | due))
+        longer = running.filter("words > 1").groupBy("words", *NUMBERS, "start").agg(F.sum("n").alias("n"))
+        if step < shards:  # single words, with their strings
+            some = running.filter("words = 1").groupBy("word", "w1").agg(F.sum("n").alias("n"))
+            if step == shards - 1:
+                vocabulary = some = settled(some)
+                if not some.groupBy("w1").count().filter("count > 1").isEmpty():
+                    return None
+            ones = some.select(F.lit(1).alias("words"), "w1", *[F.lit(None).cast("long").alias(c) for c in NUMBERS[1:]],
+                               F.lit(0).alias("start"), "n")
+            longer = longer.unionByName(ones)
+        reached = settled(longer.filter(F.col("n") >= least))
+        if step >= shards - 1:
+            complete.append(reached.filter(due))
         for words in range(1, MAX_WORDS):
-            new = slots_of(reached.filter(F.col("words") == words))
+            new = _slots_of(reached.filter(F.col("words") == words), words)
             table = tables[words - 1]
             table[new[table[new] == NEVER]] = step + 1
-    phrases = None
-    for part in complete:
-        phrases = part if phrases is None else phrases.unionByName(part)
-    words_only = parts[0]
-    for part in parts[1:shards]:
-        words_only = words_only.unionByName(part)
-    totals = (words_only.filter(F.col("words") == 1).groupBy(_lang("phrase").alias("lang")).agg(F.sum("n").alias("total")))
-    return settled(phrases.select("phrase", "words", "n")), totals
+    totals = vocabulary.groupBy(_lang("word").alias("lang")).agg(F.sum("n").alias("total"))
+    names = vocabulary.filter(F.col("n") >= least).select(F.col("w1").alias("w"), "word")
+    spelt = F.array_sort(F.collect_list(F.struct("place", "word")))
+    worded = (spread_join(_union(complete).select("words", "n", *NUMBERS, F.posexplode(F.array(*NUMBERS)).alias("place", "w"))
+                          .filter("w is not null"), names, "w", "n")
+              .groupBy("words", "n", *NUMBERS).agg(spelt.alias("s")))
+    phrase = F.concat(_lang("s[0].word"), F.lit("\t"), F.array_join(F.transform("s", lambda x: F.substring_index(x["word"], "\t", -1)), " "))
+    return settled(worded.select(phrase.alias("phrase"), "words", "n")), totals
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
-def slots_of(phrases: DataFrame) -> np.ndarray:
+def _slots_of(phrases: DataFrame, words: int) -> np.ndarray:
     """The distinct slots of some phrases: at most ``SLOTS`` numbers."""
 
     def run(batches):
         for batch in batches:
-            found = np.unique(slot(hash_of(batch.column(0).to_pylist())))
-            yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32))], names=["slot"])
+            numbers = [batch.column(k).to_numpy().view(np.uint64) for k in range(words)]
+            heads = numbers[0]
+            for more in numbers[1:]:
+                heads = joined(heads, more)
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(slot(heads)).astype(np.int32))], names=["slot"])
 
-    return phrases.select("phrase").mapInArrow(run, "slot int").distinct().toPandas()["slot"].to_numpy(np.int64)
+    return phrases.select(*NUMBERS[:words]).mapInArrow(run, "slot int").distinct().toPandas()["slot"].to_numpy(np.int64)
 
 
 def _words(phrase: str) -> Column:
