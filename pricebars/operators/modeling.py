@@ -1,40 +1,35 @@
-"""Forecasting on the feature frames with pyspark.ml.
-
-Everything up to the estimator is DataFrame code: clean rows, a chronological
-split per coin, standardisation on train statistics only (per coin), metrics as
-grouped aggregates.  The estimators are pyspark.ml gradient-boosted trees: one
-pooled model per horizon over all coins (pass one coin's rows for a per-coin
-fit).  The price model learns the h-day price *relative to today's close*, so a
-pooled model serves coins of any price level; predictions and metrics are in
-price units.
+"""Forecasting on the feature frames: gradient-boosted trees, one model per coin and horizon.
+
+Everything up to the learner is DataFrame code: clean rows, a chronological split per
+series, standardisation on train statistics only, metrics as grouped aggregates.  All
+horizons of all coins are stacked into one frame keyed by coin and horizon and fitted in one
+job (see ``boosting``): the price model learns the price ``h`` days on, the trend model the
+three classes jointly with softmax margins.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 from typing import NamedTuple
 
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, OneVsRest
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.feature import StringIndexer
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricebars.functions.exprs import TREND_CLASSES, safe_div
+from pricebars.operators import boosting
+from pricebars.operators.boosting import Params
 from pricebars.operators.features import feature_columns, price_features, trend_features
 from pricebars.session import materialize
 
 KEY = "coin_id"
 MIN_CLEAN_ROWS = 50     # fixed value: rows a model needs after cleaning
 MIN_RAW_ROWS = 60       # fixed value: rows a coin needs before any forecast
-# Boosting rounds and parameters of the two models.
+# Boosting parameters of the two models.
 PRICE_ROUNDS = 200
 TREND_ROUNDS = 150
-TREES = dict(featuresCol="features", labelCol="label", stepSize=0.05, subsamplingRate=0.8,
-             featureSubsetStrategy="0.8", minInstancesPerNode=3)
+PRICE_PARAMS = Params(rounds=PRICE_ROUNDS, depth=6, alpha=0.1)
+TREND_PARAMS = Params(rounds=TREND_ROUNDS, depth=5, classes=len(TREND_CLASSES))
 
 
 # ---------------------------------------------------------------- data preparation
@@ -50,12 +45,12 @@ def clean_counts(clean: DataFrame, minimum: int = MIN_CLEAN_ROWS) -> DataFrame:
             .withColumn("enough", F.col("n_clean") >= F.lit(minimum)))
 
 
-def chrono_split(clean: DataFrame, test_size: float = 0.2, gap: int = 0) -> DataFrame:
-    """Per coin, the first ``floor(n * (1 - test_size))`` rows by date are train,
+def chrono_split(clean: DataFrame, test_size: float = 0.2, gap: int = 0, keys: tuple = (KEY,)) -> DataFrame:
+    """Per series (coin), the first ``floor(n * (1 - test_size))`` rows by date are train,
     the rest test.  ``gap`` drops that many train rows before the cut so train
     labels cannot look into the test span (0 = reference behaviour)."""
-    w = Window.partitionBy(KEY).orderBy("event_date")
-    n = F.count(F.lit(1)).over(Window.partitionBy(KEY))
+    w = Window.partitionBy(*keys).orderBy("event_date")
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
     cut = F.floor(n * F.lit(1.0 - test_size))
     rn = F.row_number().over(w)
     out = clean.select("*", rn.alias("_rn"), cut.alias("_cut"))
@@ -64,24 +59,24 @@ def chrono_split(clean: DataFrame, test_size: float = 0.2, gap: int = 0) -> Data
     return out.where(F.col("split").isNotNull()).drop("_rn", "_cut")
 
 
-def scaler_stats(split: DataFrame, cols: list[str]) -> DataFrame:
-    """Mean and population std of each feature over each coin's train rows."""
+def scaler_stats(split: DataFrame, cols: list[str], keys: tuple = (KEY,)) -> DataFrame:
+    """Mean and population std of each feature over each series' train rows."""
     aggs = []
     for c in cols:
         aggs += [F.avg(c).alias(f"_mu_{c}"), F.stddev_pop(c).alias(f"_sd_{c}")]
-    return split.where(F.col("split") == "train").groupBy(KEY).agg(*aggs)
+    return split.where(F.col("split") == "train").groupBy(*keys).agg(*aggs)
 
 
-def standardize(df: DataFrame, stats: DataFrame, cols: list[str]) -> DataFrame:
+def standardize(df: DataFrame, stats: DataFrame, cols: list[str], keys: tuple = (KEY,)) -> DataFrame:
     """``(x - mean) / std`` with train statistics; a zero std scales by 1.
-    ``stats`` has one row per coin; the planner picks the join by its size."""
-    j = df.join(stats, KEY)
+    ``stats`` has one row per series; the planner picks the join by its size."""
+    j = df.join(stats, [k for k in keys if k in df.columns])
     scaled = []
     for c in cols:
         sd = F.col(f"_sd_{c}")
         scaled.append(((F.col(c) - F.col(f"_mu_{c}")) / F.when(sd == 0, F.lit(1.0)).otherwise(sd)).alias(c))
-    keep = [c for c in df.columns if c not in cols]
-    return j.select(*keep, *scaled)
+    keep = [c for c in [*keys, *df.columns] if c not in cols]
+    return j.select(*dict.fromkeys(keep), *scaled)
 
 
 def impute_latest(frame: DataFrame, cols: list[str]) -> DataFrame:
@@ -98,16 +93,17 @@ def impute_latest(frame: DataFrame, cols: list[str]) -> DataFrame:
 # ---------------------------------------------------------------- metrics
 
 
-def regression_metrics(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """MAE, RMSE and R2 per coin and split; MAPE on test rows (zero labels skipped)."""
+def regression_metrics(pred: DataFrame, label: str = "label", prediction: str = "prediction",
+                       keys: tuple = (KEY,)) -> DataFrame:
+    """MAE, RMSE and R2 per series (coin) and split; MAPE on test rows (zero labels skipped)."""
     err = F.col(label) - F.col(prediction)
-    g = pred.groupBy(KEY, "split").agg(
+    g = pred.groupBy(*keys, "split").agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.abs(err)).alias("mae"), F.avg(err * err).alias("_mse"),
         F.var_pop(label).alias("_var"),
         F.avg(F.abs(safe_div(err, F.col(label)))).alias("_ape"))
     r2 = (F.when(F.col("_var") == 0, F.when(F.col("_mse") == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
           .otherwise(F.lit(1.0) - F.col("_mse") / F.col("_var")))
-    return g.select(KEY, "split", "n", "mae", F.sqrt("_mse").alias("rmse"), r2.alias("r2"),
+    return g.select(*keys, "split", "n", "mae", F.sqrt("_mse").alias("rmse"), r2.alias("r2"),
                     F.when(F.col("split") == "test", F.col("_ape") * F.lit(100.0)).alias("mape"))
 
 
@@ -137,63 +133,68 @@ def class_distribution(split: DataFrame, label: str = "trend_label") -> DataFram
 
 
 class Fit(NamedTuple):
-    """A fitted model, its feature columns, the scored train and test rows, and its
-    metrics per coin and split (see ``regression_metrics``, ``accuracy``)."""
+    """The model table (one row per tree), its feature columns, the scored train and test rows,
+    and the metrics per coin and split (see ``regression_metrics``, ``accuracy``)."""
 
-    model: PipelineModel
+    model: DataFrame
     cols: list[str]
     scored: DataFrame
     metrics: DataFrame
 
-    def importance(self, top: int | None = 10) -> DataFrame:
-        return feature_importance(self.model, self.cols, self.scored.sparkSession, top)
+    def importance(self, top: int | None = 10, by_coin: bool = False) -> DataFrame:
+        return feature_importance(self.model, self.cols, top, by_coin)
 
 
-def _prepared(frame: DataFrame, cols: list[str], target: str, test_size: float, minimum: int) -> DataFrame:
-    """Clean rows of coins that have at least ``MIN_RAW_ROWS`` rows and
+def _prepared(frame: DataFrame, cols: list[str], target: str, test_size: float, minimum: int,
+              keys: tuple = (KEY,)) -> DataFrame:
+    """Clean rows of series that have at least ``MIN_RAW_ROWS`` rows and
     ``minimum`` clean rows, split chronologically.  Counts are window aggregates
-    on the coin partitioning the split uses anyway (no extra shuffle or join)."""
-    whole = Window.partitionBy(KEY)
+    on the partitioning the split uses anyway (no extra shuffle or join)."""
+    whole = Window.partitionBy(*keys)
     raw = frame.withColumn("_n_raw", F.count(F.lit(1)).over(whole))
     clean = clean_rows(raw, cols, target).withColumn("_n_clean", F.count(F.lit(1)).over(whole))
     ok = (F.col("_n_raw") >= F.lit(MIN_RAW_ROWS)) & (F.col("_n_clean") >= F.lit(minimum))
-    return chrono_split(clean.where(ok).drop("_n_raw", "_n_clean"), test_size)
-
-
-def _keep(df: DataFrame) -> DataFrame:
-    """Cache a small result and compute it now (its inputs are released next)."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    df.count()
-    return df
-
-
-def _spread(df: DataFrame) -> DataFrame:
-    """Cached model input, dealt evenly over the cluster's cores whatever the coin."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism).persist(StorageLevel.MEMORY_AND_DISK)
-
-
-def _fit_price_horizon(frame: DataFrame, cols: list[str], newest: DataFrame, coins: DataFrame,
-                       h: int, max_iter: int, max_depth: int, test_size: float, seed: int):
-    target = f"target_{h}d"
-    split = materialize(_prepared(frame, cols, target, test_size, MIN_CLEAN_ROWS)
-                        .withColumn("_close", F.col("close_price_usd")))
-    stats = scaler_stats(split, cols)
-    data = _spread(standardize(split, stats, cols).withColumn("label", safe_div(F.col(target), F.col("_close"))))
-    assembler = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep")
-    gbt = GBTRegressor(maxIter=max_iter, maxDepth=max_depth, seed=seed, **TREES)
-    model = Pipeline(stages=[assembler, gbt]).fit(data.where(F.col("split") == "train"))
-    price = (F.col("prediction") * F.col("_close")).alias("prediction")
-    scored = _keep(model.transform(data).select(KEY, "event_date", "split", F.col(target).alias("label"), price))
-    metrics = regression_metrics(scored).withColumn("horizon", F.lit(h))
-    rmse = metrics.where(F.col("split") == "test").select(KEY, F.col("rmse").alias("confidence"))
-    pred = (model.transform(standardize(newest, stats, cols))
-            .select(KEY, F.col("_close").alias("current_price"), price))
-    res = _keep(coins.join(pred, KEY, "left").join(rmse, KEY, "left")
-                .select(KEY, F.lit(h).alias("horizon"), "current_price", "prediction", "confidence",
-                        (safe_div(F.col("prediction") - F.col("current_price"), F.col("current_price"))
-                         * F.lit(100.0)).alias("change_pct")))
-    data.unpersist()
-    return res, Fit(model, cols, scored, metrics)
+    return chrono_split(clean.where(ok).drop("_n_raw", "_n_clean"), test_size, keys=keys)
+
+
+class Inputs(NamedTuple):
+    """Scaled learner input: split rows and newest rows of each series, with ``features``."""
+
+    split: DataFrame
+    newest: DataFrame
+
+
+def _packed(df: DataFrame, cols: list[str], *keep) -> DataFrame:
+    return df.select(*keep, F.array(*[F.col(c).cast("double") for c in cols]).alias("features"))
+
+
+def _inputs(frame: DataFrame, stacked: DataFrame, cols: list[str], target: str, keys: tuple, test_size: float, *more: str) -> Inputs:
+    """Split, scale and pack ``stacked`` (``frame`` by series) and the newest row of each coin."""
+    split = materialize(_prepared(stacked, cols, target, test_size, MIN_CLEAN_ROWS, keys))
+    stats = materialize(scaler_stats(split, cols, keys))
+    rows = _packed(standardize(split, stats, cols, keys), cols, *keys, "event_date", "split", *more)
+    latest = impute_latest(frame, cols).withColumn("_close", F.col("close_price_usd"))
+    newest = _packed(standardize(latest.drop(*[k for k in keys if k != KEY]), stats, cols, keys), cols, *keys, "_close")
+    return Inputs(materialize(rows), materialize(newest))
+
+
+def price_inputs(metrics: DataFrame, horizons=(1, 7, 30), test_size: float = 0.2) -> tuple[DataFrame, list[str], Inputs]:
+    """``(feature frame, feature columns, inputs)`` of the price model, all horizons stacked."""
+    frame = materialize(price_features(metrics))
+    cols = feature_columns(frame, "price")
+    targets = F.explode(F.array(*[F.struct(F.lit(h).alias("horizon"), F.col(f"target_{h}d").alias("label")) for h in horizons]))
+    stacked = frame.select(KEY, "event_date", *cols, targets.alias("_t")).select(KEY, "event_date", *cols, "_t.horizon", "_t.label")
+    return frame, cols, _inputs(frame, stacked, cols, "label", (KEY, "horizon"), test_size, "label")
+
+
+def trend_inputs(metrics: DataFrame, horizon_days: int = 7, threshold_pct: float = 2.0,
+                 test_size: float = 0.2) -> tuple[DataFrame, list[str], Inputs]:
+    """As ``price_inputs`` for the trend model; ``label`` is the place of the class in ``TREND_CLASSES``."""
+    frame = materialize(trend_features(metrics, horizon_days, threshold_pct))
+    cols = feature_columns(frame, "trend")
+    place = F.array_position(F.array(*[F.lit(c) for c in TREND_CLASSES]), F.col("trend_label")) - 1
+    labelled = frame.select(KEY, "event_date", *cols, "trend_label", place.cast("double").alias("label"))
+    return frame, cols, _inputs(frame, labelled, cols, "trend_label", (KEY,), test_size, "trend_label", "label")
 
 
 def in_range(metrics: DataFrame, start=None, end=None) -> DataFrame:
@@ -207,50 +208,46 @@ def in_range(metrics: DataFrame, start=None, end=None) -> DataFrame:
     return metrics
 
 
-def forecast_price(metrics: DataFrame, horizons=(1, 7, 30), max_iter: int = PRICE_ROUNDS, max_depth: int = 6,
-                   test_size: float = 0.2, seed: int = 42,
-                   parallelism: int | None = None) -> tuple[DataFrame, dict[int, Fit]]:
+def forecast_price(metrics: DataFrame, horizons=(1, 7, 30), max_iter: int = PRICE_ROUNDS, max_depth: int = PRICE_PARAMS.depth,
+                   test_size: float = 0.2, seed: int = 42) -> tuple[DataFrame, dict[int, Fit]]:
     """Price forecast per coin and horizon.
 
     Returns ``(forecasts, fits)``: ``forecasts`` has ``coin_id, horizon,
     current_price, prediction, confidence, change_pct`` (``confidence`` = the
     coin's test RMSE); a coin with too few clean rows gets NULLs for that horizon.
     ``fits[h]`` is a ``Fit``; its metrics are MAE / RMSE / R2 per coin and split and
-    MAPE on test.  The horizons are independent fits and are submitted concurrently
-    (``parallelism`` threads, default one per horizon), as
-    ``CrossValidator(parallelism=...)`` does.
+    MAPE on test.  All models are fitted in one job.
     """
-    frame = materialize(price_features(metrics))
-    cols = feature_columns(frame, "price")
-    coins = frame.select(KEY).distinct()
-    newest = _keep(impute_latest(frame, cols).withColumn("_close", F.col("close_price_usd")))
-
-    @inheritable_thread_target(frame.sparkSession)
-    def one(h):
-        return _fit_price_horizon(frame, cols, newest, coins, h, max_iter, max_depth, test_size, seed)
-
-    with ThreadPoolExecutor(max_workers=parallelism or len(horizons)) as pool:
-        results = list(pool.map(one, horizons))
-    newest.unpersist()
-    out, fits = None, {}
-    for h, (res, fit) in zip(horizons, results):
-        fits[h] = fit
-        out = res if out is None else out.unionByName(res)
-    return out, fits
-
-
-def feature_importance(model, cols: list[str], spark, top: int | None = 10) -> DataFrame:
-    """Top features (all with ``top=None``) of a fitted pipeline (GBT, or OneVsRest:
-    mean over members)."""
-    last = model.stages[-1]
-    if hasattr(last, "models"):
-        imps = [m.featureImportances.toArray() for m in last.models]
-        values = [sum(v[i] for v in imps) / len(imps) for i in range(len(cols))]
-    else:
-        values = list(last.featureImportances.toArray())
-    rows = [(c, float(v)) for c, v in zip(cols, values)]
-    df = spark.createDataFrame(rows, "feature string, importance double")
-    return df if top is None else df.orderBy(F.col("importance").desc(), "feature").limit(top)
+    frame, cols, data = price_inputs(metrics, horizons, test_size)
+    keys = [KEY, "horizon"]
+    params = replace(PRICE_PARAMS, rounds=max_iter, depth=max_depth, seed=seed)
+    trees = materialize(boosting.fit(data.split.where(F.col("split") == "train"), keys, params))
+    price = F.col("margins")[0].alias("prediction")
+    scored = materialize(boosting.predict(data.split, trees, keys, params).select(*keys, "event_date", "split", "label", price))
+    judged = regression_metrics(scored, keys=(KEY, "horizon"))
+    rmse = judged.where(F.col("split") == "test").select(*keys, F.col("rmse").alias("confidence"))
+    pred = boosting.predict(data.newest, trees, keys, params).select(*keys, F.col("_close").alias("current_price"), price)
+    asked = frame.select(KEY).distinct().select(KEY, F.explode(F.array(*[F.lit(h) for h in horizons])).alias("horizon"))
+    out = materialize(asked.join(pred, keys, "left").join(rmse, keys, "left")
+                      .select(*keys, "current_price", "prediction", "confidence",
+                              (safe_div(F.col("prediction") - F.col("current_price"), F.col("current_price"))
+                               * F.lit(100.0)).alias("change_pct")))
+
+    def of(df: DataFrame, h: int) -> DataFrame:
+        return df.where(F.col("horizon") == h)
+
+    return out, {h: Fit(of(trees, h), cols, of(scored, h).drop("horizon"), of(judged, h)) for h in horizons}
+
+
+def feature_importance(trees: DataFrame, cols: list[str], top: int | None = 10, by_coin: bool = False) -> DataFrame:
+    """Top features (all with ``top=None``) of the models of one horizon: each coin's own
+    (``by_coin``), or the mean of the coins' shares."""
+    shares = boosting.importance(trees, [KEY], cols)
+    if not by_coin:
+        shares = shares.groupBy("feature").agg(F.avg("importance").alias("importance"))
+        return shares if top is None else shares.orderBy(F.col("importance").desc(), "feature").limit(top)
+    place = F.row_number().over(Window.partitionBy(KEY).orderBy(F.col("importance").desc(), "feature"))
+    return shares if top is None else shares.withColumn("_rn", place).where(F.col("_rn") <= top).drop("_rn")
 
 
 def label_indexer(labelled: DataFrame, label: str = "trend_label"):
@@ -258,44 +255,43 @@ def label_indexer(labelled: DataFrame, label: str = "trend_label"):
     return StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(labelled)
 
 
+def probabilities(margins: str = "margins") -> list:
+    """Softmax of the margins, one column per class."""
+    top = F.array_max(margins)
+    e = F.transform(margins, lambda m: F.exp(m - top))
+    total = F.aggregate(e, F.lit(0.0), lambda acc, x: acc + x)
+    return [(e[i] / total).alias(f"p_{c.lower()}") for i, c in enumerate(TREND_CLASSES)]
+
+
+def likeliest() -> Column:
+    """The class of the largest probability, the first of equals."""
+    top = F.greatest(*[F.col(f"p_{c.lower()}") for c in TREND_CLASSES])
+    out = F.lit(TREND_CLASSES[-1])
+    for c in reversed(TREND_CLASSES[:-1]):
+        out = F.when(F.col(f"p_{c.lower()}") == top, F.lit(c)).otherwise(out)
+    return out
+
+
 def forecast_trend(metrics: DataFrame, horizon_days: int = 7, threshold_pct: float = 2.0,
-                   max_iter: int = TREND_ROUNDS, max_depth: int = 5, test_size: float = 0.2,
+                   max_iter: int = TREND_ROUNDS, max_depth: int = TREND_PARAMS.depth, test_size: float = 0.2,
                    seed: int = 42) -> tuple[DataFrame, Fit]:
     """Trend class forecast (DOWN / FLAT / UP) per coin.
 
     Returns ``(forecast, fit)``: ``forecast`` has ``coin_id, trend, confidence,
     p_down, p_flat, p_up, current_price``, all NULL for a coin with too few clean
     rows; ``fit.metrics`` has the train and test accuracy per coin, and
-    ``trend_metrics(fit.scored)`` adds the confusion matrix and class counts."""
-    frame = materialize(trend_features(metrics, horizon_days, threshold_pct))
-    cols = feature_columns(frame, "trend")
-    split = materialize(_prepared(frame, cols, "trend_label", test_size, MIN_CLEAN_ROWS))
-    stats = scaler_stats(split, cols)
-    data = _spread(standardize(split, stats, cols))
-    indexer = label_indexer(data)
-    assembler = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep")
-    gbt = GBTClassifier(maxIter=max_iter, maxDepth=max_depth, seed=seed, **TREES)
-    ovr = OneVsRest(classifier=gbt, featuresCol="features", labelCol="label", parallelism=len(TREND_CLASSES))
-    model = Pipeline(stages=[indexer, assembler, ovr]).fit(data.where(F.col("split") == "train"))
-    labels = indexer.labels
-    name = F.element_at(F.array(*[F.lit(x) for x in labels]), F.col("prediction").cast("int") + 1)
-    scored = _keep(model.transform(data).select(KEY, "event_date", "split", "trend_label", name.alias("predicted")))
-    latest = standardize(impute_latest(frame, cols).withColumn("_close", F.col("close_price_usd")), stats, cols)
-    raw = model.transform(latest.withColumn("trend_label", F.lit(labels[0])))
-    # OneVsRest emits one margin per class; GBT (log loss) probability is sigmoid(2 * margin).
-    probs = F.transform(vector_to_array("rawPrediction"), lambda m: F.lit(1.0) / (F.lit(1.0) + F.exp(-2.0 * m)))
-    p = raw.select(KEY, F.col("_close").alias("current_price"), probs.alias("_p"))
-    p = p.select("*", F.aggregate("_p", F.lit(0.0), lambda acc_, x: acc_ + x).alias("_s"))
-    cls = {c: i for i, c in enumerate(labels)}
-    cols_out = [(F.col("_p")[cls[c]] / F.col("_s")).alias(f"p_{c.lower()}") if c in cls else F.lit(0.0).alias(
-        f"p_{c.lower()}") for c in TREND_CLASSES]
-    fc = p.select(KEY, "current_price", *cols_out)
-    pmax = F.greatest(*[F.col(f"p_{c.lower()}") for c in TREND_CLASSES])
-    trend = F.when(F.col("p_down") == pmax, "DOWN").when(F.col("p_flat") == pmax, "FLAT").otherwise("UP")
-    fc = fc.select(KEY, trend.alias("trend"), pmax.alias("confidence"), "p_down", "p_flat", "p_up", "current_price")
-    fc = _keep(frame.select(KEY).distinct().join(fc, KEY, "left"))
-    data.unpersist()
-    return fc, Fit(model, cols, scored, accuracy(scored))
+    ``trend_metrics(fit.scored)`` adds the confusion matrix and class counts.  The
+    probabilities are a softmax over the margins of one model of three classes."""
+    frame, cols, data = trend_inputs(metrics, horizon_days, threshold_pct, test_size)
+    params = replace(TREND_PARAMS, rounds=max_iter, depth=max_depth, seed=seed)
+    trees = materialize(boosting.fit(data.split.where(F.col("split") == "train"), [KEY], params))
+    scored = boosting.predict(data.split, trees, [KEY], params).select(KEY, "event_date", "split", "trend_label", *probabilities())
+    scored = materialize(scored.select(KEY, "event_date", "split", "trend_label", likeliest().alias("predicted")))
+    p = [f"p_{c.lower()}" for c in TREND_CLASSES]
+    newest = boosting.predict(data.newest, trees, [KEY], params).select(KEY, F.col("_close").alias("current_price"), *probabilities())
+    fc = newest.select(KEY, likeliest().alias("trend"), F.greatest(*p).alias("confidence"), *p, "current_price")
+    fc = materialize(frame.select(KEY).distinct().join(fc, KEY, "left"))
+    return fc, Fit(trees, cols, scored, accuracy(scored))
 
 
 # ---------------------------------------------------------------- public wrappers

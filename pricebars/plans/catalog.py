@@ -9,13 +9,15 @@ only; the library returns full precision).
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from pricebars.functions.exprs import round_doubles
+from pricebars.functions.exprs import TREND_CLASSES, round_doubles
 from pricebars.operators import bars as B
+from pricebars.operators import boosting
 from pricebars.operators import compare as C
 from pricebars.operators import features as FT
 from pricebars.operators import modeling as M
@@ -472,18 +474,6 @@ def features_trend(spark, sf_dir):
 # ---------------------------------------------------------------- stage 6: modeling
 
 
-_FITS: dict = {}
-
-
-def _fitted(kind, spark, sf_dir):
-    """The full fit of a table, kept for the session: the model queries share it."""
-    key = (kind, spark.sparkContext.applicationId, sf_dir)
-    if key not in _FITS:
-        fit = {"price": M.predict_multiple_horizons, "trend": M.predict_trend}[kind]
-        _FITS[key] = fit(_metrics(spark, sf_dir))
-    return _FITS[key]
-
-
 def _price_split(spark, sf_dir, horizon=1):
     frame = _pf(spark, sf_dir)
     cols = FT.feature_columns(frame, "price")
@@ -562,17 +552,52 @@ def label_index(spark, sf_dir):
 
 @query
 def forecast_price(spark, sf_dir):
-    return _fitted("price", spark, sf_dir)[0]
+    return M.predict_multiple_horizons(_metrics(spark, sf_dir))[0]
 
 
 @query
 def forecast_trend(spark, sf_dir):
-    return _fitted("trend", spark, sf_dir)[0]
+    return M.predict_trend(_metrics(spark, sf_dir))[0]
+
+
+@query
+def forecast_trend_14(spark, sf_dir):
+    return M.predict_trend(_metrics(spark, sf_dir), 14)[0]
+
+
+@query
+def forecast_trend_30(spark, sf_dir):
+    return M.predict_trend(_metrics(spark, sf_dir), 30)[0]
 
 
 @query
 def feature_importance(spark, sf_dir):
-    return _fitted("price", spark, sf_dir)[1][1].importance()
+    """The ten features of the largest gain of each coin's one-day price model."""
+    return M.train_and_predict(_metrics(spark, sf_dir), 1)[1].importance(10, by_coin=True)
+
+
+FIRST = dict(rounds=1, depth=1, rows=1.0, columns=1.0)
+
+
+@query
+def boost_price_roots(spark, sf_dir):
+    """The first split of each price model without drawing rows or columns: the best of all
+    boundaries of all features, as a share of the label's sum of squares."""
+    _, _, data = M.price_inputs(_metrics(spark, sf_dir))
+    train, keys = data.split.where("split = 'train'"), ["coin_id", "horizon"]
+    trees = boosting.fit(train, keys, replace(M.PRICE_PARAMS, **FIRST))
+    labels = train.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg("label").alias("base"), F.var_pop("label").alias("var"))
+    return (boosting.roots(trees, keys).join(labels, keys)
+            .select(*keys, "n", "cover", "base", F.try_divide("gain", F.col("var") * F.col("n")).alias("gain_share")))
+
+
+@query
+def boost_trend_roots(spark, sf_dir):
+    """As ``boost_price_roots`` for the three trees of the first softmax round."""
+    _, _, data = M.trend_inputs(_metrics(spark, sf_dir))
+    trees = boosting.fit(data.split.where("split = 'train'"), ["coin_id"], replace(M.TREND_PARAMS, **FIRST))
+    name = F.element_at(F.array(*[F.lit(c) for c in TREND_CLASSES]), F.col("cls") + 1)
+    return boosting.roots(trees, ["coin_id"]).select("coin_id", name.alias("trend_label"), "cover", "gain")
 
 
 def _rows_per_split(metrics, *keys):
@@ -584,7 +609,7 @@ def _rows_per_split(metrics, *keys):
 def forecast_price_check(spark, sf_dir):
     """What SQL can tell of the price forecasts: who gets one, from which price, the
     rows fitted and judged on, and how the columns agree with each other."""
-    out, fits = _fitted("price", spark, sf_dir)
+    out, fits = M.predict_multiple_horizons(_metrics(spark, sf_dir))
     metrics = None
     for fit in fits.values():
         metrics = fit.metrics if metrics is None else metrics.unionByName(fit.metrics)
@@ -601,7 +626,7 @@ def forecast_price_check(spark, sf_dir):
 @query
 def forecast_trend_check(spark, sf_dir):
     """As ``forecast_price_check``, with the true classes of the confusion matrix."""
-    out, fit = _fitted("trend", spark, sf_dir)
+    out, fit = M.predict_trend(_metrics(spark, sf_dir))
     acc, grid, _ = M.trend_metrics(fit.scored)
     true = grid.groupBy("coin_id").agg(*[
         F.sum(F.when(F.col("true_label") == c, F.col("pred_down") + F.col("pred_flat") + F.col("pred_up"))).alias(f"true_{c.lower()}")
@@ -617,12 +642,12 @@ def forecast_trend_check(spark, sf_dir):
 
 @query
 def importance_check(spark, sf_dir):
-    """Every feature's importance of each horizon is a share; all of a horizon sum to 1."""
+    """Every feature's importance in each coin's model is a share; all of a model sum to 1."""
     out = None
-    for h, fit in _fitted("price", spark, sf_dir)[1].items():
-        rows = fit.importance(None).withColumn("horizon", F.lit(h))
+    for h, fit in M.predict_multiple_horizons(_metrics(spark, sf_dir))[1].items():
+        rows = fit.importance(None, by_coin=True).withColumn("horizon", F.lit(h))
         out = rows if out is None else out.unionByName(rows)
-    total = out.groupBy("horizon").agg(F.sum("importance").alias("total"))
-    return (out.join(total, "horizon")
-            .select("horizon", "feature", F.col("importance").between(0, 1).alias("is_share"),
-                    (F.abs(F.col("total") - 1) < 1e-9).alias("sums_to_one")))
+    total = out.groupBy("horizon", "coin_id").agg(F.sum("importance").alias("total"))
+    return (out.join(total, ["horizon", "coin_id"]).groupBy("horizon", "feature")
+            .agg(F.bool_and(F.col("importance").between(0, 1)).alias("is_share"),
+                 F.bool_and(F.abs(F.col("total") - 1) < 1e-9).alias("sums_to_one")))

@@ -627,6 +627,44 @@ ORACLE["importance_check"] = " UNION ALL ".join(
     for h in (1, 7, 30))
 
 
+# The first split of a boosted model, by brute force: every boundary between two values of
+# every feature, at least 3 of the hessian sum on both sides.
+
+def _root_sql(source, keys, cols, g, h, alpha, out):
+    def score(gs, hs):
+        return f"pow(greatest(abs({gs}) - {alpha}::DOUBLE, 0), 2) / ({hs} + 1.0::DOUBLE)"
+
+    return f""",
+long AS (SELECT {keys}, {g} AS g, {h} AS h, unnest({cols}) AS feature, unnest([{', '.join(f'CAST({c} AS DOUBLE)' for c in cols)}]) AS x
+         FROM {source}),
+vals AS (SELECT {keys}, feature, x, sum(g) AS g, sum(h) AS h FROM long GROUP BY ALL),
+sides AS (SELECT {keys}, feature, sum(g) OVER up AS gl, sum(h) OVER up AS hl, sum(g) OVER f AS gt, sum(h) OVER f AS ht,
+            lead(x) OVER (PARTITION BY {keys}, feature ORDER BY x) AS next
+          FROM vals WINDOW f AS (PARTITION BY {keys}, feature),
+                           up AS (PARTITION BY {keys}, feature ORDER BY x ROWS UNBOUNDED PRECEDING)),
+best AS (SELECT {keys}, max(ht) AS cover, coalesce(max(CASE WHEN next IS NOT NULL AND hl >= 3 AND ht - hl >= 3
+           THEN {score('gl', 'hl')} + {score('gt - gl', 'ht - hl')} - {score('gt', 'ht')} END), 0) AS gain FROM sides GROUP BY {keys})
+{out}"""
+
+
+_STACKED = " UNION ALL ".join(
+    f"SELECT coin_id, {h} AS horizon, event_date, target_{h}d AS label, {', '.join(PRICE_COLS)} FROM pfr "
+    f"WHERE {_not_null(PRICE_COLS + [f'target_{h}d'])}" for h in (1, 7, 30))
+_SERIES_SPLIT = _SPLIT.replace("PARTITION BY coin_id", "PARTITION BY coin_id, horizon")
+ORACLE["boost_price_roots"] = with_(*D_ALL, DR, PRICE_RAW, f"""stacked AS (SELECT *, {_SERIES_SPLIT} AS split FROM ({_STACKED})),
+train AS (SELECT *, avg(label) OVER (PARTITION BY coin_id, horizon) AS base FROM stacked WHERE split = 'train')""") + _root_sql(
+    "train", "coin_id, horizon", PRICE_COLS, "base - label", "1.0::DOUBLE", "0.1", """
+SELECT coin_id, horizon, n, round(cover, 6) AS cover, round(base, 6) AS base, round(gain / (var * n), 6) AS gain_share
+FROM best JOIN (SELECT coin_id, horizon, count(*) AS n, avg(label) AS base, var_pop(label) AS var FROM train GROUP BY ALL)
+  USING (coin_id, horizon)""")
+
+ORACLE["boost_trend_roots"] = with_(*T_ALL, """ttrain AS (
+  SELECT t.*, c.cls FROM tsplit t CROSS JOIN (VALUES ('DOWN'), ('FLAT'), ('UP')) c(cls) WHERE split = 'train')""") + _root_sql(
+    "ttrain", "coin_id, cls", TREND_COLS, "1.0::DOUBLE / 3 - CASE WHEN trend_label = cls THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END",
+    "2 * (1.0::DOUBLE / 3) * (1 - 1.0::DOUBLE / 3)", "0.0", """
+SELECT coin_id, cls AS trend_label, round(cover, 6) AS cover, round(gain, 6) AS gain FROM best""")
+
+
 # ---------------------------------------------------------------- sign of zero
 
 def _unsigned_zero(sql: str) -> str:
