@@ -25,6 +25,8 @@ segments.  What is left may end within a character, so it is given as bytes.
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -41,6 +43,7 @@ SEGMENT = 1 << 20
 SHARD_BYTES = 1 << 20
 HOT_BYTES = 8 << 20
 BUCKETS = 4096
+HALF = (WINDOW - GRAM) // 2
 PLACE = np.uint64((1 << 22) - 1)
 SPANS = "array<struct<first:int,last:int>>"
 
@@ -233,8 +236,9 @@ def spans_of(flags: np.ndarray) -> list[dict]:
 # ------------------------------------------------------------ anchors
 
 
-def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(first, last, key)``: the runs of window starts of one text that share an anchor."""
+def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(first, last, key, pin)``: the runs of window starts of one text that share an anchor, its
+    hash, and how far it is from the first start."""
     n = len(data)
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     word = np.ndarray((n + 1,), "<u8", buffer=padded.data, strides=(1,))
@@ -254,7 +258,7 @@ def anchors(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     at = (np.minimum(behind[:starts], ahead[wide - 1:wide - 1 + starts]) & PLACE).astype(np.int64)
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
     last = np.append(first[1:], starts) - 1
-    return first, last, h[at[first]]
+    return first, last, h[at[first]], at[first] - first
 
 
 def _anchor_rows(batches):
@@ -270,11 +274,11 @@ def _anchor_rows(batches):
                 seen.add(tid)
             for begin in range(0, len(data) - WINDOW + 1, SEGMENT):
                 part = np.ascontiguousarray(data[begin:begin + SEGMENT + WINDOW - 1])
-                first, last, key = anchors(part)
+                first, last, key, pin = anchors(part)
                 view = memoryview(part)
                 ends = last + WINDOW
                 region = np.array([xxhash.xxh3_64_intdigest(view[a:b]) for a, b in zip(first.tolist(), ends.tolist())], np.uint64)
-                out.append((tid, first + begin, ends - first, key, region))
+                out.append((tid, first + begin, ends - first, pin, key, region))
             if sum(len(o[1]) for o in out) > 50_000 or row == len(ids) - 1:
                 yield _packed(out)
                 out = []
@@ -287,11 +291,11 @@ def _packed(out) -> pa.RecordBatch:
     cat = lambda k, kind: pa.array(np.concatenate([o[k] for o in out]).astype(kind) if out else np.zeros(0, kind))
     tid = pa.array([o[0] for o in out], pa.binary()).take(pa.array(np.repeat(np.arange(len(out)), count)))
     signed = lambda k: pa.array(np.concatenate([o[k] for o in out]).view(np.int64) if out else np.zeros(0, np.int64))
-    return pa.RecordBatch.from_arrays([tid, cat(1, np.int64), cat(2, np.int32), signed(3), signed(4)],
-                                      names=["tid", "at", "size", "key", "region"])
+    return pa.RecordBatch.from_arrays([tid, cat(1, np.int64), cat(2, np.int32), cat(3, np.int32), signed(4), signed(5)],
+                                      names=["tid", "at", "size", "pin", "key", "region"])
 
 
-ANCHORS = "tid binary, at long, size int, key long, region long"
+ANCHORS = "tid binary, at long, size int, pin int, key long, region long"
 
 
 # ------------------------------------------------------------ the operator
@@ -305,7 +309,7 @@ def _region_bytes(batches):
         for row, places in enumerate(lists):
             raw = memoryview(texts[row].as_buffer())
             for p in places:
-                out.append((p["key"], p["region"], p["often"], bytes(raw[p["at"]:p["at"] + p["size"]])))
+                out.append((p["key"], p["region"], p["often"], p["pin"], bytes(raw[p["at"]:p["at"] + p["size"]])))
                 size += p["size"]
                 if size > SHARD_BYTES:
                     yield _rows(out)
@@ -315,13 +319,29 @@ def _region_bytes(batches):
 
 
 def _rows(out) -> pa.RecordBatch:
-    key, region, often, data = zip(*out)
+    key, region, often, pin, data = zip(*out)
     return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(region, pa.int64()), pa.array(often, pa.bool_()),
-                                       pa.array(data, pa.binary())], names=["key", "region", "often", "data"])
+                                       pa.array(pin, pa.int32()), pa.array(data, pa.binary())], names=["key", "region", "often", "pin", "data"])
+
+
+def may_repeat(keys: list[int], pins: list[int], regions: list[bytes]) -> np.ndarray:
+    """Regions that another one of their key meets in the ``HALF`` bytes before or after the
+    anchor.  A window has that much on one side, so others hold no repeated window."""
+    sides = []
+    for key, pin, raw in zip(keys, pins, regions):
+        after = pin + GRAM
+        sides.append(((key, raw[pin - HALF:pin]) if pin >= HALF else None,
+                      (key, raw[after:after + HALF], True) if len(raw) >= after + HALF else None))
+    met = Counter(side for pair in sides for side in pair if side)
+    return np.array([any(side and met[side] > 1 for side in pair) for pair in sides], bool)
 
 
 def _shard(rows: pd.DataFrame) -> pd.DataFrame:
-    flags = repeated_windows(list(rows["data"]))
+    regions = rows["data"].to_list()
+    some = may_repeat(rows["key"].to_list(), rows["pin"].to_list(), regions)
+    flags = [np.zeros(len(r) - WINDOW + 1, bool) for r in regions]
+    for i, found in zip(np.flatnonzero(some), repeated_windows([regions[i] for i in np.flatnonzero(some)])):
+        flags[i] = found
     spans = [spans_of(f | often) for f, often in zip(flags, rows["often"])]
     out = pd.DataFrame({"key": rows["key"], "region": rows["region"], "spans": spans})
     return out[[len(s) > 0 for s in spans]]
@@ -330,7 +350,7 @@ def _shard(rows: pd.DataFrame) -> pd.DataFrame:
 def _window_digests(batches):
     """A digest of every window of each region."""
     for batch in batches:
-        key, region, often, data = (batch.column(k).to_pylist() for k in range(4))
+        key, region, often, data = (batch.column(k).to_pylist() for k in (0, 1, 2, 4))
         for row, raw in enumerate(data):
             view, starts = memoryview(raw), len(raw) - WINDOW + 1
             digest = [xxhash.xxh3_128_digest(view[o:o + WINDOW]) for o in range(starts)]
@@ -348,7 +368,7 @@ def _merged(rows: pd.DataFrame) -> pd.DataFrame:
 
 def _hot_spans(regions: DataFrame) -> DataFrame:
     """Spans of the regions of hot keys, by counts of their windows' digests."""
-    windows = settled(regions.select("key", "region", "often", "data").mapInArrow(
+    windows = settled(regions.select("key", "region", "often", "pin", "data").mapInArrow(
         _window_digests, "digest binary, key long, region long, often boolean, place int"))
     counts = windows.groupBy("digest").agg(F.count(F.lit(1)).alias("_n"))
     twice = spread_join(windows, counts, "digest", "place").filter("_n > 1 or often")
@@ -356,7 +376,7 @@ def _hot_spans(regions: DataFrame) -> DataFrame:
 
 
 def _spans(texts: DataFrame) -> DataFrame:
-    """``(tid, at, spans)``: starts of repeated windows, in regions of the texts."""
+    """``(tid, begin, end)``: bytes under repeated windows, region by region."""
     found = settled(texts.filter(F.octet_length("data") >= WINDOW).select("tid", "data").mapInArrow(_anchor_rows, ANCHORS))
     place = F.xxhash64("tid", "at")
     keys = (found.groupBy("key").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).filter("lo <> hi").select("key"))
@@ -364,7 +384,7 @@ def _spans(texts: DataFrame) -> DataFrame:
     often = (found.join(F.broadcast(keys), "key", "left_semi") if keys.count() <= BROADCAST_ROWS
              else spread_join(found, keys, "key", "region"))
     often = settled(often)
-    each = ["tid", "at", "size"]
+    each = ["tid", "at", "size", "pin"]
     regions = often.groupBy("key", "region").agg(
         (F.min(place) != F.max(place)).alias("often"), *[F.first(c).alias(c) for c in each])
     regions = settled(regions)
@@ -373,10 +393,10 @@ def _spans(texts: DataFrame) -> DataFrame:
     whole = (kinds.filter("kinds = 1 and often").select("key", "region", F.array(F.struct(
         F.lit(0).alias("first"), (F.col("size") - WINDOW).alias("last"))).alias("spans")))
     mixed = kinds.filter("kinds > 1")
-    lists = mixed.groupBy("tid").agg(F.collect_list(F.struct("key", "region", "often", "at", "size")).alias("places"))
+    lists = mixed.groupBy("tid").agg(F.collect_list(F.struct("key", "region", "often", "at", "size", "pin")).alias("places"))
     needed = rows_of(texts.select("tid", "data"), mixed, "tid").dropDuplicates(["tid"])
     data = settled(needed.join(lists, "tid").select("data", "places").mapInArrow(
-        _region_bytes, "key long, region long, often boolean, data binary"))
+        _region_bytes, "key long, region long, often boolean, pin int, data binary"))
     weights = mixed.groupBy("key").agg(F.first("weight").alias("weight"))
     hot = weights.filter(F.col("weight") > HOT_BYTES).select("key").checkpoint()
     total = mixed.agg(F.sum("size")).first()[0] or 0
@@ -387,33 +407,30 @@ def _spans(texts: DataFrame) -> DataFrame:
     if not hot.isEmpty():
         verdicts = verdicts.unionByName(_hot_spans(data.join(hot, "key", "left_semi")))
     verdicts = settled(verdicts.withColumnRenamed("key", "_key"))
-    return spread_join(often, verdicts, "region", "tid").filter("key = _key").select("tid", "at", "spans")
+    return spread_join(often, verdicts, "region", "tid").filter("key = _key").select("tid", "at", F.explode("spans").alias("s")).select(
+        "tid", (F.col("at") + F.col("s.first")).alias("begin"), (F.col("at") + F.col("s.last") + WINDOW).alias("end"))
 
 
 def _cut(batches):
     """The bytes that are left of each text and the spans taken from it."""
     for batch in batches:
-        texts, lists = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1).to_pylist()
+        texts, lists = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1)
+        begins, ends = (lists.values.field(k).to_numpy(zero_copy_only=False) for k in range(2))
+        edges = lists.offsets.to_numpy()
         kept, taken = [], []
-        for row, places in enumerate(lists):
+        for row in range(len(texts)):
+            a, b = edges[row], edges[row + 1]
             raw = texts[row].as_py()
-            if not places:
+            if a == b:
                 kept.append(raw)
                 taken.append([])
                 continue
-            edges = sorted((p["at"] + s["first"], p["at"] + s["last"] + WINDOW) for p in places for s in p["spans"])
-            runs: list[list[int]] = []
-            for a, b in edges:
-                if runs and a <= runs[-1][1]:
-                    runs[-1][1] = max(runs[-1][1], b)
-                else:
-                    runs.append([a, b])
-            left, out = 0, []
-            for a, b in runs:
-                out.append(raw[left:a])
-                left = b
-            kept.append(b"".join([*out, raw[left:]]))
-            taken.append([{"begin": a, "end": b} for a, b in runs])
+            order = np.argsort(begins[a:b], kind="stable")
+            begin, end = begins[a:b][order], np.maximum.accumulate(ends[a:b][order])
+            heads = np.flatnonzero(np.concatenate([[True], begin[1:] > end[:-1]]))
+            runs = list(zip(begin[heads].tolist(), end[np.append(heads[1:], len(end)) - 1].tolist()))
+            kept.append(b"".join(raw[x:y] for x, y in zip([0, *(e for _, e in runs)], [*(s for s, _ in runs), len(raw)])))
+            taken.append([{"begin": x, "end": y} for x, y in runs])
         spans = pa.array(taken, pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])))
         yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(kept, pa.binary()), spans],
                                          names=[*batch.schema.names[:-2], "kept", "spans"])
@@ -426,11 +443,10 @@ def without_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     data = F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")
     plain = docs.select(*[F.col(f"`{c}`").alias(f"_c{k}") for k, c in enumerate(out)], data.alias("data"), F.unhex(F.md5(data)).alias("tid"))
     texts = plain.select("tid", "data")
-    copies = (texts.filter(F.octet_length("data") >= WINDOW).select("tid", (F.octet_length("data") - WINDOW).alias("last"))
-              .groupBy("tid").agg(F.count(F.lit(1)).alias("n"), F.max("last").alias("last")).filter("n > 1")
-              .select("tid", F.lit(0).cast("long").alias("at"),
-                      F.array(F.struct(F.lit(0).alias("first"), F.col("last").cast("int").alias("last"))).alias("spans")))
-    places = settled(_spans(texts).unionByName(copies).groupBy("tid").agg(F.collect_list(F.struct("at", "spans")).alias("places")))
+    copies = (texts.select("tid", F.octet_length("data").alias("end")).filter(F.col("end") >= WINDOW)
+              .groupBy("tid").agg(F.count(F.lit(1)).alias("n"), F.max("end").cast("long").alias("end")).filter("n > 1")
+              .select("tid", F.lit(0).cast("long").alias("begin"), "end"))
+    places = settled(_spans(texts).unionByName(copies).groupBy("tid").agg(F.collect_list(F.struct("begin", "end")).alias("places")))
     carried = [f"_c{k}" for k in range(len(out))]
     joined = spread_join(plain, places, "tid", "tid", "left").select(*carried, "data", "places")
     schema = ", ".join([f"{c} {joined.schema[c].dataType.simpleString()}" for c in carried]
