@@ -87,12 +87,13 @@ def daily_metrics(payloads: DataFrame, processed_at: bool = True) -> DataFrame:
 def pulled_metrics(payloads: DataFrame) -> DataFrame:
     """Daily metrics of all pulls (``coin_id``, ``logical_date``): each pull is rolled up
     by itself, and of the pulls that hold a day the newest decides it.  So the result
-    does not depend on how files are batched, and no pull's days are lost."""
+    does not depend on how files are batched, and no pull's days are lost.  The date of the
+    pull that decided comes with each row."""
     pulls = daily_metrics(payloads.withColumn("coin_id", F.struct("coin_id", "logical_date")))
     rest = [c for c in pulls.columns if c not in KEY]
     newest = pulls.groupBy(F.col("coin_id.coin_id").alias("coin_id"), "event_date").agg(
-        F.max_by(F.struct(*rest), "coin_id.logical_date").alias("m"))
-    return newest.select(*KEY, *(F.col(f"m.{c}").alias(c) for c in rest))
+        F.max_by(F.struct(*rest), "coin_id.logical_date").alias("m"), F.max("coin_id.logical_date").alias("logical_date"))
+    return newest.select(*KEY, *(F.col(f"m.{c}").alias(c) for c in rest), "logical_date")
 
 
 def tick_open_close(price_ticks: DataFrame) -> DataFrame:

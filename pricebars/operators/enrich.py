@@ -22,6 +22,7 @@ def enrich(metrics: DataFrame, dim: DataFrame) -> tuple[DataFrame, DataFrame]:
     size limit, as the literal table of supported coins is.
     """
     dim = dim.select("coin_id", "coin_symbol", "coin_name")
+    more = [c for c in ("processed_at", "logical_date") if c in metrics.columns]
     typed = metrics.select(
         "coin_id", "event_date",
         *[F.col(c).cast("double").alias(c) for c in
@@ -29,11 +30,11 @@ def enrich(metrics: DataFrame, dim: DataFrame) -> tuple[DataFrame, DataFrame]:
         zero_if_missing("volume_usd").alias("volume_usd"),
         zero_if_missing("market_cap_usd").alias("market_cap_usd"),
         F.col("samples_per_day").cast("long").alias("samples_per_day"),
-        *([F.col("processed_at")] if "processed_at" in metrics.columns else []),
+        *more,
     )
     rows = typed.join(dim, "coin_id", "inner")
     order = ["coin_id", "coin_symbol", "coin_name", "event_date", "open_price_usd", "close_price_usd",
              "avg_price_usd", "max_price_usd", "min_price_usd", "volume_usd", "market_cap_usd",
-             "samples_per_day"] + (["processed_at"] if "processed_at" in metrics.columns else [])
+             "samples_per_day", *more]
     rejects = metrics.join(dim.select("coin_id"), "coin_id", "left_anti")
     return rows.select(*order), rejects

@@ -4,7 +4,8 @@ The merge is a tagged union followed by one ``groupBy`` on the key, not a full
 outer join: it shuffles each side once, needs no broadcast, and a hot key only
 costs partial-aggregation work.  On a conflict the incoming row wins for every
 column except ``keep_cols``, which keep the stored value; the incoming value wins
-even when it is NULL.
+even when it is NULL.  With a ``version`` date the newer side wins instead, the incoming one
+of equals, so batches may come in any order.
 """
 
 from __future__ import annotations
@@ -23,11 +24,13 @@ def latest_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> Dat
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str],
-           keep_cols: list[str] | tuple = ()) -> DataFrame:
+           keep_cols: list[str] | tuple = (), version: str | None = None) -> DataFrame:
     """Merge ``incoming`` into ``existing`` on ``keys``.
 
     ``incoming`` must hold at most one row per key (use ``latest_per_key``).
-    Running the same batch twice leaves the result unchanged.
+    Running the same batch twice leaves the result unchanged.  ``version`` names a date
+    column of both: a row gives way only to one of the same or a later date (NULL is the
+    earliest).
     """
     cols = existing.columns
     incoming = incoming.select(*cols)
@@ -35,7 +38,10 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str],
     keep = [c for c in cols if c in keep_cols]
     tagged = (existing.withColumn("_src", F.lit(0))
               .unionByName(incoming.withColumn("_src", F.lit(1))))
-    aggs = [F.max_by(F.struct(*replace), "_src").alias("_new")]
+    # one number: the days of the version, then the side
+    days = F.coalesce(F.unix_date(F.col(version)), F.lit(-2**31)) if version else F.lit(0)
+    tagged = tagged.withColumn("_age", days.cast("long") * 2 + F.col("_src"))
+    aggs = [F.max_by(F.struct(*replace), "_age").alias("_new")]
     if keep:
         aggs.append(F.min_by(F.struct(*keep), "_src").alias("_old"))
     merged = tagged.groupBy(*keys).agg(*aggs)

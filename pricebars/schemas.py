@@ -41,6 +41,9 @@ DAILY_METRICS = T.StructType([
     T.StructField("processed_at", T.TimestampType()),
 ])
 
+# As stored: with the date of the pull that decided the row (the merge version).
+METRICS_TABLE = T.StructType([*DAILY_METRICS.fields, T.StructField("logical_date", T.DateType())])
+
 # Sentiment table, key event_date.
 SENTIMENT = T.StructType([
     T.StructField("event_date", T.DateType()),

@@ -14,11 +14,15 @@ def read_sentiment(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
     """Read sentiment JSON files and unnest them into ``(points, rejects)``."""
     raw = (spark.read.schema(SENTIMENT_PAYLOAD).option("multiLine", True)
            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
-           .json(path)
-           .select("data", F.col("_metadata.file_modification_time").alias("modified")))
-    # Files are ordered by arrival (modification time), records by position.
-    records = raw.select(F.unix_micros("modified").alias("part"), F.posexplode("data").alias("pos", "rec"))
-    return sentiment_points(records)
+           .json(path))
+    return sentiment_points(sentiment_records(raw))
+
+
+def sentiment_records(files: DataFrame) -> DataFrame:
+    """``part, pos, rec``: the records of parsed files (a batch or a stream), files in order of
+    arrival (modification time), records in order of position."""
+    arrived = files.select("data", F.col("_metadata.file_modification_time").alias("modified"))
+    return arrived.select(F.unix_micros("modified").alias("part"), F.posexplode("data").alias("pos", "rec"))
 
 
 def sentiment_points(records: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -1,38 +1,48 @@
 """Parquet tables: daily metrics, sentiment and the raw landing log.
 
-Tables are plain Parquet datasets.  The daily metrics table is partitioned by
-``coin_id`` and sorted by date inside each file, so a one-coin read prunes to one
-directory and a date range prunes row groups.  Upserts rewrite only the touched
-partitions, through a staging copy, so the rows to write are safe in the shared
-folder before old ones are replaced.
+The daily metrics and sentiment tables are snapshot tables (see ``snapshots``): a change is
+written beside the old state and becomes visible by one rename, so a job that fails on the
+way leaves the table readable as it was.  The metrics table is partitioned by ``coin_id`` and
+sorted by date inside each file: a one-coin read prunes to that coin's folders, a date range
+prunes row groups, and an upsert rewrites only the coins it touches.  Each row keeps the
+logical date of the pull that decided it; an older pull never replaces a newer one's rows,
+whatever the order in which they arrive.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pricebars.functions.exprs import order_key
 from pricebars.operators.upsert import latest_per_key, upsert
-from pricebars.schemas import DAILY_METRICS, RAW_LOG, SENTIMENT
+from pricebars.schemas import DAILY_METRICS, METRICS_TABLE, RAW_LOG, SENTIMENT
 from pricebars.session import ensure_checkpoint_dir
+from pricebars.sources import snapshots
 
 METRICS_KEY = ["coin_id", "event_date"]
 METRICS_KEEP = ["coin_symbol", "coin_name"]
+VERSION = "logical_date"
+ATTEMPTS = 3
 
 
-def write_metrics(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write daily metrics partitioned by coin, date-sorted inside each file.
+def _versioned(df: DataFrame, default) -> DataFrame:
+    """The table's columns; rows without a logical date get ``default``."""
+    df = df if VERSION in df.columns else df.withColumn(VERSION, default.cast("date"))
+    return df.select(*METRICS_TABLE.fieldNames())
 
-    An overwrite replaces only the coins present in ``df``, whatever the session's
-    ``partitionOverwriteMode``."""
-    (df.repartition("coin_id").sortWithinPartitions("event_date")
-     .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("coin_id").parquet(path))
 
+def write_metrics(df: DataFrame, path: str) -> None:
+    """Write daily metrics partitioned by coin, date-sorted inside each file.  Coins that ``df``
+    does not have stay as they are."""
+    snapshots.replace(df.sparkSession, path, _versioned(df, F.lit(None)), "coin_id", "event_date")
 
-def read_metrics(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(DAILY_METRICS).parquet(path).select(*DAILY_METRICS.fieldNames())
+
+def read_metrics(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    return snapshots.read(spark, path, METRICS_TABLE, "coin_id", version).select(*DAILY_METRICS.fieldNames())
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
@@ -40,24 +50,34 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/staging/{name}-{uuid.uuid4().hex}"
 
 
-def upsert_metrics_table(spark: SparkSession, path: str, incoming: DataFrame, exists: bool = True) -> None:
-    """Upsert ``incoming`` daily rows into the table at ``path``.
+def _from_newest(spark: SparkSession, path: str, change: Callable[[int | None], None]) -> None:
+    """Apply ``change`` to the newest version, again if another job commits in between."""
+    for attempt in range(ATTEMPTS):
+        try:
+            return change(snapshots.latest(spark, path))
+        except snapshots.Conflict:
+            if attempt == ATTEMPTS - 1:
+                raise
+
+
+def upsert_metrics_table(spark: SparkSession, path: str, incoming: DataFrame) -> None:
+    """Upsert ``incoming`` daily rows into the table at ``path`` (a new one, if there is none).
 
-    Only the partitions of coins present in ``incoming`` are read and rewritten
-    (a semi join on the partition column lets Spark prune the rest).  The merged
-    rows are written to staging first and the table partitions are replaced from
-    there, never from a plan that still reads them.
+    Only the partitions of coins present in ``incoming`` are read and rewritten (a semi join on
+    the partition column lets Spark prune the rest).  A row replaces the stored one if its
+    ``logical_date`` is not older; rows without that column are as of today.
     """
-    incoming = latest_per_key(incoming.select(*DAILY_METRICS.fieldNames()), METRICS_KEY, ["processed_at"])
-    if exists:
-        touched = incoming.select("coin_id").distinct()
-        existing = read_metrics(spark, path).join(touched, "coin_id", "left_semi")
-        merged = upsert(existing, incoming, METRICS_KEY, METRICS_KEEP)
-    else:
+    incoming = latest_per_key(_versioned(incoming, F.current_date()), METRICS_KEY, [VERSION, "processed_at"])
+
+    def change(base: int | None) -> None:
         merged = incoming
-    stage = staging_path(spark, "metrics")
-    write_metrics(merged, stage)
-    write_metrics(read_metrics(spark, stage), path, mode="overwrite")
+        if base is not None:
+            touched = incoming.select("coin_id").distinct()
+            stored = snapshots.read(spark, path, METRICS_TABLE, "coin_id", base).join(touched, "coin_id", "left_semi")
+            merged = upsert(stored, incoming, METRICS_KEY, METRICS_KEEP, VERSION)
+        snapshots.replace(spark, path, merged, "coin_id", "event_date", base)
+
+    _from_newest(spark, path, change)
 
 
 def upsert_sentiment(existing: DataFrame, points: DataFrame) -> DataFrame:
@@ -73,30 +93,28 @@ def upsert_sentiment(existing: DataFrame, points: DataFrame) -> DataFrame:
 
 
 def read_sentiment_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SENTIMENT).parquet(path)
+    return snapshots.read(spark, path, SENTIMENT)
 
 
 def upsert_sentiment_table(spark: SparkSession, path: str, points: DataFrame, exists: bool = True) -> None:
-    """Upsert sentiment points into the Parquet sentiment table (one row per day,
-    so the table is small and rewritten whole, through staging)."""
-    existing = read_sentiment_table(spark, path) if exists else spark.createDataFrame([], SENTIMENT)
-    stage = staging_path(spark, "sentiment")
-    upsert_sentiment(existing, points).write.mode("overwrite").parquet(stage)
-    read_sentiment_table(spark, stage).write.mode("overwrite").parquet(path)
+    """Upsert sentiment points into the sentiment table (one row per day, so the table is small
+    and a version holds all of it).  Without ``exists`` what is there is not read."""
+
+    def change(base: int | None) -> None:
+        known = exists and base is not None
+        stored = snapshots.read(spark, path, SENTIMENT, version=base) if known else spark.createDataFrame([], SENTIMENT)
+        snapshots.replace(spark, path, upsert_sentiment(stored, points), base=base)
+
+    _from_newest(spark, path, change)
 
 
 def land_raw(spark: SparkSession, raw_path: str, log_path: str) -> None:
     """Append every payload file under ``raw_path`` to the raw log, one row per
     file (the whole file text; files are bounded API answers).  A file whose name
     does not match is kept too, without coin and date."""
-    from pricebars.sources.payloads import FILE_NAME_PATTERN
+    from pricebars.sources.payloads import file_texts
 
-    files = spark.read.option("wholetext", True).text(raw_path).select(
-        "value", F.col("_metadata.file_name").alias("file_name"))
-    coin, day = (F.regexp_extract("file_name", FILE_NAME_PATTERN, k) for k in (1, 2))
-    rows = files.select(F.when(coin != "", coin).alias("coin_id"), F.to_date(F.when(day != "", day)).alias("logical_date"),
-                        F.col("value").alias("payload"))
-    append_raw(rows, log_path)
+    append_raw(file_texts(spark.read, raw_path), log_path)
 
 
 def append_raw(payload_rows: DataFrame, path: str) -> None:
@@ -106,15 +124,33 @@ def append_raw(payload_rows: DataFrame, path: str) -> None:
      .write.mode("append").parquet(path))
 
 
+LANDED = ["landed_file", "landed_row"]
+
+
 def latest_raw(log: DataFrame, tie_breaker: str | None = None) -> DataFrame:
     """Newest landed payload per ``(coin_id, logical_date)``: the log appends a
-    copy per re-run, readers see only the newest."""
-    order = ["inserted_at"] + ([tie_breaker] if tie_breaker else ["payload"])
-    return latest_per_key(log, ["coin_id", "logical_date"], order)
+    copy per re-run, readers see only the newest.
+
+    Late materialisation: the newest entry of each key is found from numbers alone, then a
+    semi join fetches its text, so no payload goes through an aggregate.  Entries of one
+    moment are told apart by ``tie_breaker`` (a whole number of up to 19 digits, unique within a key
+    and moment), or by where they lie in the log (``read_raw``)."""
+    if tie_breaker is None and not set(LANDED) <= set(log.columns):
+        return latest_per_key(log, ["coin_id", "logical_date"], ["inserted_at", "payload"])
+    more = [(tie_breaker, 19)] if tie_breaker else [("landed_file", 9), ("landed_row", 10)]
+    keyed = log.withColumn("_age", order_key(F.coalesce(F.unix_micros("inserted_at"), F.lit(0)), *more))
+    newest = keyed.groupBy("coin_id", "logical_date").agg(F.max("_age").alias("_newest"))
+    newest = newest.select(F.col("coin_id").alias("_coin"), F.col("logical_date").alias("_day"), "_newest")
+    same = (F.col("coin_id").eqNullSafe(F.col("_coin")) & F.col("logical_date").eqNullSafe(F.col("_day"))
+            & (F.col("_age") == F.col("_newest")))
+    return keyed.join(newest, same, "left_semi").select(*[c for c in log.columns if c not in LANDED])
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RAW_LOG).parquet(path)
+    """The raw log, with a number of the file and the row of each entry."""
+    log = spark.read.schema(RAW_LOG).parquet(path)
+    return log.select("*", F.pmod(F.xxhash64("_metadata.file_path"), F.lit(10**9)).alias("landed_file"),
+                      F.col("_metadata.row_index").alias("landed_row"))
 
 
 def export_csv(df: DataFrame, path: str) -> None:
