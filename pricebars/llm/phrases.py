@@ -223,7 +223,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def _slots_of(phrases: DataFrame, words: int) -> np.ndarray:
-    """The distinct slots of some phrases: at most ``SLOTS`` numbers."""
+    """The distinct slots of some phrases, as bitmaps of ``SLOTS`` bits in all."""
 
     def run(batches):
         for batch in batches:
@@ -231,9 +231,16 @@ def _slots_of(phrases: DataFrame, words: int) -> np.ndarray:
             heads = numbers[0]
             for more in numbers[1:]:
                 heads = joined(heads, more)
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(slot(heads)).astype(np.int32))], names=["slot"])
-
-    return phrases.select(*NUMBERS[:words]).mapInArrow(run, "slot int").distinct().toPandas()["slot"].to_numpy(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(slot(heads)) + 1)], names=["place"])
+
+    places = phrases.select(*NUMBERS[:words]).mapInArrow(run, "place long")
+    maps = places.groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+    found = [np.zeros(0, np.int64)]
+    for row in maps.collect():
+        bits = np.unpackbits(np.frombuffer(row["bits"], np.uint8), bitorder="little")
+        found.append(np.flatnonzero(bits) + (row["bucket"] - 1) * len(bits))
+    return np.concatenate(found)
 
 
 def _words(phrase: str) -> Column:
