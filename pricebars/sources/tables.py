@@ -30,9 +30,10 @@ ATTEMPTS = 3
 
 
 def _versioned(df: DataFrame, default) -> DataFrame:
-    """The table's columns; rows without a logical date get ``default``."""
-    df = df if VERSION in df.columns else df.withColumn(VERSION, default.cast("date"))
-    return df.select(*METRICS_TABLE.fieldNames())
+    """The table's columns, NULL where ``df`` has none; rows without a logical date get ``default``."""
+    given = {VERSION: default}
+    return df.select(*[F.col(f.name) if f.name in df.columns else given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name)
+                       for f in METRICS_TABLE.fields])
 
 
 def write_metrics(df: DataFrame, path: str) -> None:
