@@ -11,7 +11,7 @@ calendar, not by the data volume.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricebars.functions.exprs import (
@@ -219,6 +219,36 @@ def trend_features(metrics: DataFrame, horizon_days: int = 7, threshold_pct: flo
     return st.select(*metrics.columns, *cols)
 
 
+LOOK_BACK = 30      # rows before and after that any feature, target or label reaches
+BLOCK_ROWS = 1024
+RANK_DAYS = 2048
+
+
+def in_blocks(metrics: DataFrame, features, rows: int = BLOCK_ROWS, reach: int = LOOK_BACK) -> DataFrame:
+    """``features(metrics)`` for series too long for one task: each series is cut into blocks of
+    ``rows`` rows, and a block's windows also see the ``reach`` rows before and after it.
+
+    Rows are numbered without a window over the series: within spans of dates, after the counts
+    of the spans before.  ``features`` must keep its input's columns and key its windows by
+    ``coin_id`` (which is the series and the block here), as ``price_features`` and
+    ``trend_features`` do; the result is the same as without blocks."""
+    if reach > rows:
+        raise ValueError("a block must be as long as what its neighbours see of it")
+    spans = metrics.withColumn("_span", F.floor(F.unix_date("event_date") / RANK_DAYS))
+    counts = spans.groupBy("coin_id", "_span").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("coin_id").orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("coin_id", "_span", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("coin_id", "_span").orderBy("event_date"))
+    ranked = spans.join(counts, ["coin_id", "_span"]).withColumn("_rank", F.col("_before") + inside - 1)
+    block, place = F.floor(F.col("_rank") / rows), F.col("_rank") % rows
+    seen_by = F.filter(F.array(block, F.when(place >= rows - reach, block + 1), F.when(place < reach, block - 1)), lambda b: b.isNotNull())
+    dealt = ranked.select(*metrics.columns, block.alias("_home"), F.explode(seen_by).alias("_block"))
+    named = dealt.select(*[F.struct("coin_id", "_block").alias(c) if c == "coin_id" else F.col(c) for c in metrics.columns],
+                         (F.col("_home") == F.col("_block")).alias("_own"))
+    out = features(named).where("_own").drop("_own")
+    return out.select(*[F.col("coin_id.coin_id").alias(c) if c == "coin_id" else F.col(c) for c in out.columns])
+
+
 def feature_columns(frame: DataFrame, kind: str = "price") -> list[str]:
     """Model inputs: every column except ids, dates and targets (and, for the
     trend model, the four raw Bollinger columns)."""

@@ -28,9 +28,9 @@ from pricebars.schemas import PAYLOAD
 from pricebars.session import configure, materialize
 from pricebars.sources import tables as TB
 from pricebars.sources import testdata as TD
-from pricebars.sources.payloads import tag_payloads
+from pricebars.sources.payloads import read_payloads, tag_payloads
 from pricebars.sources.sentiment import sentiment_points as parse_sentiment
-from pricebars.streaming.refresh import load_good_payloads
+from pricebars.streaming.refresh import load_good_payloads, sentiment_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -202,6 +202,31 @@ def refresh_pulls(spark, sf_dir):
     return TB.read_metrics(spark, f"{folder}/table").drop("processed_at")
 
 
+@query
+def json_payload_scan(spark, sf_dir):
+    """Multi-line JSON files as they land (some cut off), read by the file reader: coin and date from
+    the file name, pairs of each array, and the reason where a file was rejected."""
+    folder = TB.staging_path(spark, "landing")
+    TD.land_files(TD.pull_files(_events(spark, sf_dir)), folder)
+    good, rejects = read_payloads(spark, folder)
+    price = F.transform("prices", lambda p: F.get(p, 1))
+    read = good.groupBy("file_name", "coin_id", "logical_date").agg(
+        F.sum(F.size("prices")).alias("n_prices"), F.sum(F.size("market_caps")).alias("n_caps"),
+        F.sum(F.size("total_volumes")).alias("n_volumes"), F.min(F.array_min(price)).alias("min_price"),
+        F.max(F.array_max(price)).alias("max_price"))
+    return read.withColumn("reason", F.lit(None).cast("string")).unionByName(rejects, allowMissingColumns=True)
+
+
+@query
+def refresh_sentiment(spark, sf_dir):
+    """Sentiment files that land in two waves, each loaded by its own run of the stream."""
+    folder = TB.staging_path(spark, "moods")
+    for wave in (0, 1):
+        TD.land_files(TD.mood_files(_events(spark, sf_dir), wave), f"{folder}/landing")
+        sentiment_stream(spark, f"{folder}/landing", f"{folder}/table", f"{folder}/progress").awaitTermination()
+    return TB.read_sentiment_table(spark, f"{folder}/table").drop("inserted_at")
+
+
 def _stored_and_incoming(spark, sf_dir):
     payloads = _payloads(spark, sf_dir)
     full = B.daily_metrics(payloads, processed_at=False)
@@ -471,6 +496,17 @@ def features_trend(spark, sf_dir):
     return _tf(spark, sf_dir)
 
 
+@query
+def features_price_blocks(spark, sf_dir):
+    """``features_price`` with every series cut into blocks that see their neighbours' rows."""
+    return FT.in_blocks(_metrics(spark, sf_dir), FT.price_features, rows=256)
+
+
+@query
+def features_trend_blocks(spark, sf_dir):
+    return FT.in_blocks(_metrics(spark, sf_dir), FT.trend_features, rows=256)
+
+
 # ---------------------------------------------------------------- stage 6: modeling
 
 

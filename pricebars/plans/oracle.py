@@ -189,6 +189,19 @@ d AS (SELECT b.* EXCLUDE (pull), coalesce(m.volume_usd, 0.0) AS volume_usd, coal
       FROM bars b JOIN newest USING (coin_id, event_date, pull) JOIN means m USING (coin_id, event_date, pull))
 SELECT {SERIES_SEL} FROM d"""
 
+ORACLE["json_payload_scan"] = """
+SELECT event_type || '_' || CAST(DATE '2024-01-01' + CAST(pull AS INTEGER) AS VARCHAR) || '.json' AS file_name, event_type AS coin_id,
+  DATE '2024-01-01' + CAST(pull AS INTEGER) AS logical_date,
+  CASE WHEN pull % 10 <> 3 THEN count(*) END AS n_prices, CASE WHEN pull % 10 <> 3 THEN count(*) END AS n_caps,
+  CASE WHEN pull % 10 <> 3 THEN count(*) END AS n_volumes, CASE WHEN pull % 10 <> 3 THEN round(min(value), 6) END AS min_price,
+  CASE WHEN pull % 10 <> 3 THEN round(max(value), 6) END AS max_price, CASE WHEN pull % 10 = 3 THEN 'malformed json' END AS reason
+FROM (SELECT *, event_id // 1024 AS pull FROM events) GROUP BY event_type, pull"""
+
+ORACLE["refresh_sentiment"] = """
+SELECT CAST(ts AS DATE) AS event_date, CAST(arg_max(props ->> '$.k', ((event_id // 1024) % 2, event_id)) AS INTEGER) AS value,
+  arg_max(event_type, ((event_id // 1024) % 2, event_id)) AS value_classification
+FROM events GROUP BY 1"""
+
 # ---------------------------------------------------------------- stage 3: serving
 
 ORACLE["series_for_coin"] = with_(*D_ALL) + f"SELECT {SERIES_SEL} FROM d WHERE coin_id = '{COIN}'"
@@ -529,6 +542,8 @@ TREND_COLS = BASE_FEATURES + [n for n in _names(_trend_features_sql(_raw))
 
 ORACLE["features_price"] = with_(*D_ALL, DR, PRICE_FRAME) + "SELECT * FROM pf"
 ORACLE["features_trend"] = with_(*D_ALL, DR, TREND_FRAME) + "SELECT * FROM tf"
+ORACLE["features_price_blocks"] = ORACLE["features_price"]
+ORACLE["features_trend_blocks"] = ORACLE["features_trend"]
 
 # ---------------------------------------------------------------- stage 6: modeling
 

@@ -23,7 +23,7 @@ ARRAYS = ("prices", "market_caps", "total_volumes")
 def file_texts(reader: DataFrameReader, path: str) -> DataFrame:
     """``coin_id, logical_date, payload, file_name`` of every file; ``reader`` is ``spark.read``
     or ``spark.readStream``.  Coin and date are NULL where the name does not tell them."""
-    files = reader.option("wholetext", True).text(path).select(
+    files = reader.text(path, wholetext=True).select(
         F.col("value").alias("payload"), F.col("_metadata.file_name").alias("file_name"))
     coin, day = (F.regexp_extract("file_name", FILE_NAME_PATTERN, k) for k in (1, 2))
     return files.select(F.when(coin != "", coin).alias("coin_id"), F.to_date(F.when(day != "", day)).alias("logical_date"),

@@ -114,3 +114,43 @@ def order_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base **D**: the enriched daily metrics table (no ``processed_at``)."""
     rows, _ = enrich(order_metrics_raw(spark, sf_dir), priority_dimension(spark))
     return rows
+
+
+def land_files(rows: DataFrame, folder: str) -> None:
+    """Write ``text`` of each row to ``folder/<file_name>``, as a puller would land its answers: Spark
+    writes one file per name, which is then given its name."""
+    import uuid
+
+    spark = rows.sparkSession
+    hidden = f"{folder}/_landing-{uuid.uuid4().hex}"
+    rows.select("file_name", "text").repartition("file_name").write.partitionBy("file_name").text(hidden)
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    files = fs_path(hidden).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    for named in files.listStatus(fs_path(hidden)):
+        name = named.getPath().getName().removeprefix("file_name=")
+        if named.isDirectory():
+            for part in files.listStatus(named.getPath()):
+                if part.getPath().getName().startswith("part-"):
+                    files.rename(part.getPath(), fs_path(f"{folder}/{name}"))
+
+
+def pull_files(events: DataFrame) -> DataFrame:
+    """``file_name, text``: the payload slices of E as pretty-printed JSON, one file per coin and
+    pull (dated a day apart); every tenth pull, from the fourth on, arrives cut in half."""
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.col("part").cast("int"))
+    text = F.to_json(F.struct("prices", "market_caps", "total_volumes"), {"pretty": "true"})
+    half = F.expr("left(text, cast(length(text) / 2 as int))")
+    return (event_payloads(events)
+            .select(F.concat("coin_id", F.lit("_"), day.cast("string"), F.lit(".json")).alias("file_name"), "part", text.alias("text"))
+            .select("file_name", F.when(F.col("part") % 10 == 3, half).otherwise(F.col("text")).alias("text")))
+
+
+def mood_files(events: DataFrame, wave: int) -> DataFrame:
+    """``file_name, text``: sentiment answers of E, one file per day, of the odd or even slices."""
+    rec = F.struct(F.unix_seconds(F.col("ts").cast("timestamp")).cast("string").alias("timestamp"),
+                   F.get_json_object("props", "$.k").alias("value"), F.col("event_type").alias("value_classification"))
+    mine = events.where(F.floor(F.col("event_id") / PART_EVENTS) % 2 == wave)
+    packed = (mine.select(F.to_date("ts").alias("day"), "event_id", rec.alias("rec")).groupBy("day")
+              .agg(F.array_sort(F.collect_list(F.struct("event_id", "rec"))).alias("t")))
+    return packed.select(F.concat(F.col("day").cast("string"), F.lit(f"-{wave}.json")).alias("file_name"),
+                         F.to_json(F.struct(F.transform("t", lambda x: x["rec"]).alias("data")), {"pretty": "true"}).alias("text"))

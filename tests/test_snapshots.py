@@ -137,6 +137,15 @@ def test_each_file_is_parsed_once(spark, write_json):
     assert good.count() == 1 and [r["reason"] for r in rejects.collect()] == ["malformed json"]
 
 
+def test_files_of_many_lines_are_one_row(spark, write_json, tmp_path):
+    text = json.dumps(pull(1, range(40)), indent=2)
+    raw = write_json({"bitcoin_2024-01-05.json": text})
+    good, rejects = read_payloads(spark, raw)
+    assert [len(r["prices"]) for r in good.collect()] == [40] and rejects.isEmpty()
+    TB.land_raw(spark, raw, str(tmp_path / "log"))
+    assert [r["payload"] for r in TB.read_raw(spark, str(tmp_path / "log")).collect()] == [text]
+
+
 def mood(day, value):
     return {"data": [{"timestamp": str((START + day * DAY_MS) // 1000), "value": str(value), "value_classification": "Fear"}]}
 
