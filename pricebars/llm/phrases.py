@@ -36,6 +36,7 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -53,6 +54,7 @@ SLICE_BYTES = 4 << 20
 MIN_COUNT = 10
 INSIDE_PERCENT = 50
 TOP = 2000
+RANK_PARTS = 32
 NEVER = 255
 
 PIECE = np.zeros(256, bool)
@@ -89,8 +91,11 @@ def joined(first: np.ndarray, second: np.ndarray) -> np.ndarray:
 
 
 def _unique(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    value, at, inverse, n = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-    return value, at, inverse, n
+    """Different values as they come, the first place and the count of each, and the value of each place."""
+    inverse, value = pd.factorize(key)
+    first = np.empty(len(value), np.int64)
+    first[inverse[::-1]] = np.arange(len(key) - 1, -1, -1)
+    return value, first, inverse, np.bincount(inverse, minlength=len(value))
 
 
 def counted(langs: pa.Array, data: np.ndarray, offsets: np.ndarray, step: int, shards: int, seed: int,
@@ -187,8 +192,14 @@ def _cycles(docs: DataFrame, least: int, shards: int, seed: int) -> tuple[DataFr
         parts.append(spark.read.schema(PARTS).parquet(f"{folder}/{step}"))
         # what is not complete yet; phrases of the longest length are only needed once they are
         due = (F.col("start") == step - shards + 1) if step >= shards - 1 else F.lit(False)
-        running = _union(parts[-shards:]).filter((F.col("start") > step - shards) & ((F.col("words") < MAX_WORDS) | due))
-        longer = running.filter("words > 1").groupBy("words", *NUMBERS, "start").agg(F.sum("n").alias("n"))
+        running = _union(parts[-shards:]).filter(F.col("start") > step - shards)
+        sums = []
+        for words in range(2, MAX_WORDS + 1):  # as many columns as words: narrow rows to shuffle
+            own = running.filter((F.col("words") == words) & (F.lit(True) if words < MAX_WORDS else due))
+            own = own.groupBy(*NUMBERS[:words], "start").agg(F.sum("n").alias("n"))
+            sums.append(own.select(F.lit(words).alias("words"), *[F.col(c) if k < words else F.lit(None).cast("long").alias(c)
+                                                                 for k, c in enumerate(NUMBERS)], "start", "n"))
+        longer = _union(sums)
         if step < shards:  # single words, with their strings
             some = running.filter("words = 1").groupBy("word", "w1").agg(F.sum("n").alias("n"))
             if step == shards - 1:
@@ -284,9 +295,14 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", least:
     holders = holders.groupBy("phrase").agg(F.max("a").alias("held"))
     kept = (best.join(holders, "phrase", "left")
             .filter(F.col("held").isNull() | (F.col("held").cast("decimal(20,0)") * 100 < F.col("a").cast("decimal(20,0)") * inside)))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "words_of")
-    ranked = (kept.select(_lang("phrase").alias("lang"), _words("phrase").alias("words_of"), "a", "b.l", "b.r", "b.score")
-              .withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= top))
+    best_first = [F.desc("score"), F.desc("a"), "words_of"]
+    listed = kept.select(_lang("phrase").alias("lang"), _words("phrase").alias("words_of"), "a", "b.l", "b.r", "b.score")
+    # first in parts of a language, so that the last task of one gets RANK_PARTS x top rows at most
+    some = Window.partitionBy("lang", "part").orderBy(*best_first)
+    listed = (listed.withColumn("part", F.pmod(F.xxhash64("words_of"), F.lit(RANK_PARTS)))
+              .withColumn("rank", F.row_number().over(some)).filter(F.col("rank") <= top))
+    order = Window.partitionBy("lang").orderBy(*best_first)
+    ranked = listed.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= top)
     return (ranked.join(totals, "lang")
             .select("lang", "rank", F.col("words_of").alias("phrase"), "a", "l", "r", F.col("total").alias("n"), "score"))
 
