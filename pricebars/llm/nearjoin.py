@@ -15,6 +15,11 @@ blocks, each its own unit of work; what leaves a block is one row per text (its
 number of links, and one edge that keeps its class together), never a pair.  So no
 link between different texts is lost, and hot groups are spread over tasks.
 
+What is copied to the blocks is short: a group's smallest member is its model, and a text
+is told by the shingles it has beyond the model and those of the model it lacks, where
+these are fewer than its own.  With ``m`` and ``e`` for these two lists, two such texts share
+``|model| - |m1| - |m2| + |m1 & m2| + |e1 & e2|`` shingles, which is as exact as their sets.
+
 Defined cases: NULL texts and texts without words have no class but their own and no
 links; a text of one to four words is one shingle; repeated rows are documents of their
 own; the class id is the smallest document id of the class, NULL ids last; links count
@@ -29,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricebars.llm.graph import components
-from pricebars.llm.settle import beside, rows_of, spread_join
+from pricebars.llm.settle import beside, rows_of, settled, spread_join
 from pricebars.llm.words import mix, shingles, slices, words
 
 THRESHOLD = 0.8
@@ -114,28 +119,39 @@ def _verify(rows: DataFrame, threshold: float) -> DataFrame:
         ids = np.array([g[0] for g in group])
         weight = np.array([g[1] for g in group])
         second = np.array([g[2] for g in group])
-        sets = [np.frombuffer(g[3], np.uint64) for g in group]
-        size = np.array([len(s) for s in sets])
-        value = np.concatenate(sets)
-        owner = np.repeat(np.arange(len(sets)), size)
+        size, model, met = (np.array([g[k] for g in group], np.int64) for k in (3, 4, 5))
+        near = np.array([g[7] is not None for g in group])  # told against the model
+        extra = [np.frombuffer(g[6], np.uint64) for g in group]
+        lacks = [np.frombuffer(g[7] or b"", np.uint64) for g in group]
+        n_lacks = np.array([len(x) for x in lacks])
+        n = len(group)
+        value = np.concatenate(extra + lacks)
+        owner = np.repeat(np.arange(2 * n), [len(x) for x in extra + lacks])
         order = np.argsort(value, kind="stable")
         value, owner = value[order], owner[order]
         new = np.ones(len(value), bool)
         new[1:] = value[1:] != value[:-1]
         word = np.cumsum(new) - 1
-        shared = np.bincount(word)[word] > 1
+        shared = np.bincount(word)[word] > 1 if len(word) else np.zeros(0, bool)
         word, owner = word[shared], owner[shared]
-        both = np.zeros((len(sets), len(sets)), np.float32)
-        step = max(1, DENSE_CELLS // len(sets))
+        cross = np.zeros((2 * n, 2 * n), np.float32)
+        step = max(1, DENSE_CELLS // (2 * n))
         if len(word):
             word = np.cumsum(np.diff(word, prepend=word[0]) > 0)
             cuts = np.searchsorted(word, np.arange(0, word[-1] + 1 + step, step))
             for c, (p, q) in enumerate(zip(cuts[:-1], cuts[1:])):
-                m = np.zeros((len(sets), min(step, int(word[-1]) + 1 - c * step)), np.float32)
+                m = np.zeros((2 * n, min(step, int(word[-1]) + 1 - c * step)), np.float32)
                 m[owner[p:q], word[p:q] - c * step] = 1
-                both += m @ m.T  # whole numbers below 2^24: exact
+                cross += m @ m.T  # whole numbers below 2^24: exact
+        both = cross[:n, :n].astype(np.float64)
+        alike = near[:, None] & near[None, :]
+        both += np.where(alike, model[:, None] - n_lacks[:, None] - n_lacks[None, :] + cross[n:, n:], 0)
+        # a text that is told whole against one that is not: what it shares with the model counts
+        one = near[:, None] & ~near[None, :]
+        mixed = np.where(one, met[None, :] - cross[n:, :n], 0)
+        both += mixed + mixed.T
         union = size[:, None] + size[None, :] - both
-        link = both.astype(np.float64) / union >= threshold
+        link = both / union >= threshold
         np.fill_diagonal(link, False)
         if second.any():
             link &= second[:, None] != second[None, :]
@@ -167,8 +183,8 @@ def _verify(rows: DataFrame, threshold: float) -> DataFrame:
                     if len(held) > 1:
                         out.append(linked(held))
                     held, at = [], key
-                rid, weight, block, value = (x[k] for x in rest)
-                held.append((rid, weight, block != key[1], value))
+                rid, weight, block, *told_as = (x[k] for x in rest)
+                held.append((rid, weight, block != key[1], *told_as))
             if len(out) > 1000:
                 yield told()
         if len(held) > 1:
@@ -176,7 +192,7 @@ def _verify(rows: DataFrame, threshold: float) -> DataFrame:
         if out:
             yield told()
 
-    return rows.select("component", "low", "high", "rid", "weight", "block", "value").mapInArrow(run, "u long, v long, links long")
+    return rows.select("component", "low", "high", "rid", "weight", "block", *TOLD).mapInArrow(run, "u long, v long, links long")
 
 
 def _shingle_sets(texts: DataFrame) -> DataFrame:
@@ -191,6 +207,33 @@ def _shingle_sets(texts: DataFrame) -> DataFrame:
     return texts.select("rid", "text").mapInArrow(run, "rid long, value binary")
 
 
+TOLD = ["size", "model_size", "met", "extra", "lacks"]
+
+
+def _told(sets: DataFrame) -> DataFrame:
+    """Sets (``component, rid, value``) told against their group's smallest member: ``TOLD``, with
+    ``lacks`` NULL and the whole set as ``extra`` where that is shorter."""
+
+    def run(batches):
+        for batch in batches:
+            rid, value, model = batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            out = []
+            for v, m in zip(value, model):
+                v, m = np.frombuffer(v, np.uint64), np.frombuffer(m, np.uint64)
+                at = np.minimum(np.searchsorted(m, v), max(len(m) - 1, 0))
+                common = m[at] == v if len(m) else np.zeros(len(v), bool)
+                lacks = np.ones(len(m), bool)
+                lacks[at[common]] = False
+                near = (~common).sum() + lacks.sum() < len(v)
+                out.append((len(v), len(m), int(common.sum()), (v[~common] if near else v).tobytes(), m[lacks].tobytes() if near else None))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([rid, *(pa.array(c, k) for c, k in zip(zip(*out), kinds))], names=["rid", *TOLD])
+
+    models = sets.filter("rid = component").select("component", F.col("value").alias("model"))
+    return spread_join(sets, models, "component", "rid").select("rid", "value", "model").mapInArrow(
+        run, "rid long, size long, model_size long, met long, extra binary, lacks binary")
+
+
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``(doc_id, text_key, class_id, n_links, rid)``, one row per row of ``docs``; ``rid``
     numbers the rows, ``text_key`` is a digest of the text."""
@@ -219,12 +262,13 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     wanted = dealt.select("rid", F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
     found = rows_of(source, dealt.select("text_key"), "text_key").join(wanted, (F.col("text_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
     value = _shingle_sets(found).dropDuplicates(["rid"])  # rows repeated in id and text
+    told = settled(_told(value.join(dealt.select("rid", "component"), "rid")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    pairs = (dealt.select("rid", "component", "weight", "block", other.alias("other")).join(value, "rid")
-             .select("component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "rid", "weight", "block", "value"))
-    told = _verify(pairs.repartition("component", "low", "high").sortWithinPartitions("component", "low", "high"), threshold).checkpoint()
-    links = told.groupBy("u").agg(F.sum("links").alias("links")).withColumnRenamed("u", "rid")
-    final = components(told.select("u", "v")).withColumnRenamed("id", "rid")
+    pairs = (dealt.select("rid", "component", "weight", "block", other.alias("other")).join(told, "rid")
+             .select("component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "rid", "weight", "block", *TOLD))
+    found = _verify(pairs.repartition("component", "low", "high").sortWithinPartitions("component", "low", "high"), threshold).checkpoint()
+    links = found.groupBy("u").agg(F.sum("links").alias("links")).withColumnRenamed("u", "rid")
+    final = components(found.select("u", "v")).withColumnRenamed("id", "rid")
     known = (members.select("rid", "set_key", "weight", "least_id").join(links, "rid", "left").join(final, "rid", "left")
              .withColumn("component", F.coalesce("component", "rid")).checkpoint())
     known = beside(known, "component", lambda part: part.groupBy("component").agg(F.min("least_id").alias("class_id"))).select("set_key", "class_id", "component", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
