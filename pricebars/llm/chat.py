@@ -5,24 +5,31 @@ rendered with that speaker as the assistant and all others as named users.  Syst
 turns stay as they are.  The mask holds the character spans of the text that are
 trained on: the own turns' content with its end mark.
 
-A rendering is cut into parts of ``PART_TURNS`` turn numbers, so a conversation of any
-length is spread over as many rows (and tasks) as it needs; shorter conversations have
-one part, 0.  Parts of one rendering join in the order of ``part``.
+A rendering is the whole dialogue, whatever its length.  One of over ``PART_ROWS`` turns is told in
+several rows, in the order of ``part``: their texts, joined, are the rendering, and their masks
+count characters from its beginning.  Turns are numbered without bringing a conversation
+to one task: they are dealt in ranges of their order, and a turn's place is its place in
+its range after all turns of the ranges before.  So a conversation may hold a third of all rows.
 
 Defined cases: rows without a conversation id are a conversation of their own (NULL);
 a NULL role is the speaker ``unknown``; a NULL text is empty; rows equal in all four
-columns count once; turns of one number are ordered by role and text; a NULL turn has
-part NULL; a conversation of only system turns has no participant and no rendering.
+columns count once; turns of one number are ordered by role and text, NULL turns come
+first; a conversation of only system turns has no participant and no rendering.  Marks within
+a role or a text are broken up (``<|`` becomes ``<\\|``), and line breaks in a role become spaces,
+so no turn can pose as another one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PART_TURNS = 256
+from pricebars.llm.settle import settled
+
+PART_ROWS = 4096
 SYSTEM, UNKNOWN = "system", "unknown"
 START, END = "<|im_start|>", "<|im_end|>\n"
+SPANS = "array<struct<start:bigint,end:bigint>>"
 
 
 def _header(role: Column, speaker: Column) -> Column:
@@ -31,18 +38,65 @@ def _header(role: Column, speaker: Column) -> Column:
             .otherwise(F.concat(F.lit(f"{START}user name="), role, F.lit("\n"))))
 
 
+def _broken(text: Column) -> Column:
+    return F.replace(F.replace(text, F.lit("<|im_start|>"), F.lit("<\\|im_start|>")), F.lit("<|im_end|>"), F.lit("<\\|im_end|>"))
+
+
+def _same(*names: str) -> Column:
+    out = F.lit(True)
+    for n in names:
+        out = out & F.col(n).eqNullSafe(F.col(f"_{n}"))
+    return out
+
+
+def _other(df: DataFrame, *names: str) -> DataFrame:
+    return df.withColumnsRenamed({n: f"_{n}" for n in names})
+
+
+def placed(rows: DataFrame) -> DataFrame:
+    """``rows`` (different ones) with ``place``, their number in the order of their conversation."""
+    order = ["turn", "role", "text"]
+    ranged = settled(rows.repartitionByRange("conv_id", *order).withColumn("range", F.spark_partition_id()))
+    counts = ranged.groupBy("conv_id", "range").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("conv_id").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("conv_id", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("conv_id", "range").orderBy(*order))
+    return (ranged.withColumn("inside", inside).join(_other(counts, "conv_id", "range"), _same("conv_id", "range"))
+            .withColumn("place", F.col("before") + F.col("inside") - 1).select(*rows.columns, "place"))
+
+
+def _offsets(parts: DataFrame, rows: DataFrame, speakers: DataFrame) -> DataFrame:
+    """``(_conv_id, _part, _speaker, begin)``: the characters of a rendering before a part after the first."""
+    long = parts.filter("part > 0").select("conv_id").distinct()
+    mine = parts.join(_other(long, "conv_id"), _same("conv_id"), "left_semi")
+    # as if all others were users: the speaker's own turns differ by the length of their header
+    size = F.aggregate("turns", F.lit(0).cast("long"), lambda n, t: n + F.char_length(_header(t["role"], F.lit(None).cast("string"))) + F.char_length(t["text"]) + len(END))
+    before = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = mine.select("conv_id", "part", size.alias("size")).withColumn("size", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    own = (rows.join(_other(long, "conv_id"), _same("conv_id"), "left_semi")
+           .groupBy("conv_id", "part", F.col("role").alias("speaker")).agg(F.count(F.lit(1)).alias("own")))
+    grid = sizes.join(_other(speakers, "conv_id"), _same("conv_id")).select("conv_id", "part", "size", "speaker")
+    told = grid.join(_other(own, "conv_id", "part", "speaker"), _same("conv_id", "part", "speaker"), "left")
+    earlier = Window.partitionBy("conv_id", "speaker").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    spoken = F.coalesce(F.sum(F.coalesce("own", F.lit(0))).over(earlier), F.lit(0))
+    differ = F.char_length(_header(F.col("speaker"), F.col("speaker"))) - F.char_length(_header(F.col("speaker"), F.lit(None).cast("string")))
+    return _other(told.select("conv_id", "part", "speaker", (F.col("size") + spoken * differ).alias("begin")), "conv_id", "part", "speaker")
+
+
 def rotate(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """One row per (conversation, speaker, part): the rendered text and its mask."""
-    rows = turns.select(F.col(conv).alias("conv_id"), F.col(turn).cast("long").alias("turn"),
-                        F.coalesce(F.col(role), F.lit(UNKNOWN)).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    speakers = (rows.filter(F.col("role") != SYSTEM).select("conv_id", "role").distinct()
-                .withColumnsRenamed({"conv_id": "_conv", "role": "speaker"}))
-    part = F.floor(F.col("turn") / PART_TURNS).cast("long")
-    parts = rows.groupBy("conv_id", part.alias("part")).agg(F.array_sort(F.collect_set(F.struct("turn", "role", "text"))).alias("turns"))
-    views = parts.join(speakers, F.col("conv_id").eqNullSafe(F.col("_conv"))).drop("_conv")
+    name = F.translate(_broken(F.coalesce(F.col(role), F.lit(UNKNOWN))), "\n\r", "  ")
+    rows = placed(turns.select(F.col(conv).alias("conv_id"), F.col(turn).cast("long").alias("turn"), name.alias("role"),
+                               _broken(F.coalesce(F.col(text), F.lit(""))).alias("text")).distinct())
+    rows = settled(rows.withColumn("part", F.floor(F.col("place") / PART_ROWS).cast("long")))
+    speakers = rows.filter(F.col("role") != SYSTEM).select("conv_id", F.col("role").alias("speaker")).distinct()
+    parts = rows.groupBy("conv_id", "part").agg(F.array_sort(F.collect_list(F.struct("place", "role", "text"))).alias("turns"))
+    views = parts.join(_other(speakers, "conv_id"), _same("conv_id")).drop("_conv_id")
+    views = views.join(_offsets(parts, rows, speakers), _same("conv_id", "part", "speaker"), "left")
     pieces = F.transform("turns", lambda t: F.struct(
         _header(t["role"], F.col("speaker")).alias("head"), F.concat(t["text"], F.lit(END)).alias("body"), (t["role"] == F.col("speaker")).alias("own")))
-    marked = F.aggregate("pieces", F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans")), lambda acc, p: F.struct(
+    begin = F.coalesce("begin", F.lit(0)).cast("long")
+    marked = F.aggregate("pieces", F.struct(begin.alias("at"), F.array().cast(SPANS).alias("spans")), lambda acc, p: F.struct(
         (acc["at"] + F.char_length(p["head"]) + F.char_length(p["body"])).alias("at"),
         F.when(p["own"], F.concat(acc["spans"], F.array(F.struct((acc["at"] + F.char_length(p["head"])).alias("start"), (acc["at"] + F.char_length(p["head"]) + F.char_length(p["body"])).alias("end")))))
         .otherwise(acc["spans"]).alias("spans")))["spans"]
@@ -57,20 +111,23 @@ def op6_perspectives(spark, sf_dir: str) -> DataFrame:
     return rotate(turns).withColumn("mask", spans)
 
 
-SQL = """
+SQL = r"""
 WITH t AS (
-  SELECT DISTINCT conv_id, CAST(turn AS BIGINT) AS turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
+  SELECT DISTINCT conv_id, CAST(turn AS BIGINT) AS turn,
+    translate(replace(replace(coalesce(role, 'unknown'), '<|im_start|>', '<\|im_start|>'), '<|im_end|>', '<\|im_end|>'), chr(10) || chr(13), '  ') AS role,
+    replace(replace(coalesce(text, ''), '<|im_start|>', '<\|im_start|>'), '<|im_end|>', '<\|im_end|>') AS text FROM conversations),
 s AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role <> 'system'),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS place FROM t),
 v AS (
-  SELECT t.conv_id, s.speaker, CAST(floor(t.turn / 256) AS BIGINT) AS part, t.turn, t.role, t.text,
+  SELECT n.conv_id, s.speaker, CAST(n.place // 4096 AS BIGINT) AS part, n.place,
          CASE WHEN role = 'system' THEN '<|im_start|>system' || chr(10) WHEN role = speaker THEN '<|im_start|>assistant' || chr(10)
               ELSE '<|im_start|>user name=' || role || chr(10) END AS head,
-         t.text || '<|im_end|>' || chr(10) AS body, role = speaker AS own
-  FROM t JOIN s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
+         n.text || '<|im_end|>' || chr(10) AS body, role = speaker AS own
+  FROM n JOIN s ON n.conv_id IS NOT DISTINCT FROM s.conv_id),
 p AS (
-  SELECT *, CAST(coalesce(sum(length(head) + length(body)) OVER (PARTITION BY conv_id, speaker, part ORDER BY turn, role, text
+  SELECT *, CAST(coalesce(sum(length(head) + length(body)) OVER (PARTITION BY conv_id, speaker ORDER BY place
               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS at_char FROM v)
-SELECT conv_id, speaker, part, CAST(count(*) AS BIGINT) AS n_turns, string_agg(head || body, '' ORDER BY turn, role, text) AS text,
-       coalesce(string_agg((at_char + length(head)) || '-' || (at_char + length(head) + length(body)), ',' ORDER BY turn, role, text) FILTER (WHERE own), '') AS mask
+SELECT conv_id, speaker, part, CAST(count(*) AS BIGINT) AS n_turns, string_agg(head || body, '' ORDER BY place) AS text,
+       coalesce(string_agg((at_char + length(head)) || '-' || (at_char + length(head) + length(body)), ',' ORDER BY place) FILTER (WHERE own), '') AS mask
 FROM p GROUP BY conv_id, speaker, part
 """
