@@ -9,9 +9,9 @@ holds the median and cut that bin again, until what is left is ``TOLERANCE`` of
 node.  Only bins come to the driver (nodes x ``BINS`` rows).
 
 Rows are ordered by ``(dimension, hash of the group, hash of the row)``.  So rows of one
-group (equal texts, with equal dimensions) lie together and share a shard, unless the
-group weighs more than the tolerance where the cut falls: then it is split by row.
-One hot text can hold a third of all rows without unbalancing the shards.
+group (equal texts, with equal dimensions) lie together and share a shard: a cut that falls
+into a group moves to its nearer end.  Only a group of over ``GROUP_SHARE`` of a shard's bytes is
+split by row, so one hot text can hold a third of all rows without unbalancing the shards.
 
 Slots number the rows of a shard without a gap: rows are dealt by hash into parts, parts
 are counted, and a row's slot is its place in its part after all rows of the parts before.
@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 BINS = 2048
 TOLERANCE = 0.003
+GROUP_SHARE = 0.01
 PART_ROWS = 4096
 
 
@@ -133,7 +134,8 @@ def _medians(points: DataFrame, cuts: dict[int, Cut], dims: int, wanted: dict[in
     """The cut of each wanted node.  A search holds the prefix of the key that is
     fixed so far, the range of the key's next part, and the weight below the range."""
     least, most = -(1 << 63), (1 << 63) - 1
-    search = {k: {"fixed": [], "range": w["ends"][w["dim"]], "below": 0, "dim": w["dim"], "weight": w["weight"], "goal": w["goal"]} for k, w in wanted.items()}
+    search = {k: {"fixed": [], "range": w["ends"][w["dim"]], "below": 0, "dim": w["dim"], "weight": w["weight"], "goal": w["goal"],
+                  "whole": GROUP_SHARE * w["weight"] / w["shards"]} for k, w in wanted.items()}
     done: dict[int, Cut] = {}
     while search:  # each round takes 11 bits off a key of three 64-bit parts
         for s in search.values():
@@ -153,6 +155,10 @@ def _medians(points: DataFrame, cuts: dict[int, Cut], dims: int, wanted: dict[in
                 key = [*s["fixed"], first if s["goal"] - below <= below + w - s["goal"] else last + 1]
                 done[k] = Cut(s["dim"], tuple(min(x, most) for x in key + [least] * (3 - len(key))))
                 del search[k]
+            elif first == last and len(s["fixed"]) == 1 and w <= s["whole"]:  # one group
+                after = s["goal"] - below > below + w - s["goal"]
+                done[k] = Cut(s["dim"], (s["fixed"][0], first, most if after else least))
+                del search[k]
             elif first == last:
                 s |= {"fixed": [*s["fixed"], first], "range": (least, most), "below": below}
             else:
@@ -174,7 +180,7 @@ def grow_tree(points: DataFrame, dims: int, shards: int) -> tuple[dict[int, Cut]
             if n > 1:
                 at = spread.get(k, {"weight": 0, "var": [0.0] * dims, "ends": [(0, 0)] * dims})
                 wide = max(range(dims), key=lambda d: (at["var"][d] / scale[d], -d))
-                wanted[k] = at | {"dim": wide, "goal": at["weight"] * (n // 2) / n}
+                wanted[k] = at | {"dim": wide, "goal": at["weight"] * (n // 2) / n, "shards": n}
         found = _medians(points, cuts, dims, wanted)
         for k in wanted:
             cuts[k] = found[k]
