@@ -261,8 +261,9 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     # the texts of the groups only, one row for each
     wanted = dealt.select("rid", F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
     found = rows_of(source, dealt.select("text_key"), "text_key").join(wanted, (F.col("text_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-    value = _shingle_sets(found).dropDuplicates(["rid"])  # rows repeated in id and text
-    told = settled(_told(value.join(dealt.select("rid", "component"), "rid")))
+    # the texts are read once: rows repeated in id and text are one
+    value = settled(_shingle_sets(found).dropDuplicates(["rid"]).join(dealt.select("rid", "component"), "rid"))
+    told = settled(_told(value))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     pairs = (dealt.select("rid", "component", "weight", "block", other.alias("other")).join(told, "rid")
              .select("component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "rid", "weight", "block", *TOLD))
