@@ -32,7 +32,8 @@ from pyspark.sql import DataFrame
 from pricebars.llm.words import extended
 
 DEFAULT_VOCABULARY = "word_bpe_49k.json"
-MEMORY_PIECES = 150_000
+MEMORY_PIECES = 100_000
+LONG_PIECE = 64
 MEMORY_PAIRS = 1_000_000
 BATCH_IDS = 1 << 16
 SPACE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
@@ -83,6 +84,12 @@ class Vocabulary:
         self.pieces = Memory(self.encode_piece)
         self._build()
 
+    def forget(self) -> None:
+        """Gives back what was remembered of a task's texts."""
+        self.words.clear()
+        self.pieces.clear()
+        self.pairs.clear()
+
     def _build(self) -> None:
         self.length = {i: len(s) for s, i in self.ids.items()}
         self.longest = ahocorasick.Automaton()
@@ -179,16 +186,19 @@ class Vocabulary:
 
 
 class Memory(dict):
-    """What ``encode`` gave for each string; starts anew at ``MEMORY_PIECES``."""
+    """What ``encode`` gave for each string of up to ``LONG_PIECE`` characters, longer ones are not
+    remembered; starts anew at ``MEMORY_PIECES``."""
 
     def __init__(self, encode):
         super().__init__()
         self.encode = encode
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= MEMORY_PIECES:
-            self.clear()
-        out = self[piece] = self.encode(piece)
+        out = self.encode(piece)
+        if len(piece) <= LONG_PIECE:
+            if len(self) >= MEMORY_PIECES:
+                self.clear()
+            self[piece] = out
         return out
 
 
@@ -225,6 +235,7 @@ def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
                 part = batch.slice(a, b - a)
                 lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(ids.astype(np.int64)))
                 yield pa.RecordBatch.from_arrays([*part.columns, lists, pa.array(told, pa.string())], names=[*part.schema.names, "ids", "decoded"])
+        vocabulary.forget()
 
     return docs.mapInArrow(run, out)
 
@@ -263,6 +274,7 @@ def digests(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
                      pa.array([hashlib.sha256(raw[4 * s:4 * e]).hexdigest() for s, e in zip(first[:-1], first[1:])], pa.string()),
                      pa.array([hashlib.sha256(data[s:max(s, e - 1)]).hexdigest() for s, e in zip(offsets[:-1], offsets[1:])], pa.string())],
                     names=out.names)
+        vocabulary.forget()
 
     return docs.mapInArrow(run, out)
 
