@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricebars.llm.graph import components
-from pricebars.llm.settle import beside, rows_of, settled, spread_join
+from pricebars.llm.settle import beside, discard, rows_of, settled, spread_join
 from pricebars.llm.words import mix, shingles, slices, words
 
 THRESHOLD = 0.8
@@ -268,6 +268,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     pairs = (dealt.select("rid", "component", "weight", "block", other.alias("other")).join(told, "rid")
              .select("component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "rid", "weight", "block", *TOLD))
     found = _verify(pairs.repartition("component", "low", "high").sortWithinPartitions("component", "low", "high"), threshold).checkpoint()
+    discard(value, told)
     links = found.groupBy("u").agg(F.sum("links").alias("links")).withColumnRenamed("u", "rid")
     final = components(found.select("u", "v")).withColumnRenamed("id", "rid")
     known = (members.select("rid", "set_key", "weight", "least_id").join(links, "rid", "left").join(final, "rid", "left")

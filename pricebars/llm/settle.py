@@ -21,7 +21,17 @@ def settled(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.settled_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes settled tables that nothing reads any more: all that came of them has been written."""
+    for table in tables:
+        spark = table.sparkSession
+        where = spark._jvm.org.apache.hadoop.fs.Path(table.settled_path)
+        where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
 
 
 def rows_of(table: DataFrame, ids: DataFrame, key: str) -> DataFrame:
