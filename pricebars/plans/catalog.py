@@ -183,7 +183,7 @@ def upsert_daily(spark, sf_dir):
 
 @query
 def refresh_pulls(spark, sf_dir):
-    """JSON payload files of overlapping pulls (1,024 events each, one day apart), loaded
+    """JSON payloads of overlapping pulls (1,024 events each, one day apart), loaded
     by the refresh job; of the pulls that hold a day the newest decides it."""
     events = _events(spark, sf_dir)
     folder = TB.staging_path(spark, "pulls")
@@ -191,8 +191,8 @@ def refresh_pulls(spark, sf_dir):
     (_payloads(spark, sf_dir)
      .select(F.concat("coin_id", F.lit("_"), day.cast("string"), F.lit(".json")).alias("file_name"),
              "prices", "market_caps", "total_volumes")
-     .write.partitionBy("file_name").json(f"{folder}/raw"))
-    # Spark names its files itself, so the landed name is the folder's
+     .write.json(f"{folder}/raw"))
+    # a line for each pull, with the name it landed as: a folder for each makes as many files as pulls
     schema = StructType([*PAYLOAD.fields, StructField("file_name", StringType())])
     raw = (spark.read.schema(schema).option("columnNameOfCorruptRecord", "_corrupt_record").json(f"{folder}/raw"))
     good, _ = tag_payloads(raw)

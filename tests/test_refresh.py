@@ -96,3 +96,16 @@ def test_refresh_loads_sentiment_and_reports_unknown_coins(spark, write_json, tm
         assert [(r["file_name"], r["reason"]) for r in rejects] == [("othercoin_2024-01-02.json", "unknown coin")]
         assert [r["coin_id"] for r in read_metrics(spark, table).collect()] == ["bitcoin"]
         assert [(str(r["event_date"]), r["value"]) for r in read_sentiment_table(spark, mood_table).collect()] == [("2024-01-01", 40)]
+
+def test_pulls_land_in_few_files(spark, tmp_path, monkeypatch):
+    from pricebars.plans import catalog
+
+    monkeypatch.setattr(catalog.TB, "staging_path", lambda spark, name: str(tmp_path / name))
+    spark.range(0, 40 * 1024, 8).selectExpr(
+        "id AS event_id", "id % 7 AS user_id", "concat('c/', cast(id % 3 AS string)) AS event_type",
+        "cast(id AS double) AS value", "timestamp'2024-01-01' + make_interval(0, 0, 0, 0, 0, id) AS ts").write.parquet(str(tmp_path / "events.parquet"))
+    rows = catalog.QUERIES["refresh_pulls"](spark, str(tmp_path)).collect()
+    assert {(r["coin_id"], r["coin_symbol"]) for r in rows} == {(f"c/{k}", f"C/{k}") for k in range(3)}
+    assert sum(r["samples_per_day"] for r in rows) > 0
+    landed = [p for p in (tmp_path / "pulls" / "raw").rglob("part-*")]
+    assert 0 < len(landed) <= 16  # 120 pulls: no file for each
