@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricebars.llm.graph import components
-from pricebars.llm.settle import beside, discard, rows_of, settled, spread_join
+from pricebars.llm.settle import beside, checkpointed, discard, rows_of, settled, spread_join
 from pricebars.llm.words import mix, shingles, slices, words
 
 THRESHOLD = 0.8
@@ -238,18 +238,18 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     """``(doc_id, text_key, class_id, n_links, rid)``, one row per row of ``docs``; ``rid``
     numbers the rows, ``text_key`` is a digest of the text."""
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), text_key(text).alias("text_key"))
-    rows = sketches(source, forest_depth(threshold)).withColumn("rid", F.monotonically_increasing_id()).checkpoint()  # numbers stay as written
+    rows = sketches(source, forest_depth(threshold)).withColumn("rid", F.monotonically_increasing_id()).transform(checkpointed)  # numbers stay as written
     # one member per shingle set: its first row stands for it
     sets = (rows.filter("set_key IS NOT NULL").groupBy("set_key")
             .agg(F.min("rid").alias("rid"), F.count(F.lit(1)).alias("weight"), F.min("doc_id").alias("least_id")))
-    members = sets.join(rows.select("rid", "doc_id", "text_key", "n_shingles", "trees"), "rid").checkpoint()
+    members = sets.join(rows.select("rid", "doc_id", "text_key", "n_shingles", "trees"), "rid").transform(checkpointed)
     nodes = members.select("rid", F.explode("trees").alias("node"))
 
     def shared(part: DataFrame) -> DataFrame:
         return part.groupBy("node").agg(F.min("rid").alias("least"), F.max("rid").alias("most")).filter("least <> most").drop("most")
 
-    links = beside(nodes, "node", shared).select(F.col("rid").alias("u"), F.col("least").alias("v")).filter("u <> v").distinct().checkpoint()
-    groups = components(links).withColumnRenamed("id", "rid").join(members.drop("trees", "set_key"), "rid").checkpoint()
+    links = beside(nodes, "node", shared).select(F.col("rid").alias("u"), F.col("least").alias("v")).filter("u <> v").distinct().transform(checkpointed)
+    groups = components(links).withColumnRenamed("id", "rid").join(members.drop("trees", "set_key"), "rid").transform(checkpointed)
 
     def blocks(part: DataFrame) -> DataFrame:
         sizes = part.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"))
@@ -267,12 +267,12 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     pairs = (dealt.select("rid", "component", "weight", "block", other.alias("other")).join(told, "rid")
              .select("component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "rid", "weight", "block", *TOLD))
-    found = _verify(pairs.repartition("component", "low", "high").sortWithinPartitions("component", "low", "high"), threshold).checkpoint()
+    found = _verify(pairs.repartition("component", "low", "high").sortWithinPartitions("component", "low", "high"), threshold).transform(checkpointed)
     discard(value, told)
     links = found.groupBy("u").agg(F.sum("links").alias("links")).withColumnRenamed("u", "rid")
     final = components(found.select("u", "v")).withColumnRenamed("id", "rid")
     known = (members.select("rid", "set_key", "weight", "least_id").join(links, "rid", "left").join(final, "rid", "left")
-             .withColumn("component", F.coalesce("component", "rid")).checkpoint())
+             .withColumn("component", F.coalesce("component", "rid")).transform(checkpointed))
     known = beside(known, "component", lambda part: part.groupBy("component").agg(F.min("least_id").alias("class_id"))).select("set_key", "class_id", "component", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     return (spread_join(rows.select("doc_id", "text_key", "set_key", "rid"), known, "set_key", "rid", "left")
             .select("doc_id", "text_key", F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),

@@ -1,9 +1,12 @@
 """Joins that split hot keys, and components, against plain ones."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from pricebars.llm import settle
 from pricebars.llm.graph import components
+from pricebars.llm.settle import checkpointed, settled
 
 
 def hot_table(spark):
@@ -48,3 +51,31 @@ def test_components(spark):
     want = {**{k: 1 for k in range(1, 61)}, **{k: 100 for k in range(100, 400)}, 899: 899, 900: 899}
     assert got == want
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+def _shuffles(spark):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (files.apply(i).getName() for i in range(files.size())) if name.startswith("shuffle_")}
+
+
+def _freed(spark, before):
+    end = time.time() + 20  # files are removed in the background
+    while _shuffles(spark) - before and time.time() < end:
+        time.sleep(0.1)
+    return not _shuffles(spark) - before
+
+
+def test_tables_leave_no_shuffle_files(spark):
+    for keep in (settled, checkpointed):
+        before = _shuffles(spark)
+        rows = spark.range(20_000).selectExpr("id % 9999 AS k").groupBy("k").count()
+        out = keep(rows)
+        assert _freed(spark, before)
+        assert out.count() == rows.count() == 9999  # what was written, and the frame itself once more
+    assert spark.conf.get(settle.FREED) == "false"
+
+
+def test_components_leave_no_shuffle_files(spark):
+    before = _shuffles(spark)
+    found = components(spark.range(1, 600).selectExpr("id AS u", "id - id % 7 AS v"))
+    assert _freed(spark, before)
+    assert found.filter("component <> id - id % 7 AND id > 6").count() == 0
