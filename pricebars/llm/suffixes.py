@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from pricebars.llm.settle import BROADCAST_ROWS, beside, rows_of, settled, spread_join
 from pricebars.llm.words import mix, utf8
+from pricebars.session import bounded_batches
 
 WINDOW = 200
 GRAM = 32
@@ -439,6 +440,7 @@ def _cut(batches):
 def without_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``kept``, the bytes of the text that no repeated window covers, and ``spans``,
     the removed runs ``(begin, end)`` of bytes.  Columns of those names give way."""
+    bounded_batches(docs.sparkSession)
     out = [c for c in docs.columns if c not in ("kept", "spans")]
     data = F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")
     plain = docs.select(*[F.col(f"`{c}`").alias(f"_c{k}") for k, c in enumerate(out)], data.alias("data"), F.unhex(F.md5(data)).alias("tid"))

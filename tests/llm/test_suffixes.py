@@ -154,3 +154,24 @@ def test_query_columns_and_empty_table(spark, tmp_path):
     assert got == {1: (600, 600, 1, nothing), 2: (600, 600, 1, nothing), None: (0, 0, 0, nothing), 3: (5, 0, 0, hashlib.sha256(b"plain").hexdigest())}
     none = spark.createDataFrame([], "doc_id long, text string")
     assert S.without_repeats(none).count() == 0
+
+
+def test_whole_texts_go_to_python_in_bounded_batches(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    ensure_checkpoint_dir(spark)
+    docs = spark.range(6000, numPartitions=1).selectExpr("id AS doc_id", "repeat(cast(id AS string), 400) AS text")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["size"])
+
+    try:
+        spark.conf.set(key, "67108864b")
+        S.without_repeats(docs)
+        assert max(r["size"] for r in docs.mapInArrow(sizes, "size long").collect()) < 5 << 20
+        spark.conf.set(key, "1m")  # one that someone chose stays
+        S.without_repeats(docs.limit(1))
+        assert spark.conf.get(key) == "1m"
+    finally:
+        spark.conf.set(key, before)
