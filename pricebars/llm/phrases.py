@@ -61,23 +61,25 @@ PIECE = np.zeros(256, bool)
 PIECE[[ord(c) for c in ".,;:!?"]] = PIECE[0x0A:0x0E] = True
 GAP = PIECE.copy()
 GAP[[0x20, 0x09]] = True
+GAP_BYTES = np.flatnonzero(GAP).astype(np.uint8).tobytes()
 PARTS = "word string, words int, w1 long, w2 long, w3 long, start int, n long"
 NUMBERS = ["w1", "w2", "w3"]
 
 
 def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """``(words, row of each word, piece of each word)`` of the texts in ``data``."""
-    word = ~GAP[data]
+    gap = np.take(GAP, data)
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
-    begins = np.flatnonzero(word & (~np.concatenate([[False], word[:-1]]) | edge[:-1]))
-    ends = np.flatnonzero(word & (~np.concatenate([word[1:], [False]]) | edge[1:])) + 1
-    row = np.searchsorted(offsets, begins, side="right") - 1
-    piece = np.cumsum(PIECE[data] | edge[:-1])[begins] if len(begins) else np.zeros(0, np.int64)
+    begins = np.flatnonzero(~gap & (np.concatenate([[True], gap[:-1]]) | edge[:-1])) if len(data) else np.zeros(0, np.int64)
+    ends = np.flatnonzero(~gap & (np.concatenate([gap[1:], [True]]) | edge[1:])) + 1 if len(data) else begins
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(begins, offsets)))
+    borders = np.flatnonzero(np.take(PIECE, data) | edge[:-1])
+    piece = np.cumsum(np.bincount(np.searchsorted(begins, borders), minlength=len(begins) + 1))[:len(begins)]
     places = np.zeros(len(begins) + 1, np.int64)
     np.cumsum(ends - begins, out=places[1:])
-    kept = LOWER[data[word]]
-    texts = pa.LargeStringArray.from_buffers(len(begins), pa.py_buffer(places), pa.py_buffer(kept.tobytes()))
+    kept = data.tobytes().translate(LOWER.tobytes(), GAP_BYTES)
+    texts = pa.LargeStringArray.from_buffers(len(begins), pa.py_buffer(places), pa.py_buffer(kept))
     return texts, row, piece
 
 
@@ -122,9 +124,10 @@ def counted(langs: pa.Array, data: np.ndarray, offsets: np.ndarray, step: int, s
 
     if step < shards:
         yield rows(1, keys.cast(pa.string()), [numbers], np.zeros(len(keys), np.int32), often)
-    # the phrases of one length: the places of the text where one stands, its number in this slice, its words
-    at, phrase, parts, heads = np.arange(len(word)), word, [np.arange(len(keys))], numbers
-    reach = tables[0][slot(heads)][word]
+    # the phrases of one length: the places of the text where one stands, the hash of each, and the
+    # number of each in this slice and its words, if all of them were counted
+    at, heads, known = np.arange(len(word)), numbers[word], (word, [np.arange(len(keys))])
+    reach = tables[0][slot(numbers)][word]
     for words in range(2, MAX_WORDS + 1):
         # a phrase at a place and its successor at the next, one word further
         follows = at[1:] == at[:-1] + 1
@@ -134,16 +137,30 @@ def counted(langs: pa.Array, data: np.ndarray, offsets: np.ndarray, step: int, s
         pair, start = pair[go], start[go]
         if len(pair) == 0:
             return
-        last = word[at[pair] + words - 1]
-        value, first, inverse, n = _unique(phrase[pair] * len(keys) + last)
-        left, right, begun = phrase[pair][first], last[first], start[first]
-        parts = [p[left] for p in parts] + [right]
-        now = np.flatnonzero(step < begun + shards)
+        now = np.flatnonzero(step < start.astype(np.int64) + shards)  # others have had their cycle
         if len(now):
-            yield rows(words, pa.nulls(len(now), pa.string()), [numbers[p[now]] for p in parts], begun[now], n[now])
-        heads, at, phrase = joined(heads[left], numbers[right]), at[pair], inverse
+            phrase, parts = (known[0][pair[now]], known[1]) if known else numbered(word, at[pair[now]], words - 1)
+            last = word[at[pair[now]] + words - 1]
+            value, first, inverse, n = _unique(phrase * len(keys) + last)
+            parts = [p[phrase[first]] for p in parts] + [last[first]]
+            yield rows(words, pa.nulls(len(n), pa.string()), [numbers[p] for p in parts], start[now][first], n)
+            known = (inverse, parts) if len(now) == len(pair) else None
+        else:
+            known = None
         if words < MAX_WORDS:
-            reach = tables[words - 1][slot(heads)][inverse]
+            at, heads = at[pair], joined(heads[pair], numbers[word[at[pair] + words - 1]])
+            reach = tables[words - 1][slot(heads)]
+
+
+def numbered(word: np.ndarray, at: np.ndarray, words: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """A number for the ``words`` words at each of the places ``at``, and the words of each number."""
+    value, first, inverse, _ = _unique(word[at])
+    parts, size = [value], int(word.max()) + 1
+    for k in range(1, words):
+        last = word[at + k]
+        _, first, new, _ = _unique(inverse * size + last)
+        parts, inverse = [p[inverse[first]] for p in parts] + [last[first]], new
+    return inverse, parts
 
 
 def scan(docs: DataFrame, step: int, shards: int, seed: int, tables: list[np.ndarray], path: str) -> None:

@@ -103,3 +103,25 @@ def test_empty_table_and_other_columns(spark):
     assert P.collocations(none).count() == 0
     docs = spark.createDataFrame([("x y", "en", 1, "p")] * 11, "text string, lang string, rank int, phrase string")
     assert [tuple(r) for r in P.collocations(docs).select("lang", "rank", "phrase", "a").collect()] == [("en", 1, "x y", 11)]
+
+
+def test_only_phrases_whose_cycle_is_not_over_are_numbered(monkeypatch):
+    numbered = []
+    unique = P._unique
+    monkeypatch.setattr(P, "_unique", lambda key: numbered.append(len(key)) or unique(key))
+    tables = [np.zeros(P.SLOTS, np.uint8) for _ in range(2)]  # all active from the first scan on
+    data = np.frombuffer(b"a b c d e f g h i j", np.uint8)
+    langs, offsets = pa.array(["en"]), np.array([0, len(data)])
+    rows = pa.Table.from_batches(P.counted(langs, data, offsets, 1, 2, 0, tables))
+    assert rows["words"].to_pylist() == [1] * 10 + [2] * 9 + [3] * 8 and numbered == [10, 9, 8]
+    numbered.clear()
+    assert list(P.counted(langs, data, offsets, 2, 2, 0, tables)) == [] and numbered == [10]
+
+
+def test_triples_that_go_on_when_their_pairs_are_done(spark):
+    tables = [np.zeros(P.SLOTS, np.uint8), np.full(P.SLOTS, 2, np.uint8)]
+    data = np.frombuffer(b"a b c a b c a b", np.uint8)
+    rows = pa.Table.from_batches(P.counted(pa.array(["en"]), data, np.array([0, len(data)]), 2, 2, 0, tables))
+    number = {w: np.uint64(P.xxhash.xxh3_64_intdigest(f"en\t{w}".encode(), 0)).view(np.int64).item() for w in "abc"}
+    got = {tuple(r[c] for c in ("w1", "w2", "w3", "start", "n")) for r in rows.to_pylist()}
+    assert got == {(*(number[w] for w in t), 2, 2) for t in ("abc", "bca", "cab")}
