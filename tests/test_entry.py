@@ -33,3 +33,19 @@ def test_price_queries_stand_without_the_corpus_part(name, error):
 
 def test_every_sql_has_its_query():
     assert set(ORACLE) <= set(QUERIES) and set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_pipeline_stages_bound_their_arrow_batches(spark, tmp_path):
+    import corpus_pipeline
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.createDataFrame([("i", "some words of a benchmark item")], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(k, f"the words of text {k}", "en", "s", 20) for k in range(8)], "doc_id long, text string, lang string, source string, n_chars long")
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            spark.conf.set(key, "67108864b")
+            stage(spark, docs, str(tmp_path))
+            assert int(spark.conf.get(key).rstrip("b")) <= 4 << 20
+    finally:
+        spark.conf.set(key, before)
